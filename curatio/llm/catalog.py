@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
+from curatio.llm.packing import op5_packing
 from curatio.llm.token_counts import op3_token_counts
 
-QUERIES = {f.__name__: f for f in (op3_token_counts,)}
+QUERIES = {f.__name__: f for f in (op3_token_counts, op5_packing)}
 ORACLES: dict[str, str] = {}
