@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from curatio.llm.fingerprints import op9_fingerprints
 from curatio.llm.mixing import op2_mixing
 from curatio.llm.packing import op5_packing
 from curatio.llm.token_counts import op3_token_counts
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_token_counts, op5_packing)}
+QUERIES = {f.__name__: f for f in (op2_mixing, op3_token_counts, op5_packing, op9_fingerprints)}
 ORACLES: dict[str, str] = {}
