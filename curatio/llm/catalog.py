@@ -6,6 +6,7 @@ from curatio.llm.fingerprints import op9_fingerprints
 from curatio.llm.mixing import op2_mixing
 from curatio.llm.packing import op5_packing
 from curatio.llm.token_counts import op3_token_counts
+from curatio.llm.toxicity import op10_toxicity
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_token_counts, op5_packing, op9_fingerprints)}
+QUERIES = {f.__name__: f for f in (op2_mixing, op3_token_counts, op5_packing, op9_fingerprints, op10_toxicity)}
 ORACLES: dict[str, str] = {}

@@ -92,12 +92,12 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, size: int = CHUNK) ->
             at = to
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each word's first byte and the byte after its last, and where each text's words begin."""
     n = len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = ~_SPACE[data]
+    inside = ~blank[data]
     before, after = np.empty(n, bool), np.empty(n, bool)
     before[0], before[1:] = False, inside[:-1]
     after[-1], after[:-1] = False, inside[1:]
