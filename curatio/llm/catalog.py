@@ -7,6 +7,8 @@ from curatio.llm.mixing import op2_mixing
 from curatio.llm.packing import op5_packing
 from curatio.llm.token_counts import op3_token_counts
 from curatio.llm.toxicity import op10_toxicity
+from curatio.llm.vectors import ORACLE as VECTORS_SQL
+from curatio.llm.vectors import op8_vectors
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_token_counts, op5_packing, op9_fingerprints, op10_toxicity)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_mixing, op3_token_counts, op5_packing, op8_vectors, op9_fingerprints, op10_toxicity)}
+ORACLES = {"op8_vectors": VECTORS_SQL}
