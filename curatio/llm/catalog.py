@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from curatio.llm.fingerprints import op9_fingerprints
+from curatio.llm.language_model import op1_language_model
 from curatio.llm.mixing import op2_mixing
 from curatio.llm.packing import op5_packing
 from curatio.llm.token_counts import op3_token_counts
@@ -10,5 +11,5 @@ from curatio.llm.toxicity import op10_toxicity
 from curatio.llm.vectors import ORACLE as VECTORS_SQL
 from curatio.llm.vectors import op8_vectors
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_token_counts, op5_packing, op8_vectors, op9_fingerprints, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_language_model, op2_mixing, op3_token_counts, op5_packing, op8_vectors, op9_fingerprints, op10_toxicity)}
 ORACLES = {"op8_vectors": VECTORS_SQL}
