@@ -7,11 +7,12 @@ from curatio.llm.language_model import op1_language_model
 from curatio.llm.mixing import op2_mixing
 from curatio.llm.near_duplicates import op6_near_duplicates
 from curatio.llm.packing import op5_packing
+from curatio.llm.pii import op4_pii
 from curatio.llm.repeats import op7_repeats
 from curatio.llm.token_counts import op3_token_counts
 from curatio.llm.toxicity import op10_toxicity
 from curatio.llm.vectors import ORACLE as VECTORS_SQL
 from curatio.llm.vectors import op8_vectors
 
-QUERIES = {f.__name__: f for f in (op1_language_model, op2_mixing, op3_token_counts, op5_packing, op6_near_duplicates, op7_repeats, op8_vectors, op9_fingerprints, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_language_model, op2_mixing, op3_token_counts, op4_pii, op5_packing, op6_near_duplicates, op7_repeats, op8_vectors, op9_fingerprints, op10_toxicity)}
 ORACLES = {"op8_vectors": VECTORS_SQL}
