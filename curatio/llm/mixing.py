@@ -65,7 +65,7 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
 
 def placed(sized: DataFrame, seed: int, buckets: int) -> DataFrame:
     """Adds ``first``, each document's first word in its source's row of words: prefix sums by bucket, then within."""
-    dealt = sized.withColumn("order", F.xxhash64(F.lit(seed), "key")).withColumn("bucket", F.pmod("order", F.lit(buckets)))
+    dealt = sized.withColumn("order", F.xxhash64(F.lit(seed), "order")).withColumn("bucket", F.pmod("order", F.lit(buckets)))
     sums = dealt.groupBy("source", "bucket").agg(F.sum("size").alias("sum"))
     ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("sum").over(ahead), F.lit(0)).alias("base"))
@@ -94,11 +94,11 @@ def slots(plan: DataFrame, block: int, shards: int, seed: int, deal: int = 1024)
     return mine.select("source", "pass", "shard", "slot", at.alias("block"), F.least(F.lit(block).cast("long"), F.col("words") - F.col("k") * block).alias("words"))
 
 
-def mixed(docs: DataFrame, *, text: str = "text", key: str = "doc_id", source: str = "source", block: int = 256, shards: int = 256, buckets: int = 1024, seed: int = 20260) -> tuple[DataFrame, DataFrame]:
+def mixed(docs: DataFrame, *, text: str = "text", key: str = "doc_id", source: str = "source", order: str | None = None, block: int = 256, shards: int = 256, buckets: int = 1024, seed: int = 20260) -> tuple[DataFrame, DataFrame]:
     """The documents (key, source, size, first, source_size, target) and the mix: one row per piece of a document
-    in a slot, (shard, source, pass, slot, block, first, start, words): words [start, start + words) of the
+    in a slot (order: the column that orders the documents within a source by its hash, else the key), (shard, source, pass, slot, block, first, start, words): words [start, start + words) of the
     document whose words begin at ``first`` of its source."""
-    sized = scratch(docs.select(F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")), "sizes")
+    sized = scratch(docs.select(F.col(key).alias("key"), F.col(order or key).alias("order"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")), "sizes")
     plan = scratch(targets(sized), "targets")
     at = scratch(placed(sized, seed, buckets), "places")
     pieces = at.where("size > 0").withColumn("block", F.explode(F.sequence(F.expr(f"first div {block}"), F.expr(f"(first + size - 1) div {block}"))))
@@ -118,6 +118,26 @@ def counted(documents: DataFrame, mix: DataFrame) -> DataFrame:
     return documents.join(sums, at, "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long"))).drop("s", "f")
 
 
+def mixed_texts(docs: DataFrame, *, text: str = "text", key: str = "doc_id", source: str = "source", **how) -> DataFrame:
+    """docs as the mix takes them: a row for each document that gives words, with those as its text.
+
+    A pass over the whole document gives the text as it stands, a part of it the words taken, one space between
+    them; two passes stand one below the other.  All other columns are carried.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    at = {n: names[docs.columns.index(c)] for n, c in (("text", text), ("key", key), ("source", source))}
+    held = scratch(docs.toDF(*names).withColumn("uid", F.monotonically_increasing_id()), "held")
+    documents, mix = mixed(held, text=at["text"], key="uid", source=at["source"], order=at["key"], **how)
+    by_pass = mix.groupBy("source", "first", "pass").agg(F.sort_array(F.collect_list(F.struct("start", "words"))).alias("pieces"), F.sum("words").alias("n"))
+    takes = by_pass.groupBy(F.col("source").alias("s"), F.col("first").alias("f")).agg(F.sort_array(F.collect_list(F.struct("pass", "n", "pieces"))).alias("takes"))
+    own = documents.where("size > 0").join(takes.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("first") == F.col("f"))).select(F.col("key").alias("uid"), "size", "takes")
+    out = held.join(own.hint("merge"), "uid")
+    out = out.withColumn("words", F.when(F.exists("takes", lambda t: t["n"] < F.col("size")), F.regexp_extract_all(at["text"], F.lit(WORD), F.lit(0))))
+    part = lambda t: F.array_join(F.flatten(F.transform(t["pieces"], lambda p: F.slice("words", (p["start"] + 1).cast("int"), p["words"].cast("int")))), " ")
+    new = F.array_join(F.transform("takes", lambda t: F.when(t["n"] < F.col("size"), part(t)).otherwise(F.col(at["text"]))), "\n")
+    return out.select(*[new.alias(c) if c == at["text"] else F.col(c) for c in names]).toDF(*docs.columns)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, mix = mixed(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return counted(documents, mix).select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
