@@ -29,6 +29,9 @@ from pyspark.sql import functions as F
 
 from curatio.llm.shared import components, scratch
 
+#: One row for a block: its vectors, the parts of its tree, and the blocks it is compared with.
+GROWN = "block int, near array<int>, points binary, tree array<binary>"
+GROWN_ARROW = pa.schema([("block", pa.int32()), ("near", pa.list_(pa.int32())), ("points", pa.binary()), ("tree", pa.list_(pa.binary()))])
 #: What single-precision distances may be off by, with room to spare.
 SLACK = 1e-3
 STEP = 100_000
@@ -64,6 +67,21 @@ class CoverTree:
         self.centre, self.radius, self.begin, self.end, self.first, self.last = (np.array(x) for x in zip(*nodes, strict=True))
         self.at = self.points[self.centre]
 
+    ARRAYS = (("order", "<i8"), ("centre", "<i8"), ("radius", "<f8"), ("begin", "<i8"), ("end", "<i8"), ("first", "<i8"), ("last", "<i8"))
+
+    def parts(self) -> list[bytes]:
+        return [np.ascontiguousarray(getattr(self, name), kind).tobytes() for name, kind in self.ARRAYS]
+
+    @classmethod
+    def of(cls, points: np.ndarray, parts: list[bytes]) -> "CoverTree":
+        """A tree again, from its points and parts()."""
+        tree = cls.__new__(cls)
+        tree.points = points.astype(np.float32)
+        for (name, kind), raw in zip(cls.ARRAYS, parts, strict=True):
+            setattr(tree, name, np.frombuffer(raw, kind))
+        tree.at = tree.points[tree.centre]
+        return tree
+
     def _distance(self, own: np.ndarray, centre: int) -> np.ndarray:
         return np.sqrt(np.maximum(0, 2 - 2 * (self.points[own] @ self.points[centre])))
 
@@ -159,18 +177,20 @@ def dual(left: CoverTree, right: CoverTree, same: bool, exact: np.ndarray, dims:
             links.pairs(p[found], q[found])
 
     def tops(tree: CoverTree) -> np.ndarray:
-        return np.arange(tree.first[0], tree.last[0]) if tree.last[0] else np.zeros(1, np.int64)
+        own = np.arange(tree.first[0], tree.last[0]) if tree.last[0] else np.zeros(1, np.int64)
+        return own[np.argsort(tree.radius[own], kind="stable")]  # wide nodes share tiles
 
     todo: list[tuple[np.ndarray, np.ndarray]] = []
     tl, tr = tops(left), tops(right)
     for i in range(0, len(tl), 1024):
         for k in range(i if same else 0, len(tr), 1024):
-            d = np.sqrt(np.maximum(0, 2 - 2 * (left.at[tl[i : i + 1024]] @ right.at[tr[k : k + 1024]].T)))
-            near = d <= left.radius[tl[i : i + 1024], None] + right.radius[None, tr[k : k + 1024]] + t + SLACK
-            a, b = np.nonzero(near)
+            dots = left.at[tl[i : i + 1024]] @ right.at[tr[k : k + 1024]].T
+            most = left.radius[tl[i : i + 1024]].max() + right.radius[tr[k : k + 1024]].max() + t + SLACK
+            near = np.flatnonzero((dots >= np.float32(1 - min(most, 2) ** 2 / 2 - 1e-5)).ravel())  # by the tile's widest nodes; keep() takes each pair's own
+            a, b = near // dots.shape[1], near % dots.shape[1]
             if same and i == k:
                 a, b = a[a <= b], b[a <= b]
-            keep(tl[a + i], tr[b + k], d[a, b])
+            keep(tl[a + i], tr[b + k], np.sqrt(np.maximum(0, 2 - 2 * dots[a, b])))
             while todo:
                 a, b = todo.pop()
                 # open the wider node of each pair; of a pair with itself both
@@ -199,6 +219,10 @@ def dual(left: CoverTree, right: CoverTree, same: bool, exact: np.ndarray, dims:
                 keep(xs, ys, distances(xs, ys))
 
 
+def POINTS(width: int) -> np.dtype:  # noqa: N802
+    return np.dtype([("id", "<i8"), ("copies", "<i8"), ("size", "<i8"), ("v", "<f8", (width,))])
+
+
 def matrix(column: pa.Array, width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Rows of a list column, short ones filled up with zeros, and the lists' lengths."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -249,27 +273,35 @@ def linked(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding"
         first[s["cell"]] = (blocks, -(-s["n"] // block))
         blocks += first[s["cell"]][1]
     near = {s["cell"]: [b for o in stats if np.linalg.norm(centres[s["cell"]] - centres[o["cell"]]) <= s["r"] + o["r"] + t + SLACK for b in range(first[o["cell"]][0], sum(first[o["cell"]]))] for s in stats}
+
+    def grow(group: pa.Table) -> pa.Table:
+        """A block's vectors and its cover tree as one row: it is grown once and travels to each block it is compared with."""
+        group = group.take(pc.sort_indices(group, [("id", "ascending")]))
+        raw, dims = matrix(group.column("v"), width)
+        points = np.zeros(len(raw), POINTS(width))
+        points["id"], points["copies"], points["size"], points["v"] = np.array(group.column("id")), np.array(group.column("copies")), dims, unit(raw)
+        tree = CoverTree(points["v"]).parts()
+        return pa.Table.from_pylist([{"block": group.column("block")[0].as_py(), "near": group.column("near")[0].as_py(), "points": points.tobytes(), "tree": tree}], GROWN_ARROW)
+
     if not stats:
         work = None
     else:
         by_cell = F.create_map(*(c for s in stats for c in (F.lit(s["cell"]), F.struct(F.lit(first[s["cell"]][0]).alias("first"), F.lit(first[s["cell"]][1]).alias("n"), F.array(*map(F.lit, near[s["cell"]])).alias("near")))))
         at = in_cells.withColumn("c", by_cell[F.col("cell")]).withColumn("block", (F.col("c.first") + F.pmod(F.xxhash64("id"), F.col("c.n"))).cast("int"))
-        at = at.withColumn("other", F.explode("c.near"))
-        work = at.select("id", "v", "copies", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+        grown = at.select("id", "v", "copies", "block", F.col("c.near").alias("near")).groupBy("block").applyInArrow(grow, GROWN)
+        work = grown.withColumn("other", F.explode("near")).select("block", "points", "tree", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
 
     def join(group: pa.Table) -> pa.Table:
-        group = group.take(pc.sort_indices(group, [("block", "ascending"), ("id", "ascending")]))
-        ids, blocks_ = np.array(group.column("id")), np.array(group.column("block"))
-        raw, dims = matrix(group.column("v"), width)
-        exact = unit(raw)
-        links = Links(np.array(group.column("copies")))
-        lo, hi = group.column("lo")[0].as_py(), group.column("hi")[0].as_py()
-        cut = int(np.searchsorted(blocks_, lo, "right")) if lo != hi else len(ids)
-        tree = CoverTree(exact[:cut])
-        if lo == hi:
-            dual(tree, tree, True, exact, dims, 0, cosine, links)
-        elif cut and cut < len(ids):
-            dual(tree, CoverTree(exact[cut:]), False, exact, dims, cut, cosine, links)
+        rows_ = sorted(group.to_pylist(), key=lambda r: r["block"])
+        read = [np.frombuffer(r["points"], POINTS(width)) for r in rows_]
+        every = np.concatenate(read)
+        ids, exact, dims = every["id"], np.ascontiguousarray(every["v"]), every["size"]
+        trees = [CoverTree.of(x["v"], r["tree"]) for x, r in zip(read, rows_, strict=True)]
+        links = Links(every["copies"])
+        if len(trees) == 2:
+            dual(*trees, False, exact, dims, len(read[0]), cosine, links)
+        elif rows_[0]["lo"] == rows_[0]["hi"]:
+            dual(trees[0], trees[0], True, exact, dims, 0, cosine, links)
         told = np.flatnonzero(links.count)
         least = np.full(len(ids), np.iinfo(np.int64).max)
         roots = links.find(np.arange(len(ids)))
