@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curatio.llm.shared import WORD, scratch
+from curatio.llm.shared import WORD, partitions, scratch
 
 #: Rounds of the permutation.
 ROUNDS = 12
@@ -88,6 +88,7 @@ def slots(plan: DataFrame, block: int, shards: int, seed: int, deal: int = 1024)
     before = Window.partitionBy("source", "pass").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("k0", F.coalesce(F.sum("drawn").over(before), F.lit(0)))
     mine = counts.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(drawn - 1) div {deal}"))))
+    mine = mine.repartition(partitions(plan.sparkSession), "source", "pass", "shard", "run")  # few rows until here, many after
     mine = mine.withColumn("slot", F.explode(F.sequence(F.col("run") * deal, F.least(F.col("drawn"), (F.col("run") + 1) * deal) - 1)))
     mine = mine.withColumn("k", F.col("k0") + F.col("slot"))
     at = F.when(F.col("k") < F.col("full"), permuted(F.col("k"), F.col("full"), F.lit(seed), F.col("source"), F.col("pass"))).otherwise(F.col("full"))
@@ -102,7 +103,8 @@ def mixed(docs: DataFrame, *, text: str = "text", key: str = "doc_id", source: s
     plan = scratch(targets(sized), "targets")
     at = scratch(placed(sized, seed, buckets), "places")
     pieces = at.where("size > 0").withColumn("block", F.explode(F.sequence(F.expr(f"first div {block}"), F.expr(f"(first + size - 1) div {block}"))))
-    taken = slots(plan, block, shards, seed).withColumnRenamed("source", "s").withColumnRenamed("block", "b").withColumnRenamed("words", "most")
+    taken = slots(plan, block, shards, seed).hint("merge").withColumnRenamed("source", "s").withColumnRenamed("block", "b").withColumnRenamed("words", "most")
+    # both sides grow with the input, which the size of a small compressed table does not show: never broadcast
     mix = taken.join(pieces, F.col("s").eqNullSafe(F.col("source")) & (F.col("b") == F.col("block")))
     start = F.greatest(F.lit(0).cast("long"), F.col("block") * block - F.col("first"))
     end = F.least(F.col("size"), F.col("block") * block + F.col("most") - F.col("first"))
@@ -115,7 +117,7 @@ def counted(documents: DataFrame, mix: DataFrame) -> DataFrame:
     """The documents with ``taken``, the words that the mix takes of each."""
     sums = mix.groupBy(F.col("source").alias("s"), F.col("first").alias("f")).agg(F.sum("words").alias("taken"))
     at = F.col("source").eqNullSafe(F.col("s")) & (F.when(F.col("size") > 0, F.col("first")) == F.col("f"))
-    return documents.join(sums, at, "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long"))).drop("s", "f")
+    return documents.join(sums.hint("merge"), at, "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long"))).drop("s", "f")
 
 
 def mixed_texts(docs: DataFrame, *, text: str = "text", key: str = "doc_id", source: str = "source", **how) -> DataFrame:
