@@ -78,35 +78,35 @@ def normalize_caliber(name: Column) -> Column:
     return without_leading_dots(normalize_lookup(name))
 
 
+def let(x: Column, use) -> Column:
+    """use(x) with x computed once, however often it stands there."""
+    return F.transform(F.array(x), use)[0]
+
+
 def _strip_maker(text: Column) -> Column:
-    out = text
-    for prefix in reversed(MAKER_PREFIXES):
-        out = F.when(text.startswith(prefix + " "), F.trim(F.substring(text, F.lit(len(prefix) + 2), F.length(text)))).otherwise(out)
-    return out
+    return F.trim(F.regexp_replace(text, "^(?:" + "|".join(MAKER_PREFIXES) + ") ", ""))
 
 
 def _strip_line_suffix(text: Column) -> Column:
-    out = text
-    for suffix in reversed(LINE_SUFFIXES):
-        rest = F.trim(F.substring(text, F.lit(1), F.length(text) - len(suffix) - 1))
-        out = F.when(text.endswith(" " + suffix) & (rest != ""), rest).otherwise(out)
-    return out
+    return F.regexp_replace(text, r"(?<=\S)\s* (?:" + "|".join(LINE_SUFFIXES) + ")$", "")
 
 
 def normalize_product_line(name: Column) -> Column:
     """A product line's short form: no maker, no generic suffix; an abbreviation in parentheses wins if it is no longer."""
-    s = collapse(plain_dashes(F.trim(F.lower(strip_trademarks(name)))))
-    inner = F.trim(F.regexp_extract(s, r"\(([^)]+)\)", 1))
-    main = _strip_line_suffix(_strip_maker(F.trim(F.regexp_replace(s, r"\([^)]*\)", ""))))
-    short = _strip_maker(inner)
-    return F.when((inner != "") & ~inner.rlike(r"^\d+(?U)\w*$") & (short != "") & (F.length(short) <= F.length(main)), short).otherwise(main)
+
+    def shorter(s: Column) -> Column:
+        inner = F.trim(F.regexp_extract(s, r"\(([^)]+)\)", 1))
+        main = _strip_line_suffix(_strip_maker(F.trim(F.regexp_replace(s, r"\([^)]*\)", ""))))
+        parts = F.struct(F.when(~inner.rlike(r"^\d+(?U)\w*$"), _strip_maker(inner)).otherwise("").alias("short"), main.alias("main"))
+        return let(parts, lambda p: F.when((p["short"] != "") & (F.length(p["short"]) <= F.length(p["main"])), p["short"]).otherwise(p["main"]))
+
+    return let(collapse(plain_dashes(F.trim(F.lower(strip_trademarks(name))))), shorter)
 
 
 def meaningful_tokens(name: Column) -> Column:
     """Distinct tokens and the parts of hyphenated ones, without numbers and noise words."""
-    whole = F.split(normalize_match(name), " ")
-    parts = F.flatten(F.transform(whole, lambda t: F.when(t.contains("-"), F.split(t, "-")).otherwise(F.array().cast("array<string>"))))
-    words = F.array_distinct(F.concat(whole, parts))
+    parts = lambda w: F.flatten(F.transform(w, lambda t: F.when(t.contains("-"), F.split(t, "-")).otherwise(F.array().cast("array<string>"))))
+    words = F.array_distinct(let(F.split(normalize_match(name), " "), lambda w: F.concat(w, parts(w))))
     return F.array_except(F.filter(words, lambda t: (t != "") & ~F.replace(t, F.lit("."), F.lit("")).rlike(r"^\d+$")), lit_array(NOISE_WORDS))
 
 
@@ -116,26 +116,33 @@ def expand_abbreviations(words: Column) -> Column:
 
     def step(have: Column, entry: Column) -> Column:
         more = F.when(F.array_contains(have, entry["a"]), F.array_union(have, entry["w"])).otherwise(have)
-        return F.when(F.size(F.array_except(entry["w"], more)) == 0, F.array_union(more, F.array(entry["a"]))).otherwise(more)
+        return let(more, lambda m: F.when(F.size(F.array_except(entry["w"], m)) == 0, F.array_union(m, F.array(entry["a"]))).otherwise(m))
 
     return F.aggregate(table, words, step)
 
 
 def _contained(query: Column, target: Column) -> Column:
     """The share of the query's words that the target has, damped for a query of one word."""
-    n = F.size(query).cast("double")
-    hit = F.size(F.array_intersect(query, target))
-    return F.when((F.size(query) > 0) & (F.size(target) > 0) & (hit > 0), hit / n * (0.5 + 0.5 * F.least(n / 2, F.lit(1.0)))).otherwise(F.lit(0.0))
+
+    def share(n: Column) -> Column:
+        return F.when((n["q"] > 0) & (n["hit"] > 0), n["hit"] / n["q"] * (0.5 + 0.5 * F.least(n["q"] / 2, F.lit(1.0)))).otherwise(F.lit(0.0))
+
+    count = lambda q: F.struct(F.size(q).cast("double").alias("q"), F.size(F.array_intersect(q, target)).alias("hit"))
+    return let(let(query, count), share)
 
 
 def containment_score(extracted: Column, known: Column) -> Column:
     """How well a short type name is contained in a full product name: 0 to 1, the better of the whole name and what
     stands before its first parenthesis."""
-    target = expand_abbreviations(meaningful_tokens(known))
+    words = lambda name: expand_abbreviations(meaningful_tokens(name))
     at = F.instr(extracted, "(")
     head = F.trim(F.substring(extracted, F.lit(1), at - 1))
-    whole = _contained(expand_abbreviations(meaningful_tokens(extracted)), target)
-    return F.when(at > 1, F.greatest(whole, _contained(expand_abbreviations(meaningful_tokens(head)), target))).otherwise(whole)
+
+    def score(target: Column) -> Column:
+        whole = _contained(words(extracted), target)
+        return F.when(at > 1, F.greatest(whole, _contained(words(head), target))).otherwise(whole)
+
+    return let(words(known), score)
 
 
 def slugify(name: Column) -> Column:
