@@ -9,9 +9,12 @@ reach half that share in some piece of the input, with sums that prove what cann
 Every text gets ``bands * rows`` samples; two texts agree in a sample with the probability of their weighted
 Jaccard similarity.  Texts that share a band are candidates: each with the least of its bucket, then, where a
 bucket still holds several classes, the members of different classes with each other, so no link is lost to
-the first comparison and none is made within a class.  A candidate pair whose samples agree too seldom to be
-similar (``sieve``; at 0.8 one in 10**5) is left out, and the others' similarity is computed from both texts
-in double precision.  Links at or above ``similarity`` are joined by ``components``.
+the first comparison and none is sought within a class.  The second comparison deals a bucket into blocks; a
+task has two of them with their texts, compares what shares no earlier bucket and is in no common class yet,
+and returns only the links that join classes, so neither candidates nor links of a large bucket are listed.
+A candidate pair whose samples agree too seldom to be similar (``sieve``; at 0.8 one in 10**5) is left out,
+and the others' similarity is computed from both texts in double precision.  Links at or above ``similarity``
+are joined by ``components``.
 
 Equal texts are one class from the start and counted once, whatever their number; a null text is an empty
 one, and texts without words are alike only if equal.  Rows that repeat a key are judged by their text; a key
@@ -129,7 +132,7 @@ def frequencies(texts: DataFrame, common: float) -> tuple[int, np.ndarray, np.nd
         if n:
             yield flush()
 
-    sums = scratch(texts.mapInArrow(noted, "k bigint, c bigint, texts boolean").groupBy("k", "texts").agg(F.sum("c").alias("c")), "noted")
+    sums = scratch(texts.mapInArrow(noted, "k bigint, c bigint, texts boolean").groupBy("k", "texts").agg(F.sum("c").alias("c")), "noted", small=True)
     n = sums.where("texts").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     # a shingle in ``common`` of all texts was missed by less than half of that: the rest are at most 2 / common for each shingle of a mean text
     may = np.sort(np.array(sums.where(~F.col("texts") & (F.col("c") >= common / 2 * n)).select("k").toArrow().column("k")).view(U64))
@@ -153,7 +156,7 @@ def frequencies(texts: DataFrame, common: float) -> tuple[int, np.ndarray, np.nd
     return n, k[order], c[order]
 
 
-def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id", similarity: float = 0.8, bands: int = 12, rows: int = 4, common: float = 0.01, sieve: float = 0.55) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id", similarity: float = 0.8, bands: int = 12, rows: int = 4, common: float = 0.01, sieve: float = 0.55, block: int = 256) -> DataFrame:
     """(key, class_id, kept) for every row; class_id: the least key of the class, which alone is kept."""
     spark = docs.sparkSession
     k1, k2 = text_key(F.col(text).cast("string"))
@@ -182,68 +185,92 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     members = signs.select("key", "k1", "k2")
     classes = signs.groupBy("k1", "k2").agg(F.min("key").alias("rep"), F.first("bands").alias("bands"), F.first("drawn").alias("drawn"))
     classes = scratch(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    held = scratch(classes.select("cid", "drawn", F.explode("bands").alias("bucket")), "buckets")
+    held = scratch(classes.select("cid", F.posexplode("bands").alias("band", "bucket")), "buckets")
     drawn = classes.select("cid", "drawn")
 
     def agree(a: str, b: str) -> F.Column:
         same = F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
         return same >= F.lit(int(np.ceil(sieve * number)))
 
-    least = scratch(held.groupBy("bucket").agg(F.min("cid").alias("lead"), F.count("*").alias("n")).where("n > 1").select("bucket", "lead"), "leads")
-    stars = held.select("bucket", "cid", "drawn").join(least, "bucket").where("cid != lead").groupBy("lead", "cid").agg(F.first("drawn").alias("drawn"))
-    lead = drawn.select(F.col("cid").alias("lead"), F.col("drawn").alias("lead_drawn"))
-    stars = scratch(stars.join(lead.hint("merge"), "lead").where(agree("drawn", "lead_drawn")).select(F.col("lead").alias("a"), F.col("cid").alias("b")), "stars")
-    texts = None
-
-    def verified(pairs: DataFrame, known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        """The pairs that are similar, and the texts read so far (compressed, of candidates only)."""
-        wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-        if known is not None:
-            wanted = wanted.join(known.select("cid").hint("merge"), "cid", "left_anti")
-        at = scratch(wanted.join(classes.select("cid", "rep", F.col("k1").alias("c1"), F.col("k2").alias("c2")).hint("merge"), "cid"), "wanted")
-
-        def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            c = zstandard.ZstdCompressor(level=3)
-            for batch in batches:
-                yield pa.RecordBatch.from_arrays([batch.column("cid"), pa.array([c.compress((t or "").encode()) for t in batch.column("text").to_pylist()], pa.binary())], ["cid", "text"])
-
-        if known is None or at.limit(1).count():
-            found = read.join(at, (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")) & F.col("key").eqNullSafe(F.col("rep"))).select("cid", "text")
-            found = scratch(found.mapInArrow(press, "cid bigint, text binary").dropDuplicates(["cid"]), "texts")
-            known = found if known is None else known.unionByName(found)
-
-        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            u = zstandard.ZstdDecompressor()
-            for batch in batches:
-                at, hits = 0, []
-                while at < batch.num_rows:
-                    own, size, begin = [], 0, at
-                    while at < batch.num_rows and size < 1 << 21:
-                        own += [u.decompress(batch.column(c)[at].as_py()) for c in ("ta", "tb")]
-                        size += len(own[-1]) + len(own[-2])
-                        at += 1
-                    hits.append(np.flatnonzero(similarities(own, weights.value) >= similarity) + begin)
-                told = pa.array(np.concatenate(hits) if hits else np.zeros(0, np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column("a").take(told), batch.column("b").take(told)], ["a", "b"])
-
-        ta, tb = (known.select(F.col("cid").alias(c), F.col("text").alias(f"t{c}")).hint("merge") for c in ("a", "b"))
-        return scratch(pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(compare, "a bigint, b bigint"), "links"), known
-
-    links, texts = verified(stars, texts)
+    least = scratch(held.groupBy("bucket").agg(F.min("cid").alias("lead"), F.count("*").alias("n")).where("n > 1").select("bucket", "lead"), "leads", small=True)
+    stars = held.select("bucket", "cid").join(least.hint("merge"), "bucket").where("cid != lead").select("lead", "cid").distinct()
+    stars = stars.join(drawn.hint("merge"), "cid").join(drawn.select(F.col("cid").alias("lead"), F.col("drawn").alias("lead_drawn")).hint("merge"), "lead")
+    stars = scratch(stars.where(agree("drawn", "lead_drawn")).select(F.col("lead").alias("a"), F.col("cid").alias("b")), "stars", small=True)
+
+    def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("cid"), pa.array([c.compress((t or "").encode()) for t in batch.column("text").to_pylist()], pa.binary())], ["cid", "text"])
+
+    def texts_of(cids: DataFrame) -> DataFrame:
+        """The texts of candidates, compressed; one of each class's rows is read."""
+        at = scratch(cids.join(classes.select("cid", "rep", F.col("k1").alias("c1"), F.col("k2").alias("c2")).hint("merge"), "cid"), "wanted", small=True)
+        found = read.join(at.hint("merge"), (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")) & F.col("key").eqNullSafe(F.col("rep"))).select("cid", "text")
+        return scratch(found.mapInArrow(press, "cid bigint, text binary").dropDuplicates(["cid"]), "texts")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        u = zstandard.ZstdDecompressor()
+        for batch in batches:
+            at, hits = 0, []
+            while at < batch.num_rows:
+                own, size, begin = [], 0, at
+                while at < batch.num_rows and size < 1 << 20:
+                    own += [u.decompress(batch.column(c)[at].as_py()) for c in ("ta", "tb")]
+                    size += len(own[-1]) + len(own[-2])
+                    at += 1
+                hits.append(np.flatnonzero(similarities(own, weights.value) >= similarity) + begin)
+            told = pa.array(np.concatenate(hits) if hits else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("a").take(told), batch.column("b").take(told)], ["a", "b"])
+
+    texts = texts_of(stars.select(F.col("a").alias("cid")).union(stars.select("b")).distinct())
+    ta, tb = (texts.select(F.col("cid").alias(c), F.col("text").alias(f"t{c}")).hint("merge") for c in ("a", "b"))
+    links = scratch(stars.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(compare, "a bigint, b bigint"), "links")
     tied = components(links)
-    # buckets that still hold several classes: members of different classes, as far as not compared
-    now = held.join(tied.withColumnRenamed("node", "cid").hint("merge"), "cid", "left").select("bucket", "cid", "drawn", F.coalesce("component", "cid").alias("c"))
+    # buckets that still hold several classes
+    now = held.join(tied.withColumnRenamed("node", "cid").hint("merge"), "cid", "left").withColumn("c", F.coalesce("component", "cid")).drop("component")
     now = scratch(now, "classed")
-    open_ = scratch(now.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("bucket"), "open")
-    left = scratch(now.join(open_, "bucket", "left_semi"), "left")
-    kinds = left.select("bucket", "c").distinct()
-    two = kinds.select("bucket", F.col("c").alias("ca")).join(kinds.select("bucket", F.col("c").alias("cb")), "bucket").where("ca < cb")
-    one = left.select("bucket", F.col("c").alias("ca"), F.col("cid").alias("x"), F.col("drawn").alias("dx"))
-    other = left.select("bucket", F.col("c").alias("cb"), F.col("cid").alias("y"), F.col("drawn").alias("dy"))
-    pairs = two.join(one, ["bucket", "ca"]).join(other, ["bucket", "cb"]).where(agree("dx", "dy"))
-    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(stars.hint("merge"), ["a", "b"], "left_anti")
-    pairs = scratch(pairs, "pairs")
-    more, _ = verified(pairs, texts)
+    open_ = now.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).where("lo != hi")
+    open_ = scratch(open_.select("bucket", F.expr(f"cast((n + {block - 1}) div {block} as int)").alias("blocks")), "open", small=True)
+    left = scratch(now.join(open_.hint("merge"), "bucket"), "left", small=True)
+    cids = left.select("cid").distinct()
+    more_texts = texts_of(cids.join(texts.select("cid").hint("merge"), "cid", "left_anti"))
+    there = left.join(texts.unionByName(more_texts).hint("merge"), "cid").join(drawn.hint("merge"), "cid").withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int"))
+    there = there.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    there = there.select("bucket", "band", "cid", "drawn", "c", "text", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+
+    def meet(group: pa.Table) -> pa.Table:
+        """Links between the classes of a block, or of two."""
+        u = zstandard.ZstdDecompressor()
+        cid, block_ = np.array(group.column("cid")), np.array(group.column("block"))
+        drawn_ = np.array(group.column("drawn").combine_chunks().flatten()).reshape(len(cid), number)
+        _, parent = np.unique(np.array(group.column("c")), return_inverse=True)
+        band, low, high = (group.column(c)[0].as_py() for c in ("band", "lo", "hi"))
+        x, y = np.flatnonzero(block_ == low), np.flatnonzero(block_ == high)
+        text = [u.decompress(t.as_py()) for t in group.column("text")]
+        found: list[tuple[int, int]] = []
+        pairs: list[tuple[np.ndarray, ...]] = []
+        for i in x:
+            mine = y[y > i] if low == high else y
+            same = drawn_[mine] == drawn_[i]
+            earlier = same[:, : band * rows].reshape(len(mine), band, rows).all(axis=2).any(axis=1)
+            n = same.sum(axis=1)
+            told = np.flatnonzero(~earlier & (n >= np.ceil(sieve * number)) & (parent[mine] != parent[i]))
+            pairs.append((np.full(len(told), i), mine[told], n[told]))
+        a, b, n = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in zip(*pairs, strict=True)) if pairs else (np.zeros(0, np.int64),) * 3
+        order = np.argsort(-n, kind="stable")
+        a, b = a[order], b[order]
+        while len(a):
+            p, q = a[:256], b[:256]
+            a, b = a[256:], b[256:]
+            for i in np.flatnonzero(similarities([text[k] for pair in zip(p, q, strict=True) for k in pair], weights.value) >= similarity):
+                if parent[p[i]] != parent[q[i]]:
+                    found.append((cid[p[i]], cid[q[i]]))
+                    parent[parent == parent[q[i]]] = parent[p[i]]
+            open__ = parent[a] != parent[b]
+            a, b = a[open__], b[open__]
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    more = scratch(there.groupBy("bucket", "lo", "hi").applyInArrow(meet, "a bigint, b bigint"), "more")
     tied = components(links.unionByName(more)).select(F.col("node").alias("cid"), "component")
     named = classes.select("cid", "k1", "k2", "rep").join(tied.hint("merge"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     named = scratch(named, "named")

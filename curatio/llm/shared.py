@@ -1,22 +1,16 @@
-"""What the operators of this subpackage share: scratch tables, byte-level words, hashes and components.
-
-Scratch tables go to the folder that the cluster names in ``spark.checkpoint.dir``; where it is unset
-(tests on one machine) a temporary folder is used.  They cut lineage, so a lost executor costs a re-read
-of a table instead of a re-run of everything before it.
-"""
+"""What the operators of this subpackage share: scratch tables, byte-level words, hashes and components."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curatio.sources.scratch import partitions, scratch  # noqa: F401  the operators take them from here
+
 #: A word: what lies between blanks, as a Java and RE2 pattern.
 WORD = r"[^\x20\x09-\x0D]+"
 U64 = np.uint64
@@ -25,36 +19,6 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes of text that are handled at once, beside a single longer text.
 CHUNK = 2 << 20
-_roots: dict[str, str] = {}
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """A folder of this session's own below spark.checkpoint.dir, removed when the driver ends."""
-    app = spark.sparkContext.applicationId
-    if app not in _roots:
-        base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="curatio-")
-        _roots[app] = f"{base.rstrip('/')}/curatio-{uuid.uuid4().hex}"
-        atexit.register(_remove, spark, _roots[app])
-    return _roots[app]
-
-
-def _remove(spark: SparkSession, folder: str) -> None:
-    try:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    except Exception:  # the session is gone already, and with it whoever could delete
-        pass
-
-
-def scratch(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def text_key(text: Column) -> tuple[Column, Column]:
@@ -175,26 +139,27 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", salt: int = 32) ->
     cheap as any other.  Null ends and loops are left out.  Nothing goes to the driver but a checksum.
     """
     now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u is not null and v is not null and u != v")
-    now = scratch(now.distinct(), "edges")
+    now = scratch(now.distinct(), "edges", small=True)
     seen = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # large star: every larger neighbour is tied to the least of the neighbourhood
         now = _star(both, salt).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = scratch(now.where("u != v").distinct(), "large")
+        now = scratch(now.where("u != v").distinct(), "large", small=True)
         # small star: a node and its smaller neighbours are tied to the least of them
         tied = _star(now, salt)
         now = tied.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(tied.select("u", F.col("m").alias("v")))
-        now = scratch(now.where("u != v").distinct(), "small")
+        now = scratch(now.where("u != v").distinct(), "small", small=True)
         sign = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if sign == seen:
             break
         seen = sign
     stars = now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
-    return scratch(stars.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct(), "components")
+    return scratch(stars.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct(), "components", small=True)
 
 
 def _star(edges: DataFrame, salt: int) -> DataFrame:
-    least = scratch(edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
+    least = scratch(edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least", small=True)
     dealt = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    return edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(salt)).cast("int")).join(dealt, ["u", "salt"])
+    # both sides grow with the input, which a small compressed file does not show: never broadcast
+    return edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(salt)).cast("int")).join(dealt.hint("merge"), ["u", "salt"])
