@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from curatio.functions.text import lit_array
+from curatio.functions.text import let, lit_array
 
 #: Casing of brand words and product lines, makers, descriptions with their short forms, bare type codes.
 BRAND_CASING = {"matchking": "MatchKing", "gameking": "GameKing", "varmintking": "VarmintKing", "tippedmatchking": "Tipped MatchKing", "interlock": "InterLock", "superformance": "Superformance"}
@@ -87,6 +87,10 @@ def cased(text: Column, casing: dict[str, str]) -> Column:
 
 def without_maker(text: Column, maker: Column) -> Column:
     """Without the maker's name, or its first word, at the start, if anything is left."""
+    return let(text, lambda t: _without_maker(t, maker))
+
+
+def _without_maker(text: Column, maker: Column) -> Column:
     first = F.split(maker, " ")[0]
     rest = lambda name: F.ltrim(F.substring(text, F.length(name) + 1, F.length(text)))
     begins = lambda name: F.lower(text).startswith(F.lower(name)) & (rest(name) != "")
@@ -100,7 +104,7 @@ def bullet_display_name(name: Column, product_line: Column | None = None, maker:
     text = cleaned(without_maker(text, maker) if maker is not None else text)
     if product_line is None:
         return text
-    return F.when((F.length(text) < 2) & (F.coalesce(product_line, F.lit("")) != ""), bullet_line(product_line)).otherwise(text)
+    return let(text, lambda t: F.when((F.length(t) < 2) & (F.coalesce(product_line, F.lit("")) != ""), bullet_line(product_line)).otherwise(t))
 
 
 def bullet_line(product_line: Column) -> Column:
@@ -113,13 +117,16 @@ def cartridge_line(product_line: Column) -> Column:
 
 def combined(cartridge: Column, bullet: Column) -> Column:
     """Both lines, what they share once; a maker's name goes if it stands between other words and the bullet's line."""
-    c, b = F.lower(cartridge), F.lower(bullet)
-    at = F.instr(c, b)
-    before = F.rtrim(F.substring(cartridge, F.lit(1), at - 1))
-    words = F.split(before, r"\s+")
-    drop = (at > 1) & (F.size(words) > 1) & F.lower(F.element_at(words, -1)).isin(MAKERS)
-    shorter = cleaned(F.concat_ws(" ", F.array_join(F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), " "), F.substring(cartridge, at, F.length(cartridge))))
-    return F.when(c == b, cartridge).when(c.contains(b), F.when(drop, shorter).otherwise(cartridge)).when(b.contains(c), bullet).otherwise(F.concat_ws(" ", cartridge, bullet))
+
+    def of(p: Column) -> Column:
+        line, own, c, b = p["line"], p["own"], F.lower(p["line"]), F.lower(p["own"])
+        at = F.instr(c, b)
+        words = F.split(F.rtrim(F.substring(line, F.lit(1), at - 1)), r"\s+")
+        drop = (at > 1) & (F.size(words) > 1) & F.lower(F.element_at(words, -1)).isin(MAKERS)
+        shorter = cleaned(F.concat_ws(" ", F.array_join(F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), " "), F.substring(line, at, F.length(line))))
+        return F.when(c == b, line).when(c.contains(b), F.when(drop, shorter).otherwise(line)).when(b.contains(c), own).otherwise(F.concat_ws(" ", line, own))
+
+    return let(F.struct(cartridge.alias("line"), bullet.alias("own")), of)
 
 
 def _comma_form(text: Column) -> Column:
@@ -129,24 +136,31 @@ def _comma_form(text: Column) -> Column:
 def _identity_by_comma(text: Column) -> Column:
     """The fourth of the comma-separated parts, abbreviated, or nothing if it repeats the first."""
     parts = F.split(text, ",")
-    line = F.lower(F.trim(parts[0]))
     described = F.trim(parts[3])
     for maker in MAKERS:
         described = F.trim(F.regexp_replace(described, rf"(?i)\b{maker}\b", ""))
-    lower = F.lower(described)
-    short = F.element_at(F.create_map(*(F.lit(x) for pair in DESCRIPTIONS.items() for x in pair)), lower)
-    rest = cleaned(rewritten(described, BRANDED_PATTERNS))
-    return F.when(short.isNotNull(), short).when(line.contains(lower) | line.startswith(lower), F.lit(None)).when(F.length(rest) >= 2, rest)
+    table = F.create_map(*(F.lit(x) for pair in DESCRIPTIONS.items() for x in pair))
+
+    def of(p: Column) -> Column:
+        lower, rest = F.lower(p["d"]), cleaned(rewritten(p["d"], BRANDED_PATTERNS))
+        short = F.try_element_at(table, lower)
+        return F.when(short.isNotNull(), short).when(p["line"].contains(lower) | p["line"].startswith(lower), F.lit(None)).otherwise(let(rest, lambda r: F.when(F.length(r) >= 2, r)))
+
+    return let(F.struct(F.lower(F.trim(parts[0])).alias("line"), described.alias("d")), of)
 
 
 def identity_from_name(name: Column, cartridge: Column) -> Column:
     """What a cartridge's name says of its bullet, besides the cartridge's line; null if nothing."""
     text = plain(name)
+
+    def rest_of(p: Column) -> Column:
+        at = F.instr(F.lower(p["short"]), F.lower(p["line"]))
+        rest = cleaned(F.concat(F.substring(p["short"], F.lit(1), at - 1), F.substring(p["short"], at + F.length(p["line"]), F.length(p["short"]))))
+        return F.when(at > 0, let(rest, lambda r: F.when((F.length(r) >= 2) & ~F.array_contains(lit_array(TYPE_CODES), F.upper(r)), r)))
+
     short = cleaned(rewritten(text, CARTRIDGE_PATTERNS, WEIGHT_PATTERNS, VELOCITY_PATTERNS))
-    at = F.instr(F.lower(short), F.lower(cartridge))
-    rest = cleaned(F.concat(F.substring(short, F.lit(1), at - 1), F.substring(short, at + F.length(cartridge), F.length(short))))
-    told = (at > 0) & (F.length(rest) >= 2) & ~F.array_contains(lit_array(TYPE_CODES), F.upper(rest))
-    return F.when(_comma_form(text), _identity_by_comma(text)).when(told, rest)
+    by_line = let(F.struct(short.alias("short"), cartridge.alias("line")), rest_of)
+    return F.when(_comma_form(text), _identity_by_comma(text)).otherwise(by_line)
 
 
 def derived_from_name(name: Column) -> Column:
@@ -159,6 +173,9 @@ def cartridge_display_name(name: Column, product_line: Column, bullet_product_li
     """Four ways: from both lines, the cartridge's line and its name, the bullet's line, or the name alone."""
     line = F.when(F.coalesce(product_line, F.lit("")) != "", cartridge_line(product_line))
     bullet = F.when(F.coalesce(bullet_product_line, F.lit("")) != "", bullet_line(bullet_product_line))
-    has_line, has_bullet = F.coalesce(line, F.lit("")) != "", F.coalesce(bullet, F.lit("")) != ""
-    identity = identity_from_name(name, line)
-    return F.when(has_line & has_bullet, combined(line, bullet)).when(has_line, F.when(identity.isNotNull(), combined(line, identity)).otherwise(line)).when(has_bullet, bullet).otherwise(derived_from_name(name))
+
+    def of(p: Column) -> Column:
+        identity = let(identity_from_name(p["name"], p["line"]), lambda i: F.when(i.isNotNull(), combined(p["line"], i)).otherwise(p["line"]))
+        return F.when((p["line"] != "") & (p["own"] != ""), combined(p["line"], p["own"])).when(p["line"] != "", identity).when(p["own"] != "", p["own"]).otherwise(derived_from_name(p["name"]))
+
+    return let(F.struct(name.alias("name"), F.coalesce(line, F.lit("")).alias("line"), F.coalesce(bullet, F.lit("")).alias("own")), of)
