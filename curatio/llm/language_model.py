@@ -153,7 +153,7 @@ class Automaton:
                 break
             part = total[:m]
             state[:m] = self.step(state[:m], ids[first[:m] + t], part)
-        return np.bincount(doc, total, len(sizes))
+        return np.bincount(doc, total, len(sizes)).astype(float)
 
 
 def build(hashes: np.ndarray, counts: np.ndarray, n: int, v: int, frequent: np.ndarray, bigrams: tuple[np.ndarray, np.ndarray], trigrams: tuple[np.ndarray, np.ndarray]) -> Automaton:
@@ -265,7 +265,7 @@ def scored(docs: DataFrame, training: Column, *, text: str = "text", key: str =
             ids = automaton.ids(at)
             doc = np.repeat(np.arange(part.num_rows), np.diff(bounds))
             here = ids >= 0
-            base = np.bincount(doc[here], automaton.unigram[ids[here]], part.num_rows)
+            base = np.bincount(doc[here], automaton.unigram[ids[here]], part.num_rows).astype(float)
             known = np.bincount(doc[here], minlength=part.num_rows)
             rare, rare_doc = at[~here], doc[~here]
             order = np.lexsort((rare, rare_doc))
