@@ -282,3 +282,20 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: Every pair of texts that share a shingle, without sampling.
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [1] ELSE range(1, len(w) - 3) END) AS i FROM d)),
+f AS (SELECT doc_id, s, count(*) AS n FROM x GROUP BY 1, 2),
+i AS (SELECT s, ln(1 + (SELECT count(*) FROM d) / greatest(count(*), 0.01::DOUBLE * (SELECT count(*) FROM d))) AS idf FROM f GROUP BY s),
+v AS (SELECT doc_id, s, n * idf AS w FROM f JOIN i USING (s)),
+z AS (SELECT doc_id, sum(w) AS total FROM v GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.w, b.w)) AS m FROM v a JOIN v b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT p.a, p.b FROM p JOIN z za ON za.doc_id = p.a JOIN z zb ON zb.doc_id = p.b WHERE m / (za.total + zb.total - m) >= 0.8 UNION SELECT a.doc_id, b.doc_id FROM d a JOIN d b ON a.t = b.t AND a.doc_id < b.doc_id),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a, min(b) AS class_id FROM r GROUP BY a)
+SELECT a AS doc_id, class_id, a = class_id AS kept FROM c
+"""

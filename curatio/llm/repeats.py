@@ -180,3 +180,14 @@ def deduplicated(docs: DataFrame, *, text: str = "text", key: str = "doc_id", wi
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicated(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("spans")
+
+
+ORACLE = r"""
+WITH k AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM k)),
+r AS (SELECT doc_id, i FROM s WHERE x IN (SELECT x FROM s GROUP BY x HAVING count(*) > 1)),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM r),
+u AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM k),
+m AS (SELECT u.doc_id, count(c.p) AS n_removed, string_agg(word, ' ' ORDER BY u.p) FILTER (WHERE c.p IS NULL) AS kept FROM u LEFT JOIN c ON c.doc_id = u.doc_id AND c.p = u.p GROUP BY u.doc_id)
+SELECT k.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM k LEFT JOIN m ON m.doc_id = k.doc_id
+"""
