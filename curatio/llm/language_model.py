@@ -56,7 +56,7 @@ def led(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, n
 class Tally:
     """Counts of 64-bit keys, added up so that a task hands on each key about once."""
 
-    def __init__(self, most: int = 1_500_000) -> None:
+    def __init__(self, most: int = 600_000) -> None:
         self.most, self.parts, self.size = most, [], 0
 
     def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -196,7 +196,7 @@ def build(hashes: np.ndarray, counts: np.ndarray, n: int, v: int, frequent: np.n
     return Automaton(hashes, unigram, state_of, keys[order], np.log10(np.concatenate([p2, p3]))[order], np.concatenate([follow2, follow3])[order], failure, backoff)
 
 
-def counted(texts: DataFrame, keys_of, most: int = 1_500_000) -> DataFrame:
+def counted(texts: DataFrame, keys_of, most: int = 600_000) -> DataFrame:
     """(k, c): how often each key occurs that keys_of(data, offsets) finds in all texts."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

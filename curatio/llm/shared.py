@@ -18,7 +18,7 @@ _MULT, _INV = 0x9E3779B97F4A7C15 | 1, pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes of text that are handled at once, beside a single longer text.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 
 def text_key(text: Column) -> tuple[Column, Column]:
