@@ -70,13 +70,13 @@ HOST = "lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1))"
 @query(f"""
 WITH p AS (SELECT {HOST} AS host, length(html) > 3000 AS parsed FROM pages), h AS (SELECT host, count(*) AS n FROM p GROUP BY host),
 f AS (SELECT CASE WHEN n < 5 THEN 'other' ELSE p.host END AS host, parsed FROM p JOIN h ON h.host = p.host)
-SELECT host, count(*) AS n, count(*) FILTER (WHERE parsed) AS by_parser, round(count(*) FILTER (WHERE parsed) / count(*)::DOUBLE, 4) AS rate, count(*) >= 20 AND count(*) FILTER (WHERE parsed) < 0.8 * count(*) AS drift FROM f GROUP BY host
+SELECT host, count(*) AS n, count(*) FILTER (WHERE parsed) AS by_parser, round(count(*) FILTER (WHERE parsed) / count(*)::DOUBLE, 4) AS rate, count(*) >= 20 AND count(*) FILTER (WHERE parsed) < 0.8 * count(*) AS falling FROM f GROUP BY host
 """)
 def lineage_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How pages were read, by host, small hosts together, with an alert where the parser's share falls."""
     by_host = table(spark, sf_dir, "pages").select(url_host(F.col("url")).alias("host"), (F.length("html") > 3000).alias("parsed")).groupBy("host").agg(F.count("*").alias("n"), F.count_if("parsed").alias("p"))
     folded = by_host.groupBy(F.when(F.col("n") < 5, "other").otherwise(F.col("host")).alias("host")).agg(F.sum("n").alias("n"), F.sum("p").alias("by_parser"))
-    return folded.select("host", "n", "by_parser", F.round(ratio(F.col("by_parser"), F.col("n")), 4).alias("rate"), ((F.col("n") >= 20) & (F.col("by_parser") < 0.8 * F.col("n"))).alias("drift"))
+    return folded.select("host", "n", "by_parser", F.round(ratio(F.col("by_parser"), F.col("n")), 4).alias("rate"), ((F.col("n") >= 20) & (F.col("by_parser") < 0.8 * F.col("n"))).alias("falling"))
 
 
 @query("WITH g AS (SELECT regexp_replace(url, '[?#].*$', '') AS base, list(page_id ORDER BY page_id) AS ids FROM pages GROUP BY 1) SELECT base, len(ids) AS n, ids[1] AS first_id FROM g WHERE len(ids) > 1")
