@@ -100,8 +100,8 @@ def mixed(docs: DataFrame, *, text: str = "text", key: str = "doc_id", source: s
     in a slot (order: the column that orders the documents within a source by its hash, else the key), (shard, source, pass, slot, block, first, start, words): words [start, start + words) of the
     document whose words begin at ``first`` of its source."""
     sized = scratch(docs.select(F.col(key).alias("key"), F.col(order or key).alias("order"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")), "sizes")
-    plan = scratch(targets(sized), "targets")
-    at = scratch(placed(sized, seed, buckets), "places")
+    plan = scratch(targets(sized), "targets", small=True)
+    at = scratch(placed(sized, seed, buckets), "places", small=True)
     pieces = at.where("size > 0").withColumn("block", F.explode(F.sequence(F.expr(f"first div {block}"), F.expr(f"(first + size - 1) div {block}"))))
     taken = slots(plan, block, shards, seed).hint("merge").withColumnRenamed("source", "s").withColumnRenamed("block", "b").withColumnRenamed("words", "most")
     # both sides grow with the input, which the size of a small compressed table does not show: never broadcast

@@ -228,7 +228,7 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     tied = components(links)
     # buckets that still hold several classes
     now = held.join(tied.withColumnRenamed("node", "cid").hint("merge"), "cid", "left").withColumn("c", F.coalesce("component", "cid")).drop("component")
-    now = scratch(now, "classed")
+    now = scratch(now, "classed", small=True)
     open_ = now.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).where("lo != hi")
     open_ = scratch(open_.select("bucket", F.expr(f"cast((n + {block - 1}) div {block} as int)").alias("blocks")), "open", small=True)
     left = scratch(now.join(open_.hint("merge"), "bucket"), "left", small=True)
@@ -273,9 +273,9 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     more = scratch(there.groupBy("bucket", "lo", "hi").applyInArrow(meet, "a bigint, b bigint"), "more")
     tied = components(links.unionByName(more)).select(F.col("node").alias("cid"), "component")
     named = classes.select("cid", "k1", "k2", "rep").join(tied.hint("merge"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    named = scratch(named, "named")
-    first = scratch(named.groupBy("component").agg(F.min("rep").alias("class_id")), "first")
-    named = scratch(named.join(first.hint("merge"), "component").select("k1", "k2", "class_id"), "told")
+    named = scratch(named, "named", small=True)
+    first = scratch(named.groupBy("component").agg(F.min("rep").alias("class_id")), "first", small=True)
+    named = scratch(named.join(first.hint("merge"), "component").select("k1", "k2", "class_id"), "told", small=True)
     out = members.join(named.hint("merge"), ["k1", "k2"])
     return out.select(F.col("key").alias(key), "class_id", F.col("key").eqNullSafe(F.col("class_id")).alias("kept"))
 

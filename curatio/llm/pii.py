@@ -28,6 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curatio.functions.text import let
 from curatio.llm.shared import scratch, text_key
 
 #: Titles by gender, then names by script and gender to draw from.
@@ -131,7 +132,11 @@ def names_of(match: Column) -> Column:
 
 def entities_of(match: Column) -> Column:
     """The (kind, norm) pairs of a match: two for a person with a given name, none for what only looks like an entity."""
-    kind, names = kind_of(match), names_of(match)
+    return let(kind_of(match), lambda kind: _entities(match, kind))
+
+
+def _entities(match: Column, kind: Column) -> Column:
+    names = names_of(match)
     country = F.regexp_extract(match, r"^\+(\d{1,3}?)(?=[ .\-(]|\d{7,}$)", 1)
     norm = (
         F.when(kind == "email", F.lower(match))
@@ -215,8 +220,11 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
 
 def written(match: Column, known: Column) -> Column:
     """A match with its surrogate in its own format; known: a map from kind and norm to surrogate."""
-    kind, pairs = kind_of(match), entities_of(match)
-    found = F.transform(pairs, lambda p: F.try_element_at(known, F.concat(p["kind"], F.lit(" "), p["norm"])))
+    surrogates_of = lambda kind: F.transform(_entities(match, kind), lambda p: F.try_element_at(known, F.concat(p["kind"], F.lit(" "), p["norm"])))
+    return let(kind_of(match), lambda kind: let(surrogates_of(kind), lambda found: _written(match, kind, found)))
+
+
+def _written(match: Column, kind: Column, found: Column) -> Column:
     first = F.try_element_at(found, F.lit(1))
 
     def poured(number: Column) -> Column:

@@ -78,7 +78,10 @@ class Model:
 
 def select(positive: list[np.ndarray], unlabelled: list[np.ndarray], keep: int, least: int = 3) -> np.ndarray:
     """The places that are more frequent among positives than in unlabelled text, by how many deviations; at most ``keep``."""
-    p, u = (np.bincount(np.concatenate(x) if x else np.zeros(0, np.int64), minlength=PLACES).astype(float) for x in (positive, unlabelled))
+    p, u = np.zeros(PLACES), np.zeros(PLACES)
+    for counts, texts in ((p, positive), (u, unlabelled)):
+        for t in texts:  # a text's places are distinct
+            counts[t] += 1
     pp, pu = p / max(1, len(positive)), (u + 0.5) / (len(unlabelled) + 1)
     z = (pp - pu) / np.sqrt(pu / max(1, len(positive)))
     z[p < least] = -1
@@ -93,10 +96,9 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     index[chosen] = np.arange(len(chosen))
 
     def rows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
-        row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-        column = index[np.concatenate(texts)] if texts else np.zeros(0, np.int64)
-        told = column >= 0
-        return row[told], column[told], len(texts)
+        columns = [index[t] for t in texts]
+        columns = [c[c >= 0] for c in columns]
+        return np.repeat(np.arange(len(texts)), [len(c) for c in columns]), np.concatenate([np.zeros(0, np.int64), *columns]), len(texts)
 
     sets = rows(positive), rows(unlabelled)
     w = np.zeros(len(chosen) + 1)
@@ -116,7 +118,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     return Model(weights, float(w[-1]))
 
 
-def train(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "doc_id", label: str = "toxic", positives: int = 4000, unlabelled: int = 8000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "doc_id", label: str = "toxic", positives: int = 2500, unlabelled: int = 5000) -> Model:
     """A model from the labels given; their documents' texts are found by key."""
     labels = labels.select(F.col(key).alias("key"), F.col(label).alias("label")).where("key is not null and label is not null")
     n, toxic = labels.agg(F.count("*"), F.count_if(F.col("label") == 1)).first()
@@ -138,10 +140,13 @@ def train(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str =
     texts = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).join(F.broadcast(wanted), "key")
     sort = F.when(F.col("p"), 1).otherwise(0) + F.when(F.col("u"), 2).otherwise(0)
     schema = StructType([StructField("key", docs.schema[key].dataType), StructField("sort", LongType()), StructField("places", BinaryType())])
-    rows = texts.select("key", sort.cast("long").alias("sort"), "text").mapInArrow(task, schema).toArrow().to_pydict()
+    table = texts.select("key", sort.cast("long").alias("sort"), "text").mapInArrow(task, schema).toArrow()
+    rows = {"key": table.column("key").to_pylist(), "sort": table.column("sort").to_pylist(), "places": table.column("places").to_pylist()}
+    del table
+    pa.default_memory_pool().release_unused()
     order = sorted(range(len(rows["key"])), key=lambda i: (rows["key"][i], rows["places"][i]))
     order = [i for k, i in enumerate(order) if not k or rows["key"][i] != rows["key"][order[k - 1]]]  # a key's rows count once
-    read = lambda bit: [np.frombuffer(rows["places"][i], np.uint32).astype(np.int64) for i in order if rows["sort"][i] & bit]
+    read = lambda bit: [np.frombuffer(rows["places"][i], np.uint32) for i in order if rows["sort"][i] & bit]
     found = read(1), read(2)
     return fit(*found, prior) if all(found) else Model(np.zeros(PLACES), -500.0)
 
