@@ -1,20 +1,19 @@
 """Language-model scoring with a weighted backoff automaton.
 
-Unigrams are smoothed additively and cover every word of the training texts.  Bigrams and trigrams that make
-up at least ``share`` of all training tokens (so at most 1 / share of either, whatever the input) are
-discounted and become arcs of an automaton: a state is a context of up to two tokens, an arc its
-log-probability and the next state, and what has no arc takes the failure arc to the next shorter context,
-at the weight that keeps every context's probabilities adding up to 1.  Scoring is one pass from left to
-right that carries the state and adds up log-probabilities.  Many texts are walked abreast; a long text is
-walked as lines of ``line`` tokens, each led in by the two tokens before it, which fix the state.
-
-Counts come from all training rows.  The automaton and the words that make up at least ``word_share`` of the
-tokens (at most 1 / word_share) are broadcast.  Every rarer word is counted just as exactly: a text's rare
-words go to the vocabulary by a join, and their unigram weights come back as one sum by text.
+Unigrams are smoothed additively and cover every word of the training texts.  Every bigram and trigram that occurs
+at least twice in them is kept, at any size, and discounted; what is not kept takes the failure arc to the next shorter
+context, at the weight that keeps every context's probabilities adding up to 1.  The model is held as tables of words
+and n-grams.  A walk of the automaton adds up weights that depend on one n-gram each, so each entry carries what it adds
+wherever it occurs (see ``weighed``) and a text's score is a sum over its words, bigrams and trigrams.  ``Automaton`` is
+the same model in one process, walked from left to right.
+
+Counts come from all training rows.  The words that make up at least ``word_share`` of the tokens and the n-grams that
+make up at least ``hot_share`` (at most 1 / share of each order) are broadcast.  All others go to their tables by
+a join, and their weights come back as sums by text.
 
 A null or empty text is the end token alone.  A null id counts as a training row.  Repeated rows count and are
 scored each on their own.  Without training rows every token is unknown.  An empty table gives an empty
-result.  Other columns are not carried.  Tokens are told apart by 64-bit hashes.
+result.  Other columns are not carried.  Tokens and n-grams are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from curatio.llm.shared import chunks, crc32_of_id, lists, scratch, spans_hash, words
 
@@ -208,88 +207,155 @@ def counted(texts: DataFrame, keys_of, most: int = 600_000) -> DataFrame:
     return texts.mapInArrow(task, "k bigint, c bigint").groupBy("k").agg(F.sum("c").alias("c"))
 
 
-def scored(docs: DataFrame, training: Column, *, text: str = "text", key: str = "doc_id", share: float = 4e-6, word_share: float = 5e-7) -> DataFrame:
-    """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row; training: which rows to learn from."""
+def paired(x: np.ndarray, y: np.ndarray, turn: int) -> np.ndarray:
+    """One 64-bit key for two, y's bits turned; the same as ``paired_column``."""
+    y = y.view(np.uint64)
+    return x ^ ((y << np.uint64(turn)) | (y >> np.uint64(64 - turn))).view(np.int64)
+
+
+def paired_column(x: str, y: str, turn: int) -> Column:
+    return F.col(x).bitwiseXOR(F.shiftleft(y, turn).bitwiseOR(F.shiftrightunsigned(y, 64 - turn)))
+
+
+TURN2, TURN3 = 21, 33  # of a bigram's second word, of a trigram's second bigram
+
+
+def ngrams(ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Words led by END, where each bigram's second word stands, the bigrams' keys (by position), and where each trigram's third word stands."""
+    all_, first = led(ids, bounds, int(END))
+    ok2 = np.flatnonzero(~first)
+    key2 = np.zeros(len(all_), np.int64)
+    key2[ok2] = paired(all_[ok2 - 1], all_[ok2], TURN2)
+    return all_, ok2, key2, ok2[~first[ok2 - 1]]
+
+
+def counted_ngrams(texts: DataFrame, most: int = 400_000) -> DataFrame:
+    """(three, x, y, c): how often each bigram (of words x, y) and each trigram (of bigrams x, y) occurs."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[list[tuple[np.ndarray, ...]]] = [[], []]
+        size = 0
+
+        def merged(some: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+            k, x, y, c = (np.concatenate([p[i] for p in some]) for i in range(4))
+            order = np.argsort(k)
+            k = k[order]
+            cut = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+            return k[cut], x[order[cut]], y[order[cut]], np.add.reduceat(c[order], cut)
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for three in (False, True):
+                if parts[three]:
+                    _, x, y, c = merged(parts[three])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), three)), pa.array(x), pa.array(y), pa.array(c)], ["three", "x", "y", "c"])
+                parts[three] = []
+
+        for _, data, offsets in chunks(batches, "text"):
+            all_, ok2, key2, ok3 = ngrams(*tokens(data, offsets))
+            for three, k, x, y in ((0, key2[ok2], all_[ok2 - 1], all_[ok2]), (1, paired(key2[ok3 - 1], key2[ok3], TURN3), key2[ok3 - 1], key2[ok3])):
+                if len(k):
+                    parts[three].append(merged([(k, x, y, np.ones(len(k), np.int64))]))
+                    size += len(parts[three][-1][0])
+            if size > 2 * most:
+                yield from flush()
+                size = 0
+        yield from flush()
+
+    # added up before the shuffle as far as it helps: a second map-side aggregate would only spill
+    found = texts.mapInArrow(task, "three boolean, x bigint, y bigint, c bigint").repartition("three", "x", "y")
+    return found.groupBy("three", "x", "y").agg(F.sum("c").alias("c"))
+
+
+def weighed(vocabulary: DataFrame, grams: DataFrame, n: int, v: int) -> tuple[DataFrame, DataFrame]:
+    """Words (k, c, base, score) and n-grams (k, c, score), whose scores' sum over a text is its log-probability.
+
+    A token's log-probability is that of its longest kept n-gram and the failure weights above it.  Written as a sum it
+    is the unigram's and both contexts' failure weights, and for each kept n-gram what it has over its failure arc; what
+    has no entry adds nothing."""
+    merge = lambda t: t.hint("merge")
+    uni = F.log10((F.col("c") + ADD) / (n + ADD * (v + 1)))
+    words_ = vocabulary.select("k", "c", uni.alias("base"))
+    failing = lambda own, low: F.log10(F.greatest(1 - F.sum(own), F.lit(1e-12)) / F.greatest(1 - F.sum(low), F.lit(1e-12)))
+    two = grams.where("not three").select(F.col("x").alias("a"), F.col("y").alias("b"), "c", paired_column("x", "y", TURN2).alias("k"))
+    two = two.join(merge(words_.select(F.col("k").alias("a"), F.col("c").alias("ca"))), "a").join(merge(words_.select(F.col("k").alias("b"), F.col("base").alias("low"))), "b")
+    two = scratch(two.select("k", "a", "c", "low", ((F.col("c") - DISCOUNT) / F.col("ca")).alias("p")), "bigrams")
+    back1 = scratch(two.groupBy("a").agg(failing(F.col("p"), F.pow(F.lit(10.0), "low")).alias("back")), "back1")
+    three = grams.where("three").select("x", "y", "c", paired_column("x", "y", TURN3).alias("k"))
+    three = three.join(merge(two.select(F.col("k").alias("x"), F.col("c").alias("cx"))), "x").join(merge(two.select(F.col("k").alias("y"), F.col("p").alias("low"))), "y")
+    three = scratch(three.select("k", "x", "c", "low", ((F.col("c") - DISCOUNT) / F.col("cx")).alias("p")), "trigrams")
+    back2 = scratch(three.groupBy("x").agg(failing(F.col("p"), F.col("low")).alias("back")), "back2")
+    one = words_.join(merge(back1.withColumnRenamed("a", "k")), "k", "left").select("k", "c", "base", (F.col("base") + F.coalesce("back", F.lit(0.0))).alias("score"))
+    two = two.join(merge(back1), "a").withColumn("over", F.log10("p") - F.col("back") - F.col("low")).drop("back")
+    two = two.join(merge(back2.withColumnRenamed("x", "k")), "k", "left").select("k", "c", (F.col("over") + F.coalesce("back", F.lit(0.0))).alias("score"))
+    three = three.join(merge(back2), "x").select("k", "c", (F.log10("p") - F.col("back") - F.log10("low")).alias("score"))
+    return one, two.unionByName(three)
+
+
+def scored(docs: DataFrame, training: Column, *, text: str = "text", key: str = "doc_id", share: float = 0.0, word_share: float = 5e-7, hot_share: float = 4e-6) -> DataFrame:
+    """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row; training: which rows to learn from.
+
+    share: n-grams below this share of the tokens are left out, by default none that occurs twice.  word_share, hot_share:
+    the words and n-grams that are broadcast; they change no result."""
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), F.coalesce(training, F.lit(True)).alias("training"))
     texts = rows.where("training").select("text")
     vocabulary = scratch(counted(texts, lambda data, offsets: tokens(data, offsets)[0]), "vocabulary")
     n, v = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    head = vocabulary.where(F.col("c") >= word_share * n).orderBy("k").toArrow()  # at most 1 / word_share rows
-    hashes, counts = np.array(head.column("k")), np.array(head.column("c"))
-    frequent = np.flatnonzero(counts >= share * n)
-    f = max(1, len(frequent))
-    place = np.full(len(hashes) + 1, -1)  # the last: for -1
-    place[frequent] = np.arange(len(frequent))
-    end = int(np.searchsorted(hashes, END)) if len(hashes) else -1
-    words_ = spark.sparkContext.broadcast((hashes, place))
-
-    def bigram_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        return pairs(data, offsets)[0]
-
-    def pairs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Keys of bigrams of frequent words, the positions of their second words, and all places."""
-        hashes_, place_ = words_.value
-        at, bounds = tokens(data, offsets)
-        near = np.minimum(np.searchsorted(hashes_, at), len(hashes_) - 1)
-        ids, first = led(place_[np.where(hashes_[near] == at, near, -1)], bounds, place_[end])
-        ok = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0) & ~first[1:]) + 1
-        return ids[ok - 1] * f + ids[ok], ok, ids
-
-    empty = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def kept(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        found = table.where(F.col("c") >= max(2.0, share * n)).orderBy("k").toArrow()  # at most 1 / share rows
-        return np.array(found.column("k")), np.array(found.column("c"))
-
-    bigrams = kept(counted(texts, bigram_keys)) if n else empty
-    pairs_ = spark.sparkContext.broadcast(bigrams[0])
-
-    def trigram_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        key2, at, ids = pairs(data, offsets)
-        known = pairs_.value
-        near = np.minimum(np.searchsorted(known, key2), len(known) - 1)
-        which = np.full(len(ids), -1)  # the kept bigram that ends at a position
-        hit = known[near] == key2
-        which[at[hit]] = near[hit]
-        ok = np.flatnonzero((which[:-1] >= 0) & (which[1:] >= 0)) + 1
-        return which[ok - 1] * f + ids[ok]
-
-    trigrams = kept(counted(texts, trigram_keys)) if len(bigrams[0]) else empty
-    model = spark.sparkContext.broadcast(build(hashes, counts, n, v, frequent, bigrams, trigrams))
+    # an n-gram's words and shorter n-grams occur at least as often, so they are kept with it
+    grams = scratch(counted_ngrams(texts).where(F.col("c") >= max(2.0, share * n)), "ngrams")
+    one, more_ = (scratch(t, name) for t, name in zip(weighed(vocabulary, grams, n, v), ("words", "arcs"), strict=True))
+    head = one.where(F.col("c") >= word_share * n).orderBy("k").toArrow()  # at most 1 / word_share rows
+    hot = more_.where(F.col("c") >= hot_share * n).orderBy("k").toArrow()  # at most 2 / hot_share rows
+    model = spark.sparkContext.broadcast(tuple(np.array(t.column(c)) for t, columns in ((head, ("k", "base", "score")), (hot, ("k", "score"))) for c in columns))
+
+    def among(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where keys stand among the known, and whether they do."""
+        if not len(known):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        return at, known[at] == keys
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, uid = model.value, TaskContext.get().partitionId() << 40
+        word_keys, word_base, word_score, gram_keys, gram_score = model.value
+        uid = TaskContext.get().partitionId() << 40
         for part, data, offsets in chunks(batches, "text"):
-            at, bounds = tokens(data, offsets)
-            ids = automaton.ids(at)
+            ids, bounds = tokens(data, offsets)
             doc = np.repeat(np.arange(part.num_rows), np.diff(bounds))
-            here = ids >= 0
-            base = np.bincount(doc[here], automaton.unigram[ids[here]], part.num_rows).astype(float)
+            at, here = among(word_keys, ids)
+            sums = lambda values, where: np.bincount(where, values, part.num_rows).astype(float)
+            base, total = sums(word_base[at[here]], doc[here]), sums(word_score[at[here]], doc[here])
             known = np.bincount(doc[here], minlength=part.num_rows)
-            rare, rare_doc = at[~here], doc[~here]
-            order = np.lexsort((rare, rare_doc))
-            rare, rare_doc = rare[order], rare_doc[order]
-            new = np.flatnonzero(np.concatenate([[True], (rare[1:] != rare[:-1]) | (rare_doc[1:] != rare_doc[:-1])])) if len(rare) else np.zeros(0, np.int64)
-            times = np.diff(np.append(new, len(rare)))
-            cuts = np.searchsorted(rare_doc[new], np.arange(part.num_rows + 1))
+            asked, asker = [ids[~here]], [doc[~here]]
+            _, ok2, key2, ok3 = ngrams(ids, bounds)
+            led_doc = np.repeat(np.arange(part.num_rows), np.diff(bounds) + 1)
+            for keys, where in ((key2[ok2], led_doc[ok2]), (paired(key2[ok3 - 1], key2[ok3], TURN3), led_doc[ok3])):
+                at, hit = among(gram_keys, keys)
+                total += sums(gram_score[at[hit]], where[hit])
+                asked.append(keys[~hit])
+                asker.append(where[~hit])
+            asked, asker = np.concatenate(asked), np.concatenate(asker)
+            order = np.argsort(asker, kind="stable")
+            cuts = np.searchsorted(asker[order], np.arange(part.num_rows + 1))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(part.num_rows) + uid), part.column("key"), part.column("training"), pa.array(np.diff(bounds)), pa.array(known), pa.array(base), pa.array(automaton.scores(ids, bounds)), lists(pa.array(rare[new]), cuts), lists(pa.array(times.astype(np.int32)), cuts)],
+                [pa.array(np.arange(part.num_rows) + uid), part.column("key"), part.column("training"), pa.array(np.diff(bounds)), pa.array(known), pa.array(base), pa.array(total), lists(pa.array(asked[order]), cuts)],
                 names,
             )
             uid += part.num_rows
 
-    names = ["uid", "key", "training", "n_tokens", "known", "base", "score", "rare", "times"]
-    schema = StructType([StructField("uid", LongType()), StructField("key", docs.schema[key].dataType), StructField("training", rows.schema["training"].dataType), StructField("n_tokens", LongType()), StructField("known", LongType()), StructField("base", DoubleType()), StructField("score", DoubleType()), StructField("rare", ArrayType(LongType())), StructField("times", ArrayType(IntegerType()))])
+    names = ["uid", "key", "training", "n_tokens", "known", "base", "score", "asked"]
+    schema = StructType([StructField("uid", LongType()), StructField("key", docs.schema[key].dataType), StructField("training", rows.schema["training"].dataType), StructField("n_tokens", LongType()), StructField("known", LongType()), StructField("base", DoubleType()), StructField("score", DoubleType()), StructField("asked", ArrayType(LongType()))])
     walked = scratch(rows.select("key", "training", "text").mapInArrow(score, schema), "walked")
-    # the rare words' own weights, from the whole vocabulary
-    asked = walked.select("uid", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("uid", F.col("x.rare").alias("k"), F.col("x.times").alias("times"))
-    told = asked.join(vocabulary.where(F.col("c") < word_share * n).hint("merge"), "k", "left")
-    weight = F.log10((F.coalesce("c", F.lit(0)) + ADD) / (n + ADD * (v + 1)))
-    sums = told.groupBy("uid").agg(F.sum(weight * F.col("times")).alias("more"), F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("also"))
-    done = walked.drop("rare", "times").join(sums.hint("merge"), "uid", "left")
-    more = F.coalesce("more", F.lit(0.0))
-    return done.select(F.col("key").alias(key), (~F.col("training")).alias("held_out"), "n_tokens", (F.col("known") + F.coalesce("also", F.lit(0))).alias("n_known"), F.lit(int(n)).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"), (F.col("score") + more).alias("score"))
+    # the rarer words and n-grams, from the whole tables
+    asked = walked.select("uid", F.explode("asked").alias("k"))
+    cold = one.where(F.col("c") < word_share * n).select("k", "base", "score", F.lit(1).alias("known"))
+    cold = cold.unionByName(more_.where(F.col("c") < hot_share * n).select("k", F.lit(0.0).alias("base"), "score", F.lit(0).alias("known")))
+    sums = asked.join(cold.hint("merge"), "k").groupBy("uid").agg(F.sum("base").alias("more_base"), F.sum("score").alias("more"), F.sum("known").alias("also"))
+    done = walked.drop("asked").join(sums.hint("merge"), "uid", "left")
+    # a word that no training text has
+    unknown = (F.col("n_tokens") - F.col("n_known")) * F.lit(float(np.log10(ADD / (n + ADD * (v + 1)))))
+    done = done.withColumn("n_known", F.col("known") + F.coalesce("also", F.lit(0)))
+    added = lambda own, more: F.col(own) + F.coalesce(more, F.lit(0.0)) + unknown
+    return done.select(F.col("key").alias(key), (~F.col("training")).alias("held_out"), "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"), added("base", "more_base").alias("base_score"), added("score", "more").alias("score"))
 
 
 def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -210,6 +210,24 @@ def test_scores_are_those_of_a_plain_model(spark, share, word_share):
         assert (r.base_score, r.score) == (pytest.approx(base, abs=1e-6), pytest.approx(score, abs=1e-6))
 
 
+@pytest.mark.parametrize(("word_share", "hot_share"), [(5e-7, 4e-6), (0.01, 0.01), (1.0, 1.0)])
+def test_all_ngrams_that_occur_twice_are_kept_wherever_they_are_looked_up(spark, word_share, hot_share):
+    rows = [(i, t) for i, t in passages() if i not in (5,)]
+    train = [i % 4 != 0 for i, _ in rows]
+    _, want = plain_model([t for _, t in rows], 0.0, train)
+    got = {r.doc_id: r for r in lm.scored(odd(spark, rows), F.col("doc_id") % 4 != 0, word_share=word_share, hot_share=hot_share).collect()}
+    for (i, _), (_, known, base, score) in zip(rows, want, strict=True):
+        assert got[i].n_known == known
+        assert (got[i].base_score, got[i].score) == (pytest.approx(base, abs=1e-6), pytest.approx(score, abs=1e-6))
+
+
+def test_ngrams_need_no_more_occurrences_in_a_larger_corpus(spark):
+    rows = [(1, "seldom seen words " * 2), (2, "seldom seen words"), *((i, "la " * 50_000) for i in range(3, 19))]
+    _, want = plain_model([t for _, t in rows], 0.0, [True] * len(rows))
+    got = {r.doc_id: r.score for r in lm.scored(odd(spark, rows), F.lit(True)).collect()}
+    assert [got[i] for i, _ in rows[:2]] == [pytest.approx(w[3], abs=1e-6) for w in want[:2]]
+
+
 def test_long_texts_are_walked_in_lines_with_one_result():
     t = " ".join(f"w{i % 7}" for i in range(3000)).encode()
     ids, bounds = lm.tokens(np.frombuffer(t, np.uint8), np.array([0, len(t)]))
