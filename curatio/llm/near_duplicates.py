@@ -1,10 +1,10 @@
 """MinHash near-dedup: improved consistent weighted sampling over TF-IDF shingles, banded, verified exactly.
 
 A text is the multiset of its runs of five words (all its words, if fewer); a shingle weighs its count times
-log(1 + N / df), where df counts all documents and is taken as ``common`` of them where it is less.  So the
-shingles whose own df matters are those in at least ``common`` of all documents: at most (mean shingles of a
-document) / common, which bounds what is broadcast at any size.  They are found exactly: first those that
-reach half that share in some piece of the input, with sums that prove what cannot reach it, then by a count.
+log(1 + N / df), where df counts the documents that have it, for every shingle.  Distinct texts are put in blocks of
+about 1 MB; a block sends its distinct shingles, with how many rows have each, to buckets by their leading bits, a
+bucket adds up what all blocks sent, and sends every block the totals in the order in which it asked.  So no
+shingle meets more rows than there are blocks, nothing is broadcast, and each text goes on with its own totals.
 
 Every text gets ``bands * rows`` samples; two texts agree in a sample with the probability of their weighted
 Jaccard similarity.  Texts that share a band are candidates: each with the least of its bucket, then, where a
@@ -29,9 +29,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, LongType, StructField, StructType
 
 from curatio.llm.shared import U64, chunks, components, grams, lists, mix, scratch, signed, spans_hash, text_key, words
 
@@ -54,7 +55,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 class Weights:
-    """Shingles' inverse document frequencies: the common ones' own, and one value for all others."""
+    """Shingles' inverse document frequencies: those known (in order), and one value for all others."""
 
     def __init__(self, common: np.ndarray, idf: np.ndarray, rare: float) -> None:
         self.common, self.idf, self.rare = common, idf, rare
@@ -110,81 +111,107 @@ def similarities(texts: list[bytes], weights: Weights) -> np.ndarray:
     return common / np.maximum(whole - common, 1e-300)
 
 
-def frequencies(texts: DataFrame, common: float) -> tuple[int, np.ndarray, np.ndarray]:
-    """The number of texts, and the shingles in at least ``common`` of them with the number of texts each is in."""
-
-    def noted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """By pieces of about 4,000 texts: shingles in at least half the share of the piece."""
-        parts, n, size = [], 0, 0
-
-        def flush() -> pa.RecordBatch:
-            found, c = np.unique(np.concatenate(parts), return_counts=True)
-            keep = c >= common / 2 * n
-            found, c = np.append(found[keep].view(np.int64), 0), np.append(c[keep], n)
-            return pa.RecordBatch.from_arrays([pa.array(found), pa.array(c.astype(np.int64)), pa.array(np.arange(len(found)) == len(found) - 1)], ["k", "c", "texts"])
-
-        for part, data, offsets in chunks(batches, "text"):
-            parts.append(shingles(data, offsets)[1])
-            n, size = n + part.num_rows, size + len(parts[-1])
-            if n >= 4000 and n * common >= 2 or size > 8_000_000:
-                yield flush()
-                parts, n, size = [], 0, 0
-        if n:
-            yield flush()
-
-    sums = scratch(texts.mapInArrow(noted, "k bigint, c bigint, texts boolean").groupBy("k", "texts").agg(F.sum("c").alias("c")), "noted", small=True)
-    n = sums.where("texts").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    # a shingle in ``common`` of all texts was missed by less than half of that: the rest are at most 2 / common for each shingle of a mean text
-    may = np.sort(np.array(sums.where(~F.col("texts") & (F.col("c") >= common / 2 * n)).select("k").toArrow().column("k")).view(U64))
-    asked = texts.sparkSession.sparkContext.broadcast(may)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = asked.value
-        total = np.zeros(len(wanted), np.int64)
-        for _, data, offsets in chunks(batches, "text"):
-            found = shingles(data, offsets)[1]
-            at = np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)
-            total += np.bincount(at[wanted[at] == found], minlength=len(wanted))
-        told = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([signed(wanted[told]), pa.array(total[told])], ["k", "c"])
-
-    if not len(may):
-        return n, may, np.zeros(0, np.int64)
-    exact = texts.mapInArrow(count, "k bigint, c bigint").groupBy("k").agg(F.sum("c").alias("c")).where(F.col("c") >= common * n).toArrow()
-    k, c = np.array(exact.column("k")).view(U64), np.array(exact.column("c"))
-    order = np.argsort(k)
-    return n, k[order], c[order]
-
-
-def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id", similarity: float = 0.8, bands: int = 12, rows: int = 4, common: float = 0.01, sieve: float = 0.55, block: int = 256) -> DataFrame:
+def coded(x: np.ndarray) -> bytes:
+    """64-bit numbers by planes of bytes, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), 8).T).tobytes())
+
+
+def decoded(x: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8)
+    return np.ascontiguousarray(raw.reshape(8, len(raw) // 8).T).view(U64).ravel()
+
+
+def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]).astype(np.int64)
+
+
+def blocks_of(read: DataFrame, key_type: DataType) -> DataFrame:
+    """One row for about 1 MB of distinct texts: their ids (the least names the block), keys, numbers of rows and compressed bytes."""
+    once = read.groupBy("k1", "k2").agg(F.min("key").alias("rep"), F.count("*").alias("m"), F.first(F.coalesce("text", F.lit(""))).alias("text"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c, uid = zstandard.ZstdCompressor(level=3), TaskContext.get().partitionId() << 40
+        for part, _, offsets in chunks(batches, "text"):
+            texts = pa.array([c.compress(t.encode()) for t in part.column("text").to_pylist()], pa.binary())
+            whole = np.array([0, part.num_rows])
+            columns = [pa.array(np.arange(part.num_rows) + uid), *(part.column(c) for c in ("k1", "k2", "rep", "m")), texts]
+            yield pa.RecordBatch.from_arrays([pa.array([uid]), pa.array([int(offsets[-1])]), *(lists(x, whole) for x in columns)], schema.names)
+            uid += part.num_rows
+
+    kinds = {"cid": LongType(), "k1": LongType(), "k2": LongType(), "rep": key_type, "m": LongType(), "text": BinaryType()}
+    schema = StructType([StructField("block", LongType()), StructField("size", LongType()), *(StructField(c, ArrayType(t)) for c, t in kinds.items())])
+    return scratch(once.mapInArrow(pack, schema), "blocks")
+
+
+def frequencies(blocks: DataFrame, bucket: int = 8 << 20) -> DataFrame:
+    """(block, dfs): the number of rows that have each of a block's distinct shingles, in their order, in coded pieces; bucket: bytes of text."""
+    size = blocks.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    bits = max(1, (size // bucket).bit_length())
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        u = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for i in range(batch.num_rows):
+                doc, found, _ = shingles(*joined([u.decompress(t) for t in batch.column("text")[i].as_py()]))
+                own, at = np.unique(found, return_inverse=True)
+                c = np.bincount(at, np.array(batch.column("m")[i].values)[doc], len(own)).astype(U64)
+                to, cuts = np.unique(own >> U64(64 - bits), return_index=True)
+                cuts = np.append(cuts, len(own))
+                keys, times = ([coded(f(x[a:b])) for a, b in zip(cuts[:-1], cuts[1:], strict=True)] for f, x in ((lambda x: np.diff(x, prepend=U64(0)), own), (lambda x: x, c)))
+                yield pa.RecordBatch.from_arrays([pa.array(to.astype(np.int64)), pa.array(np.full(len(to), batch.column("block")[i].as_py())), pa.array(keys, pa.binary()), pa.array(times, pa.binary())], ["bucket", "block", "keys", "times"])
+
+    def count(group: pa.Table) -> pa.Table:
+        keys = [np.cumsum(decoded(k), dtype=U64) for k in group.column("keys").to_pylist()]
+        times = np.concatenate([decoded(t) for t in group.column("times").to_pylist()])
+        found, at = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(at, times, len(found)).astype(U64)[at]
+        parts = np.split(total, np.cumsum([len(k) for k in keys])[:-1])
+        return pa.table({"bucket": group.column("bucket"), "block": group.column("block"), "df": pa.array([coded(p) for p in parts], pa.binary())})
+
+    asked = blocks.select("block", "m", "text").mapInArrow(ask, "bucket bigint, block bigint, keys binary, times binary")
+    told = asked.groupBy("bucket").applyInArrow(count, "bucket bigint, block bigint, df binary")
+    return told.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "df"))).alias("dfs")).select("block", F.col("dfs.df").alias("dfs"))
+
+
+def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id", similarity: float = 0.8, bands: int = 12, rows: int = 4, sieve: float = 0.55, block: int = 256) -> DataFrame:
     """(key, class_id, kept) for every row; class_id: the least key of the class, which alone is kept."""
-    spark = docs.sparkSession
     k1, k2 = text_key(F.col(text).cast("string"))
     read = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), k1.alias("k1"), k2.alias("k2"))
-    n, shared_shingles, df = frequencies(read.select("text"), common)
-    weights = spark.sparkContext.broadcast(Weights(shared_shingles, np.log1p(n / np.maximum(df, 1)), float(np.log1p(1 / common))))
+    blocks = blocks_of(read, docs.schema[key].dataType)
+    n = blocks.agg(F.coalesce(F.sum(F.aggregate("m", F.lit(0).cast("long"), lambda s, x: s + x)), F.lit(0))).first()[0]
     number = bands * rows
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in chunks(batches, "text"):
-            doc, found, times = shingles(data, offsets)
-            drawn = samples(doc, found, weights.value(found, times), part.num_rows, number)
-            flat = drawn.reshape(-1).astype(U64) + U64(1)
-            at = np.arange(part.num_rows * bands) * rows
-            keys = mix(spans_hash(flat, at, at + rows) + np.tile(np.arange(bands), part.num_rows).astype(U64))
-            some = np.zeros(part.num_rows, bool)
-            some[doc] = True
-            keys = keys[np.repeat(some, bands)]
-            cuts = np.append(0, np.cumsum(some * bands))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("key"), part.column("k1"), part.column("k2"), lists(signed(keys), cuts), lists(pa.array(drawn.reshape(-1).view(np.int32)), np.arange(part.num_rows + 1) * number)], ["key", "k1", "k2", "bands", "drawn"]
-            )
-
-    signed_schema = StructType([StructField("key", docs.schema[key].dataType), StructField("k1", LongType()), StructField("k2", LongType()), StructField("bands", ArrayType(LongType())), StructField("drawn", ArrayType(IntegerType()))])
-    signs = scratch(read.select("key", "k1", "k2", "text").mapInArrow(sign, signed_schema), "signatures")
-    members = signs.select("key", "k1", "k2")
-    classes = signs.groupBy("k1", "k2").agg(F.min("key").alias("rep"), F.first("bands").alias("bands"), F.first("drawn").alias("drawn"))
-    classes = scratch(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+        u = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for i in range(batch.num_rows):
+                cid, c1, c2, rep, texts = (batch.column(c)[i].values for c in ("cid", "k1", "k2", "rep", "text"))
+                size = len(cid)
+                doc, found, times = shingles(*joined([u.decompress(t) for t in texts.to_pylist()]))
+                own, at = np.unique(found, return_inverse=True)
+                df = np.concatenate([np.zeros(0, U64), *map(decoded, batch.column("dfs")[i].as_py() or [])])
+                drawn = samples(doc, found, Weights(own, np.log1p(n / np.maximum(df, U64(1))), 0.0)(found, times), size, number)
+                flat = drawn.reshape(-1).astype(U64) + U64(1)
+                begin = np.arange(size * bands) * rows
+                keys = mix(spans_hash(flat, begin, begin + rows) + np.tile(np.arange(bands), size).astype(U64))
+                some = np.zeros(size, bool)
+                some[doc] = True
+                keys = keys[np.repeat(some, bands)]
+                cuts = np.append(0, np.cumsum(some * bands))
+                ends = np.searchsorted(doc, np.arange(size + 1))
+                dfs = pa.array([coded(df[at[x:y]]) for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([cid, c1, c2, rep, lists(signed(keys), cuts), lists(pa.array(drawn.reshape(-1).view(np.int32)), np.arange(size + 1) * number), texts, dfs], signed_schema.names)
+
+    kinds = {"cid": LongType(), "k1": LongType(), "k2": LongType(), "rep": docs.schema[key].dataType, "bands": ArrayType(LongType()), "drawn": ArrayType(IntegerType()), "text": BinaryType(), "df": BinaryType()}
+    signed_schema = StructType([StructField(c, t) for c, t in kinds.items()])
+    classes = scratch(blocks.drop("size", "m").join(frequencies(blocks).hint("merge"), "block", "left").mapInArrow(sign, signed_schema), "classes")
+    members = read.select("key", "k1", "k2")
+
+    def similar(texts: list[bytes], dfs: list[bytes]) -> np.ndarray:
+        """Of texts 0 and 1, 2 and 3, and so on: whether they are similar; dfs: of each text's shingles, in their order."""
+        idf = np.concatenate([np.zeros(0), *(np.log1p(n / decoded(x)) for x in dfs)])
+        return similarities(texts, lambda found, times: idf * times) >= similarity
+
     held = scratch(classes.select("cid", F.posexplode("bands").alias("band", "bucket")), "buckets")
     drawn = classes.select("cid", "drawn")
 
@@ -197,34 +224,28 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     stars = stars.join(drawn.hint("merge"), "cid").join(drawn.select(F.col("cid").alias("lead"), F.col("drawn").alias("lead_drawn")).hint("merge"), "lead")
     stars = scratch(stars.where(agree("drawn", "lead_drawn")).select(F.col("lead").alias("a"), F.col("cid").alias("b")), "stars", small=True)
 
-    def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("cid"), pa.array([c.compress((t or "").encode()) for t in batch.column("text").to_pylist()], pa.binary())], ["cid", "text"])
-
     def texts_of(cids: DataFrame) -> DataFrame:
-        """The texts of candidates, compressed; one of each class's rows is read."""
-        at = scratch(cids.join(classes.select("cid", "rep", F.col("k1").alias("c1"), F.col("k2").alias("c2")).hint("merge"), "cid"), "wanted", small=True)
-        found = read.join(at.hint("merge"), (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")) & F.col("key").eqNullSafe(F.col("rep"))).select("cid", "text")
-        return scratch(found.mapInArrow(press, "cid bigint, text binary").dropDuplicates(["cid"]), "texts")
+        """The texts of candidates, compressed, and their shingles' document frequencies."""
+        return scratch(classes.select("cid", "text", "df").join(cids.hint("merge"), "cid"), "texts")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         u = zstandard.ZstdDecompressor()
         for batch in batches:
             at, hits = 0, []
             while at < batch.num_rows:
-                own, size, begin = [], 0, at
+                own, dfs, size, begin = [], [], 0, at
                 while at < batch.num_rows and size < 1 << 20:
                     own += [u.decompress(batch.column(c)[at].as_py()) for c in ("ta", "tb")]
+                    dfs += [batch.column(c)[at].as_py() for c in ("da", "db")]
                     size += len(own[-1]) + len(own[-2])
                     at += 1
-                hits.append(np.flatnonzero(similarities(own, weights.value) >= similarity) + begin)
+                hits.append(np.flatnonzero(similar(own, dfs)) + begin)
             told = pa.array(np.concatenate(hits) if hits else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("a").take(told), batch.column("b").take(told)], ["a", "b"])
 
     texts = texts_of(stars.select(F.col("a").alias("cid")).union(stars.select("b")).distinct())
-    ta, tb = (texts.select(F.col("cid").alias(c), F.col("text").alias(f"t{c}")).hint("merge") for c in ("a", "b"))
-    links = scratch(stars.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(compare, "a bigint, b bigint"), "links")
+    ta, tb = (texts.select(F.col("cid").alias(c), F.col("text").alias(f"t{c}"), F.col("df").alias(f"d{c}")).hint("merge") for c in ("a", "b"))
+    links = scratch(stars.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb", "da", "db").mapInArrow(compare, "a bigint, b bigint"), "links")
     tied = components(links)
     # buckets that still hold several classes
     now = held.join(tied.withColumnRenamed("node", "cid").hint("merge"), "cid", "left").withColumn("c", F.coalesce("component", "cid")).drop("component")
@@ -236,7 +257,7 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     more_texts = texts_of(cids.join(texts.select("cid").hint("merge"), "cid", "left_anti"))
     there = left.join(texts.unionByName(more_texts).hint("merge"), "cid").join(drawn.hint("merge"), "cid").withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int"))
     there = there.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    there = there.select("bucket", "band", "cid", "drawn", "c", "text", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    there = there.select("bucket", "band", "cid", "drawn", "c", "text", "df", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
 
     def meet(group: pa.Table) -> pa.Table:
         """Links between the classes of a block, or of two."""
@@ -246,7 +267,7 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
         _, parent = np.unique(np.array(group.column("c")), return_inverse=True)
         band, low, high = (group.column(c)[0].as_py() for c in ("band", "lo", "hi"))
         x, y = np.flatnonzero(block_ == low), np.flatnonzero(block_ == high)
-        text = [u.decompress(t.as_py()) for t in group.column("text")]
+        text, df = [u.decompress(t.as_py()) for t in group.column("text")], group.column("df").to_pylist()
         found: list[tuple[int, int]] = []
         pairs: list[tuple[np.ndarray, ...]] = []
         for i in x:
@@ -262,7 +283,8 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
         while len(a):
             p, q = a[:256], b[:256]
             a, b = a[256:], b[256:]
-            for i in np.flatnonzero(similarities([text[k] for pair in zip(p, q, strict=True) for k in pair], weights.value) >= similarity):
+            both = np.stack([p, q], axis=1).ravel()
+            for i in np.flatnonzero(similar([text[k] for k in both], [df[k] for k in both])):
                 if parent[p[i]] != parent[q[i]]:
                     found.append((cid[p[i]], cid[q[i]]))
                     parent[parent == parent[q[i]]] = parent[p[i]]

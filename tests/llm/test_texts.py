@@ -109,6 +109,17 @@ def test_classes_are_those_of_brute_force(spark, block):
     assert got == plain_classes(rows)
 
 
+def test_rare_shingles_weigh_by_their_own_frequency(spark):
+    """Texts alike in 90 shingles that six have, with ten each of their own: 0.77 by true weights, 0.82 by one weight for all."""
+    own = lambda x: " ".join(f"{x}_{i}" for i in range(10))
+    notice = " ".join(f"n{i}" for i in range(94))
+    rows = [*((i, f"{own(i)} {notice}") for i in range(6)), *((i, own(i)) for i in range(100, 1100))]
+    shared, alone = 90 * math.log1p(len(rows) / 6), 10 * math.log1p(len(rows))
+    assert shared / (shared + 2 * alone) < 0.8 < 90 / 110
+    got = {r.doc_id: r.class_id for r in near_duplicates(odd(spark, rows)).collect()}
+    assert all(got[i] == i for i in got)
+
+
 def test_sampling_agrees_as_often_as_texts_are_similar():
     a, b = b" ".join(b"w%d" % i for i in range(300)), b" ".join(b"w%d" % i for i in range(60, 360))
     w = Weights(np.zeros(0, np.uint64), np.zeros(0), 2.0)
