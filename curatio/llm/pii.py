@@ -77,12 +77,12 @@ _NETWORK = r"^(6\d\d\d|\d\d)"
 _BEFORE_SECRET = r"^.*?[=:]\s{0,3}[\"']?"
 
 
-#: Every entity has a digit, an at sign or a title before a capital: two cheap looks before the full pattern.
-_HINTS = ("[0-9@]", rf"(?=[MFHSDPгГκΚ])(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}")
+#: Every entity has a digit, an at sign, a title before a capital, or is a key or hex string: three cheap looks before the full pattern.
+_HINTS = ("[0-9@]", rf"(?=[MFHSDPгГκΚ])(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}", r"(?:AKIA|ASIA)[A-Z]{16}|gh[po]_[A-Za-z]{30}|(?<![A-Za-z])sk-[A-Za-z]{20}|(?<![A-Za-z])(?:[a-f]{32}|[A-F]{32})")
 
 
 def matches(text: Column) -> Column:
-    return F.when(text.rlike(_HINTS[0]) | text.rlike(_HINTS[1]), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    return F.when(reduce(lambda a, b: a | b, map(text.rlike, _HINTS)), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
 def kind_of(match: Column) -> Column:
