@@ -2,7 +2,8 @@
 
 Detection is one pattern over whole texts: e-mail addresses, phone, card and social security numbers, IPv4
 addresses, bank account numbers, access keys, long hex strings, passwords and tokens that are assigned, and
-persons named after a title.  Card numbers must have a network's prefix and length and a right check digit.
+persons named after a title.  Card numbers must have a network's prefix and length and a right check digit;
+they are sought among all groups of digits first, so that numbers beside them do not hide them.
 
 An entity is a type and a normal form, so "+1 (523) 555-1055" and "+1 523-555-1055" are one, as are a person's
 family name alone and with a given name.  Every distinct entity draws a candidate by a keyed hash: digits for
@@ -77,12 +78,33 @@ _NETWORK = r"^(6\d\d\d|\d\d)"
 _BEFORE_SECRET = r"^.*?[=:]\s{0,3}[\"']?"
 
 
+#: The types but cards, in two parts: cards, which no pattern tells, stand between them, as those of the text.
+_FIRST, _LAST = ("|".join(f"(?:{PATTERNS[k]})" for k in kinds) for kinds in (list(PATTERNS)[: list(PATTERNS).index("card")], list(PATTERNS)[list(PATTERNS).index("card") + 1 :]))
+#: Around a card: it may stand beside other numbers, apart by a blank or a hyphen.
+_BESIDE = r"(?<![\p{L}\p{N}.])(?<!(?<!\d)-)", r"(?![\p{L}\p{N}])"
+
+
+def cards_of(text: Column) -> Column:
+    """The card numbers of a text as they are written, the longest first, from wherever a group of digits begins to wherever one ends."""
+    found = [F.regexp_extract_all(text, F.lit(rf"{_BESIDE[0]}(?=(\d(?:[ \-]?\d){{{n - 1}}}){_BESIDE[1]})"), F.lit(1)) for n in (19, 16, 15, 14, 13)]
+    valid = F.filter(F.flatten(F.array(*found)), lambda c: let(digits(c), lambda d: d.rlike(_CARD) & luhn(d)))
+    return F.when(text.rlike(r"\d(?:[ \-]?\d){12}"), F.array_join(F.array_distinct(valid), "|")).otherwise("")
+
+
+def pattern_of(cards: Column) -> Column:
+    """The pattern of all entities in a text that has these cards."""
+    cards = F.when(cards == "", "").otherwise(F.concat(F.lit(_BESIDE[0] + "(?:"), cards, F.lit(f"){_BESIDE[1]}|")))
+    return F.concat(F.lit(_FIRST + "|"), cards, F.lit(_LAST))
+
+
 #: Every entity has a digit, an at sign, a title before a capital, or is a key or hex string: three cheap looks before the full pattern.
 _HINTS = ("[0-9@]", rf"(?=[MFHSDPгГκΚ])(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}", r"(?:AKIA|ASIA)[A-Z]{16}|gh[po]_[A-Za-z]{30}|(?<![A-Za-z])sk-[A-Za-z]{20}|(?<![A-Za-z])(?:[a-f]{32}|[A-F]{32})")
 
 
-def matches(text: Column) -> Column:
-    return F.when(reduce(lambda a, b: a | b, map(text.rlike, _HINTS)), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+def matches(text: Column, cards: Column | None = None) -> Column:
+    """The entities of a text; cards: what cards_of says of it, if that is known."""
+    pattern = pattern_of(cards_of(text) if cards is None else cards)
+    return F.when(reduce(lambda a, b: a | b, map(text.rlike, _HINTS)), F.regexp_extract_all(text, pattern, F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
 def kind_of(match: Column) -> Column:
@@ -258,14 +280,14 @@ def pseudonymised(docs: DataFrame, key: str, *, text: str = "text", count: str |
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = names[docs.columns.index(text)]
     k1, k2 = text_key(F.col(at))
-    rows = docs.toDF(*names).withColumns({"found": matches(F.col(at)), "k1": k1, "k2": k2})
+    rows = docs.toDF(*names).withColumns({"cards": cards_of(F.col(at)), "k1": k1, "k2": k2}).withColumn("found", matches(F.col(at), F.col("cards")))
     some = F.coalesce(F.size("found") > 0, F.lit(False))
     mentions = rows.where(some).select("k1", "k2", F.explode(F.array_distinct("found")).alias("m")).select("k1", "k2", F.explode(entities_of(F.col("m"))).alias("e")).select("k1", "k2", "e.kind", "e.norm")
     mentions = scratch(mentions.distinct(), "mentions", small=True)
     table = scratch(surrogates(mentions, key), "surrogates", small=True)
     known = mentions.join(table.hint("merge"), ["kind", "norm"]).groupBy("k1", "k2").agg(F.map_from_entries(F.collect_list(F.struct(F.concat("kind", F.lit(" "), "norm"), "surrogate"))).alias("known"))
     known = scratch(known, "known")
-    parts = F.split(F.col(at), ANY, -1)
+    parts = F.split(F.col(at), pattern_of(F.col("cards")), -1)
     whole = F.array_join(F.flatten(F.zip_with(parts, "new", lambda p, m: F.array(p, F.coalesce(m, F.lit(""))))), "")
     changed = F.size(F.filter(F.arrays_zip(F.col("found").alias("a"), F.col("new").alias("b")), lambda x: x["a"] != x["b"]))
     hit = rows.where(some).join(known.hint("merge"), ["k1", "k2"], "left").withColumn("known", F.coalesce("known", F.create_map().cast("map<string,string>")))

@@ -350,6 +350,14 @@ def test_letters_only_keys_are_replaced_in_texts_without_digits(spark):
     assert all(k not in t for k, t in zip(keys, replaced(spark, [f"see {k} here" for k in keys]), strict=True))
 
 
+@pytest.mark.parametrize("text", ["pay 2 {} now", "{} 123", "{} 12/26", "12 {} 123", "123 4567 {}", "4567 {} 1139 5", "12-{}-7", "{} {} 523-555-1055"])
+def test_cards_beside_other_numbers_are_replaced(spark, text):
+    for card in ("4785380592391139", "4785 3805 9239 1139"):
+        (got,) = replaced(spark, [text.replace("{}", card)])
+        shape = re.escape(text.replace("523-555-1055", "#")).replace(r"\{\}", re.sub(r"\d+", lambda m: rf"\d{{{len(m[0])}}}", card)).replace(r"\#", r"\d{3}-\d{3}-\d{4}")
+        assert card not in got and "523-555-1055" not in got and re.fullmatch(shape, got)
+
+
 def test_all_columns_pass_through(spark):
     out = pii.pseudonymised(odd(spark), "k", count="n")
     assert out.columns == [*odd(spark).columns, "n"]
