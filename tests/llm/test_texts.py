@@ -291,6 +291,14 @@ def test_toxicity_of_odd_and_empty(spark):
     assert toxicity.scored(odd(spark, []), none, out="s").collect() == []
 
 
+def test_the_fit_sees_as_many_rows_as_it_says(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda p, u, prior: seen.append((len(p), len(u), prior)))
+    labels = spark.range(9000).select(F.col("id").alias("doc_id"), (F.col("id") < 4500).cast("int").alias("toxic"))
+    toxicity.train(labels.select("doc_id", F.lit("some words").alias("text")), labels)
+    assert seen == [(4000, 8000, 0.5)]
+
+
 # ---- PII
 
 TEXTS = [
