@@ -33,10 +33,13 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates: the one with the least doc_id."""
-    kept = scratch(near_duplicates(docs).where("kept").select("doc_id").distinct(), "kept")
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id"))
-    return docs.join(kept.select(F.col("doc_id").alias("kept_id")).hint("merge"), same, "left_semi").select(*COLUMNS)
+    """One row of each class of near-duplicates: the one with the least doc_id, nulls last; of equal ids, one row."""
+    rows = scratch(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
+    classes = near_duplicates(rows, key="row").select(F.col("row").alias("of"), "class_id")
+    ranked = rows.select("doc_id", "row").join(classes.hint("merge"), F.col("row") == F.col("of"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    kept = scratch(ranked.groupBy("class_id").agg(F.min(order)["row"].alias("kept_row")).select("kept_row"), "kept")
+    return rows.join(kept.hint("merge"), F.col("row") == F.col("kept_row"), "left_semi").select(*COLUMNS)
 
 
 def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
