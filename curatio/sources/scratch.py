@@ -1,8 +1,9 @@
 """Scratch tables: written once to the folder that the cluster shares, and read back.
 
-The folder is the one that the cluster names in ``spark.checkpoint.dir``; where it is unset (tests on one
-machine) a temporary folder is used.  A scratch table cuts lineage, so plans stay small and a lost executor
-costs a re-read of a table instead of a re-run of everything before it.
+The folder is the one that the cluster names in ``spark.checkpoint.dir``; where it is unset and the master is
+local (tests on one machine) a temporary folder is used, and on a cluster that is an error.  A scratch table cuts
+lineage, so plans stay small and a lost executor costs a re-read of a table instead of a re-run of everything
+before it.  The shuffle files behind a table are of no more use once it is written and go at once.
 """
 
 from __future__ import annotations
@@ -14,13 +15,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _roots: dict[str, str] = {}
+#: Whether shuffle files go when the query that wrote them ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
     """A folder of this session's own below spark.checkpoint.dir, removed when the driver ends."""
     app = spark.sparkContext.applicationId
     if app not in _roots:
-        base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="curatio-")
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base and not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = base or tempfile.mkdtemp(prefix="curatio-")
         _roots[app] = f"{base.rstrip('/')}/curatio-{uuid.uuid4().hex}"
         atexit.register(_remove, spark, _roots[app])
     return _roots[app]
@@ -39,8 +45,13 @@ def scratch(df: DataFrame, name: str, small: bool = False) -> DataFrame:
     if small:
         df = df.coalesce(max(1, partitions(df.sparkSession) // 16))
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
-    # nobody waits for a table's mark of success: this driver reads it only when the write has returned
-    df.write.option("compression", "zstd").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    conf, before = df.sparkSession.conf, df.sparkSession.conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        # nobody waits for a table's mark of success: this driver reads it only when the write has returned
+        df.write.option("compression", "zstd").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    finally:
+        conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
