@@ -1,24 +1,26 @@
 """Language-model scoring with a weighted backoff automaton.
 
 Unigrams are smoothed additively and cover every word of the training texts.  Every bigram and trigram that occurs
-at least twice in them is kept, at any size, and discounted; what is not kept takes the failure arc to the next shorter
-context, at the weight that keeps every context's probabilities adding up to 1.  The model is held as tables of words
-and n-grams.  A walk of the automaton adds up weights that depend on one n-gram each, so each entry carries what it adds
-wherever it occurs (see ``weighed``) and a text's score is a sum over its words, bigrams and trigrams.  ``Automaton`` is
-the same model in one process, walked from left to right.
-
-Counts come from all training rows.  The words that make up at least ``word_share`` of the tokens and the n-grams that
-make up at least ``hot_share`` (at most 1 / share of each order) are broadcast.  All others go to their tables by
-a join, and their weights come back as sums by text.
-
-A null or empty text is the end token alone.  A null id counts as a training row.  Repeated rows count and are
-scored each on their own.  Without training rows every token is unknown.  An empty table gives an empty
-result.  Other columns are not carried.  Tokens and n-grams are told apart by 64-bit hashes.
+at least ``least`` times in them (twice) is kept, at any size, and discounted; what is not kept takes the failure arc to
+the next shorter context, at the weight that keeps every context's probabilities adding up to 1.
+
+The texts are cut into blocks of about 2 MB, whose words are numbered once.  Nothing of the model is broadcast and no
+table of single n-grams is shuffled: a block asks buckets of hash space, in four rounds, for what its own texts can meet
+- how often its words occur; its bigrams, of words that occur often enough; its trigrams, of bigrams that are kept, and
+its words' failure weights; its bigrams' failure weights - and gets the answers in the order in which it asked (see
+``shared.answered``).  An n-gram has an owner, the first block that has it, which hands its probability to the sums
+behind its context's failure weight.  From the answers a block builds the part of the automaton that its texts can
+reach, which gives them the same scores as the whole, and walks it from left to right.
+
+Counts come from all training rows.  A null or empty text is the end token alone.  A null id counts as a training row.
+Repeated rows count and are scored each on their own.  Without training rows every token is unknown.  An empty table
+gives an empty result.  Other columns are not carried.  Tokens and n-grams are told apart by 64-bit hashes.  A text
+longer than a block is a block of its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,13 +28,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, LongType, StructField, StructType
 
-from curatio.llm.shared import chunks, crc32_of_id, lists, scratch, spans_hash, words
+from curatio.llm.shared import ASK, U64, answered, answers, asks, bytes_hash, chunks, coded, crc32_of_id, decoded, lists, scratch, words
 
-END = np.int64(1)  # the end of a text, and what stands before its first word
+END = U64(1)  # the end of a text, and what stands before its first word
 ADD = 0.1
 DISCOUNT = 0.5
+#: Bytes of text in a block, and tokens of the input for each bucket.
+BLOCK, BUCKET = 2 << 20, 2 << 20
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
 
 
@@ -40,56 +44,20 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Token hashes of texts, each followed by END, and where each text begins."""
     data = _LOWER[data]
     starts, ends, bounds = words(data, offsets)
-    hashes = spans_hash(data, starts, ends).view(np.int64) if len(starts) else np.zeros(0, np.int64)
-    return np.insert(hashes, bounds[1:], END), bounds + np.arange(len(bounds))
+    return np.insert(bytes_hash(data, starts, ends), bounds[1:], END), bounds + np.arange(len(bounds))
 
 
-def led(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-    """Texts' tokens with the end token before each text too, and whether that is what a token is."""
-    out = np.insert(ids, bounds[:-1], end_id)
-    first = np.zeros(len(out), bool)
-    first[bounds[:-1] + np.arange(len(bounds) - 1)] = True
-    return out, first
-
-
-class Tally:
-    """Counts of 64-bit keys, added up so that a task hands on each key about once."""
-
-    def __init__(self, most: int = 600_000) -> None:
-        self.most, self.parts, self.size = most, [], 0
-
-    def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        found, n = np.unique(keys, return_counts=True)
-        self.parts.append((found, n))
-        self.size += len(found)
-        if self.size > self.most:
-            self._merge()
-            if self.size > self.most // 2:
-                yield from self.flush()
-
-    def _merge(self) -> None:
-        keys, n = (np.concatenate([p[i] for p in self.parts]) for i in (0, 1))
-        order = np.argsort(keys, kind="stable")
-        keys, n = keys[order], n[order]
-        cut = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        self.parts = [(keys[cut], np.add.reduceat(n, cut))] if len(keys) else []
-        self.size = len(cut)
-
-    def flush(self) -> Iterator[pa.RecordBatch]:
-        if self.parts:
-            self._merge()
-            for keys, n in self.parts:
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["k", "c"])
-        self.parts, self.size = [], 0
+def paired(x: np.ndarray, y: np.ndarray, turn: int) -> np.ndarray:
+    """One 64-bit key for two, y's bits turned."""
+    return x ^ ((y << U64(turn)) | (y >> U64(64 - turn)))
 
 
 @dataclass
 class Automaton:
-    """Words by id (their hashes in order) with unigram log10 weights; states with arcs and failure arcs.
+    """States with arcs and failure arcs, over words numbered from 0; state 0 has no context.
 
-    State 0 has no context.  state_of[word] is the state of that word as a context, 0 if it has none."""
+    state_of[word] is the state of that word as a context, 0 if it has none; begin is the state before a text."""
 
-    hashes: np.ndarray
     unigram: np.ndarray
     state_of: np.ndarray
     keys: np.ndarray  # state << 32 | word, in order
@@ -97,24 +65,17 @@ class Automaton:
     follow: np.ndarray
     failure: np.ndarray
     backoff: np.ndarray
-
-    def ids(self, hashes: np.ndarray) -> np.ndarray:
-        """Word ids, -1 for a word that is not among these."""
-        if not len(self.hashes):
-            return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
+    begin: int
 
     def step(self, state: np.ndarray, word: np.ndarray, total: np.ndarray) -> np.ndarray:
-        """One token in every text: adds its log-probability to total and returns the next states.  Of a word that is
-        not here (-1), total gets the failure arcs' weights only."""
+        """One token in every text: adds its log-probability to total and returns the next states."""
         after, state = np.zeros(len(state), np.int64), state.copy()
         open_ = np.flatnonzero(state > 0)
         root = np.ones(len(state), bool)
         while len(open_):
-            key = (state[open_] << 32) | np.maximum(word[open_], 0)
+            key = (state[open_] << 32) | word[open_]
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = (self.keys[at] == key) & (word[open_] >= 0)
+            hit = self.keys[at] == key
             found, arc = open_[hit], at[hit]
             total[found] += self.weight[arc]
             after[found] = self.follow[arc]
@@ -123,15 +84,14 @@ class Automaton:
             total[miss] += self.backoff[state[miss]]
             state[miss] = self.failure[state[miss]]
             open_ = miss[state[miss] > 0]
-        left = np.flatnonzero(root & (word >= 0))
+        left = np.flatnonzero(root)
         total[left] += self.unigram[word[left]]
         after[left] = self.state_of[word[left]]
         return after
 
     def scores(self, ids: np.ndarray, bounds: np.ndarray, line: int = 256) -> np.ndarray:
-        """Log-probability of each text, without the unigram weights of words that are not here."""
-        end = int(self.ids(np.array([END]))[0])
-        begin = self.state_of[end] if end >= 0 else 0
+        """Log-probability of each text.  A text is walked in lines of ``line`` tokens, all lines side by side; a line's
+        first state is that after the two tokens before it."""
         sizes = np.diff(bounds)
         n_lines = -(-sizes // line)
         doc = np.repeat(np.arange(len(sizes)), n_lines)
@@ -140,7 +100,7 @@ class Automaton:
         length = np.minimum(line, sizes[doc] - at)
         order = np.argsort(-length, kind="stable")
         doc, at, first, length = doc[order], at[order], first[order], length[order]
-        state = np.where(at == 0, begin, 0)
+        state = np.where(at == 0, self.begin, 0)
         inner = np.flatnonzero(at > 0)
         for back in (2, 1):  # a line begins two tokens into a text or later
             state[inner] = self.step(state[inner], ids[first[inner] - back], np.zeros(len(inner)))
@@ -155,207 +115,195 @@ class Automaton:
         return np.bincount(doc, total, len(sizes)).astype(float)
 
 
-def build(hashes: np.ndarray, counts: np.ndarray, n: int, v: int, frequent: np.ndarray, bigrams: tuple[np.ndarray, np.ndarray], trigrams: tuple[np.ndarray, np.ndarray]) -> Automaton:
-    """The automaton of the kept counts.  frequent: ids of the words that n-grams are made of; a bigram's key is
-    a * len(frequent) + b by place in frequent, a trigram's (place of its bigram) * len(frequent) + c."""
-    unigram = np.log10((counts + ADD) / (n + ADD * (v + 1)))
-    f = max(1, len(frequent))
-    (k2, c2), (k3, c3) = bigrams, trigrams
-    a, b = k2 // f, k2 % f
-    state_of = np.zeros(len(hashes), np.int64)
-    contexts = np.unique(a)
-    state_of[frequent[contexts]] = np.arange(1, len(contexts) + 1)
-    pairs = np.unique(k3 // f)  # places of bigrams that are contexts
-    pair_state = np.zeros(len(k2) + 1, np.int64)
-    pair_state[pairs] = np.arange(len(pairs)) + 1 + len(contexts)
-    total = 1 + len(contexts) + len(pairs)
-    failure, backoff = np.zeros(total, np.int64), np.zeros(total)
-    failure[pair_state[pairs]] = state_of[frequent[b[pairs]]]
-    lower = 10 ** unigram[frequent[b]]
-    p2 = (c2 - DISCOUNT) / counts[frequent[a]]
-    s2 = state_of[frequent[a]]
-
-    def weights(state: np.ndarray, p: np.ndarray, low: np.ndarray) -> None:
-        left, under = 1 - np.bincount(state, p, total), 1 - np.bincount(state, low, total)
-        own = np.unique(state)
-        backoff[own] = np.log10(np.maximum(left[own], 1e-12) / np.maximum(under[own], 1e-12))
-
-    weights(s2, p2, lower)
-    follow2 = np.where(pair_state[: len(k2)] > 0, pair_state[: len(k2)], state_of[frequent[b]])
-    x, c = k3 // f, k3 % f
-    p3 = (c3 - DISCOUNT) / c2[x]
-    s3 = pair_state[x]
-    at = np.searchsorted(k2, b[x] * f + c)
-    lower3 = p2[np.minimum(at, max(0, len(k2) - 1))] if len(k2) else np.zeros(0)
-    if len(k3):
-        weights(s3, p3, lower3)
-    follow3 = follow2[at] if len(k3) else np.zeros(0, np.int64)
-    keys = np.concatenate([(s2 << 32) | frequent[b], (s3 << 32) | frequent[c]])
+def assembled(unigram: np.ndarray, back1: np.ndarray, end: int, two: tuple[np.ndarray, ...], three: tuple[np.ndarray, ...]) -> Automaton:
+    """The automaton of kept n-grams.  back1: words' failure weights, nan for a word that is no context; two: the bigrams'
+    words a and b, their probabilities, and failure weights (nan for none); three: the trigrams' bigrams x and y, and
+    probabilities."""
+    (a, b, p2, back2), (x, y, p3) = two, three
+    state_of, pair_state = np.zeros(len(back1), np.int64), np.zeros(len(a), np.int64)
+    ones, twos = np.flatnonzero(~np.isnan(back1)), np.flatnonzero(~np.isnan(back2))
+    state_of[ones] = np.arange(1, 1 + len(ones))
+    pair_state[twos] = np.arange(1 + len(ones), 1 + len(ones) + len(twos))
+    failure = np.concatenate([np.zeros(1 + len(ones), np.int64), state_of[b[twos]]])
+    backoff = np.concatenate([[0.0], back1[ones], back2[twos]])
+    follow = np.where(pair_state > 0, pair_state, state_of[b])
+    keys = np.concatenate([(state_of[a] << 32) | b, (pair_state[x] << 32) | b[y]])
     order = np.argsort(keys)
-    return Automaton(hashes, unigram, state_of, keys[order], np.log10(np.concatenate([p2, p3]))[order], np.concatenate([follow2, follow3])[order], failure, backoff)
-
-
-def counted(texts: DataFrame, keys_of, most: int = 600_000) -> DataFrame:
-    """(k, c): how often each key occurs that keys_of(data, offsets) finds in all texts."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = Tally(most)
-        for _, data, offsets in chunks(batches, "text"):
-            yield from tally.add(keys_of(data, offsets))
-        yield from tally.flush()
-
-    return texts.mapInArrow(task, "k bigint, c bigint").groupBy("k").agg(F.sum("c").alias("c"))
-
-
-def paired(x: np.ndarray, y: np.ndarray, turn: int) -> np.ndarray:
-    """One 64-bit key for two, y's bits turned; the same as ``paired_column``."""
-    y = y.view(np.uint64)
-    return x ^ ((y << np.uint64(turn)) | (y >> np.uint64(64 - turn))).view(np.int64)
-
-
-def paired_column(x: str, y: str, turn: int) -> Column:
-    return F.col(x).bitwiseXOR(F.shiftleft(y, turn).bitwiseOR(F.shiftrightunsigned(y, 64 - turn)))
-
-
-TURN2, TURN3 = 21, 33  # of a bigram's second word, of a trigram's second bigram
-
-
-def ngrams(ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Words led by END, where each bigram's second word stands, the bigrams' keys (by position), and where each trigram's third word stands."""
-    all_, first = led(ids, bounds, int(END))
-    ok2 = np.flatnonzero(~first)
-    key2 = np.zeros(len(all_), np.int64)
-    key2[ok2] = paired(all_[ok2 - 1], all_[ok2], TURN2)
-    return all_, ok2, key2, ok2[~first[ok2 - 1]]
-
-
-def counted_ngrams(texts: DataFrame, most: int = 400_000) -> DataFrame:
-    """(three, x, y, c): how often each bigram (of words x, y) and each trigram (of bigrams x, y) occurs."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[list[tuple[np.ndarray, ...]]] = [[], []]
-        size = 0
-
-        def merged(some: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-            k, x, y, c = (np.concatenate([p[i] for p in some]) for i in range(4))
-            order = np.argsort(k)
-            k = k[order]
-            cut = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-            return k[cut], x[order[cut]], y[order[cut]], np.add.reduceat(c[order], cut)
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for three in (False, True):
-                if parts[three]:
-                    _, x, y, c = merged(parts[three])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), three)), pa.array(x), pa.array(y), pa.array(c)], ["three", "x", "y", "c"])
-                parts[three] = []
-
-        for _, data, offsets in chunks(batches, "text"):
-            all_, ok2, key2, ok3 = ngrams(*tokens(data, offsets))
-            for three, k, x, y in ((0, key2[ok2], all_[ok2 - 1], all_[ok2]), (1, paired(key2[ok3 - 1], key2[ok3], TURN3), key2[ok3 - 1], key2[ok3])):
-                if len(k):
-                    parts[three].append(merged([(k, x, y, np.ones(len(k), np.int64))]))
-                    size += len(parts[three][-1][0])
-            if size > 2 * most:
-                yield from flush()
-                size = 0
-        yield from flush()
-
-    # added up before the shuffle as far as it helps: a second map-side aggregate would only spill
-    found = texts.mapInArrow(task, "three boolean, x bigint, y bigint, c bigint").repartition("three", "x", "y")
-    return found.groupBy("three", "x", "y").agg(F.sum("c").alias("c"))
-
-
-def weighed(vocabulary: DataFrame, grams: DataFrame, n: int, v: int) -> tuple[DataFrame, DataFrame]:
-    """Words (k, c, base, score) and n-grams (k, c, score), whose scores' sum over a text is its log-probability.
-
-    A token's log-probability is that of its longest kept n-gram and the failure weights above it.  Written as a sum it
-    is the unigram's and both contexts' failure weights, and for each kept n-gram what it has over its failure arc; what
-    has no entry adds nothing."""
-    merge = lambda t: t.hint("merge")
-    uni = F.log10((F.col("c") + ADD) / (n + ADD * (v + 1)))
-    words_ = vocabulary.select("k", "c", uni.alias("base"))
-    failing = lambda own, low: F.log10(F.greatest(1 - F.sum(own), F.lit(1e-12)) / F.greatest(1 - F.sum(low), F.lit(1e-12)))
-    two = grams.where("not three").select(F.col("x").alias("a"), F.col("y").alias("b"), "c", paired_column("x", "y", TURN2).alias("k"))
-    two = two.join(merge(words_.select(F.col("k").alias("a"), F.col("c").alias("ca"))), "a").join(merge(words_.select(F.col("k").alias("b"), F.col("base").alias("low"))), "b")
-    two = scratch(two.select("k", "a", "c", "low", ((F.col("c") - DISCOUNT) / F.col("ca")).alias("p")), "bigrams")
-    back1 = scratch(two.groupBy("a").agg(failing(F.col("p"), F.pow(F.lit(10.0), "low")).alias("back")), "back1")
-    three = grams.where("three").select("x", "y", "c", paired_column("x", "y", TURN3).alias("k"))
-    three = three.join(merge(two.select(F.col("k").alias("x"), F.col("c").alias("cx"))), "x").join(merge(two.select(F.col("k").alias("y"), F.col("p").alias("low"))), "y")
-    three = scratch(three.select("k", "x", "c", "low", ((F.col("c") - DISCOUNT) / F.col("cx")).alias("p")), "trigrams")
-    back2 = scratch(three.groupBy("x").agg(failing(F.col("p"), F.col("low")).alias("back")), "back2")
-    one = words_.join(merge(back1.withColumnRenamed("a", "k")), "k", "left").select("k", "c", "base", (F.col("base") + F.coalesce("back", F.lit(0.0))).alias("score"))
-    two = two.join(merge(back1), "a").withColumn("over", F.log10("p") - F.col("back") - F.col("low")).drop("back")
-    two = two.join(merge(back2.withColumnRenamed("x", "k")), "k", "left").select("k", "c", (F.col("over") + F.coalesce("back", F.lit(0.0))).alias("score"))
-    three = three.join(merge(back2), "x").select("k", "c", (F.log10("p") - F.col("back") - F.log10("low")).alias("score"))
-    return one, two.unionByName(three)
-
-
-def scored(docs: DataFrame, training: Column, *, text: str = "text", key: str = "doc_id", share: float = 0.0, word_share: float = 5e-7, hot_share: float = 4e-6) -> DataFrame:
+    return Automaton(unigram, state_of, keys[order], np.log10(np.concatenate([p2, p3]))[order], np.concatenate([follow, follow[y]])[order], failure, backoff, int(state_of[end]))
+
+
+class Texts:
+    """A block's texts by numbers, and what its answers say of their words and n-grams, as far as there are answers."""
+
+    def __init__(self, row: dict, n: int, v: int, least: int) -> None:
+        self.hashes, self.times = np.cumsum(decoded(row["hashes"]), dtype=U64), decoded(row["times"]).astype(np.int64)
+        self.end = int(np.searchsorted(self.hashes, END))
+        told = {k: answers(row.get(k)) for k in ("words", "pairs", "threes", "backs")}
+        self.count = (told["words"] >> U64(1)).astype(np.int64)
+        self.low = (self.count + ADD) / (n + ADD * (v + 1))
+        if "ids" not in row:
+            return
+        self.ids, self.sizes = decoded(row["ids"]).astype(np.int64), decoded(row["sizes"]).astype(np.int64)
+        self.bounds = np.append(0, np.cumsum(self.sizes))
+        training = np.repeat(np.array(row["training"], bool), self.sizes)
+        before = np.append(0, self.ids[:-1])
+        first = self.bounds[:-1]
+        before[first] = self.end
+        # bigrams of words that occur often enough
+        some = (self.count[before] >= least) & (self.count[self.ids] >= least)
+        at = np.flatnonzero(some)
+        two, of = np.unique(before[at] * len(self.hashes) + self.ids[at], return_inverse=True)
+        self.a, self.b = two // len(self.hashes), two % len(self.hashes)
+        self.key2 = paired(self.hashes[self.a], self.hashes[self.b], 21)
+        self.times2 = np.bincount(of, training[at], len(two)).astype(np.int64)
+        self.order2 = np.argsort(self.key2)
+        if row.get("pairs") is None:
+            return
+        answer = np.zeros(len(two), U64)
+        answer[self.order2] = told["pairs"]
+        count2 = (answer >> U64(1)).astype(np.int64)
+        kept = np.flatnonzero(count2)
+        self.contexts = np.flatnonzero(self.count >= least)
+        place = np.full(len(two) + 1, -1)
+        place[kept] = np.arange(len(kept))
+        self.a, self.b, self.key2, self.count2, self.own2 = self.a[kept], self.b[kept], self.key2[kept], count2[kept], (answer[kept] & U64(1)).astype(bool)
+        self.order2 = np.argsort(self.key2)
+        self.p2 = (self.count2 - DISCOUNT) / np.maximum(self.count[self.a], 1)
+        # trigrams of two kept bigrams
+        pair = np.full(len(self.ids), -1)
+        pair[at] = place[of]
+        ahead = np.append(-1, pair[:-1])
+        ahead[first] = -1
+        at = np.flatnonzero((pair >= 0) & (ahead >= 0))
+        three, of = np.unique(ahead[at] * max(1, len(kept)) + pair[at], return_inverse=True)
+        self.x, self.y = three // max(1, len(kept)), three % max(1, len(kept))
+        self.key3 = paired(self.key2[self.x], self.key2[self.y], 33)
+        self.times3 = np.bincount(of, training[at], len(three)).astype(np.int64)
+        self.order3 = np.argsort(self.key3)
+        if row.get("threes") is None:
+            return
+        self.back1 = np.full(len(self.hashes), np.nan)
+        self.back1[self.contexts] = told["threes"][: len(self.contexts)].view(np.float64)
+        answer = np.zeros(len(three), U64)
+        answer[self.order3] = told["threes"][len(self.contexts) :]
+        kept = np.flatnonzero(answer >> U64(1))
+        self.x, self.y, self.own3 = self.x[kept], self.y[kept], (answer[kept] & U64(1)).astype(bool)
+        self.p3 = ((answer[kept] >> U64(1)).astype(np.int64) - DISCOUNT) / self.count2[self.x]
+        if row.get("backs") is None:
+            return
+        self.back2 = np.empty(len(self.key2))
+        self.back2[self.order2] = told["backs"].view(np.float64)
+
+    def automaton(self) -> Automaton:
+        return assembled(np.log10(self.low), self.back1, self.end, (self.a, self.b, self.p2, self.back2), (self.x, self.y, self.p3))
+
+
+def counted(least: int) -> Callable:
+    """The answer of a bucket: twice the count of all blocks, 0 under least, and 1 more for the key's owner."""
+
+    def answer(_: int, at: np.ndarray, first: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        total = np.bincount(at, times.view(np.int64)).astype(np.int64)[at]
+        kept = total >= max(1, least)
+        return np.where(kept, 2 * total + first, 0).astype(U64), kept & first
+
+    return answer
+
+
+def failing(at: np.ndarray, first: np.ndarray, own: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The answer to sums over a context's kept n-grams: its failure weight, nan for no context."""
+    own, low = (np.bincount(at, x.view(np.float64)) for x in (own, low))
+    weight = np.log10(np.maximum(1 - own, 1e-12) / np.maximum(1 - low, 1e-12))
+    return np.where(own > 0, weight, np.nan)[at].view(U64), first & (own > 0)[at]
+
+
+def scored(docs: DataFrame, training: Column, *, text: str = "text", key: str = "doc_id", least: int = 2, block: int = BLOCK, bucket: int = BUCKET) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row; training: which rows to learn from.
 
-    share: n-grams below this share of the tokens are left out, by default none that occurs twice.  word_share, hot_share:
-    the words and n-grams that are broadcast; they change no result."""
-    spark = docs.sparkSession
+    least: how often an n-gram must occur to be kept.  block, bucket: bytes of text in a block, tokens of the input for
+    a bucket; they change no result."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), F.coalesce(training, F.lit(True)).alias("training"))
-    texts = rows.where("training").select("text")
-    vocabulary = scratch(counted(texts, lambda data, offsets: tokens(data, offsets)[0]), "vocabulary")
-    n, v = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    # an n-gram's words and shorter n-grams occur at least as often, so they are kept with it
-    grams = scratch(counted_ngrams(texts).where(F.col("c") >= max(2.0, share * n)), "ngrams")
-    one, more_ = (scratch(t, name) for t, name in zip(weighed(vocabulary, grams, n, v), ("words", "arcs"), strict=True))
-    head = one.where(F.col("c") >= word_share * n).orderBy("k").toArrow()  # at most 1 / word_share rows
-    hot = more_.where(F.col("c") >= hot_share * n).orderBy("k").toArrow()  # at most 2 / hot_share rows
-    model = spark.sparkContext.broadcast(tuple(np.array(t.column(c)) for t, columns in ((head, ("k", "base", "score")), (hot, ("k", "score"))) for c in columns))
-
-    def among(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where keys stand among the known, and whether they do."""
-        if not len(known):
-            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-        return at, known[at] == keys
+    kind = docs.schema[key].dataType
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word_keys, word_base, word_score, gram_keys, gram_score = model.value
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uid = TaskContext.get().partitionId() << 40
-        for part, data, offsets in chunks(batches, "text"):
-            ids, bounds = tokens(data, offsets)
-            doc = np.repeat(np.arange(part.num_rows), np.diff(bounds))
-            at, here = among(word_keys, ids)
-            sums = lambda values, where: np.bincount(where, values, part.num_rows).astype(float)
-            base, total = sums(word_base[at[here]], doc[here]), sums(word_score[at[here]], doc[here])
-            known = np.bincount(doc[here], minlength=part.num_rows)
-            asked, asker = [ids[~here]], [doc[~here]]
-            _, ok2, key2, ok3 = ngrams(ids, bounds)
-            led_doc = np.repeat(np.arange(part.num_rows), np.diff(bounds) + 1)
-            for keys, where in ((key2[ok2], led_doc[ok2]), (paired(key2[ok3 - 1], key2[ok3], TURN3), led_doc[ok3])):
-                at, hit = among(gram_keys, keys)
-                total += sums(gram_score[at[hit]], where[hit])
-                asked.append(keys[~hit])
-                asker.append(where[~hit])
-            asked, asker = np.concatenate(asked), np.concatenate(asker)
-            order = np.argsort(asker, kind="stable")
-            cuts = np.searchsorted(asker[order], np.arange(part.num_rows + 1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(part.num_rows) + uid), part.column("key"), part.column("training"), pa.array(np.diff(bounds)), pa.array(known), pa.array(base), pa.array(total), lists(pa.array(asked[order]), cuts)],
-                names,
-            )
-            uid += part.num_rows
-
-    names = ["uid", "key", "training", "n_tokens", "known", "base", "score", "asked"]
-    schema = StructType([StructField("uid", LongType()), StructField("key", docs.schema[key].dataType), StructField("training", rows.schema["training"].dataType), StructField("n_tokens", LongType()), StructField("known", LongType()), StructField("base", DoubleType()), StructField("score", DoubleType()), StructField("asked", ArrayType(LongType()))])
-    walked = scratch(rows.select("key", "training", "text").mapInArrow(score, schema), "walked")
-    # the rarer words and n-grams, from the whole tables
-    asked = walked.select("uid", F.explode("asked").alias("k"))
-    cold = one.where(F.col("c") < word_share * n).select("k", "base", "score", F.lit(1).alias("known"))
-    cold = cold.unionByName(more_.where(F.col("c") < hot_share * n).select("k", F.lit(0.0).alias("base"), "score", F.lit(0).alias("known")))
-    sums = asked.join(cold.hint("merge"), "k").groupBy("uid").agg(F.sum("base").alias("more_base"), F.sum("score").alias("more"), F.sum("known").alias("also"))
-    done = walked.drop("asked").join(sums.hint("merge"), "uid", "left")
-    # a word that no training text has
-    unknown = (F.col("n_tokens") - F.col("n_known")) * F.lit(float(np.log10(ADD / (n + ADD * (v + 1)))))
-    done = done.withColumn("n_known", F.col("known") + F.coalesce("also", F.lit(0)))
-    added = lambda own, more: F.col(own) + F.coalesce(more, F.lit(0.0)) + unknown
-    return done.select(F.col("key").alias(key), (~F.col("training")).alias("held_out"), "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"), added("base", "more_base").alias("base_score"), added("score", "more").alias("score"))
+        for part, data, offsets in chunks(batches, "text", block):
+            found, bounds = tokens(data, offsets)
+            own, ids = np.unique(found, return_inverse=True)
+            told = np.repeat(np.array(part.column("training"), bool), np.diff(bounds))
+            times = np.bincount(ids, told, len(own)).astype(U64)
+            whole = np.array([0, part.num_rows])
+            packed = [coded(x) for x in (np.diff(bounds).astype(U64), np.diff(own, prepend=U64(0)), times, ids.astype(U64))]
+            columns = [pa.array([uid]), pa.array([len(ids)]), pa.array([int(told.sum())]), lists(part.column("key"), whole), lists(part.column("training"), whole), *(pa.array([x], pa.binary()) for x in packed)]
+            yield pa.RecordBatch.from_arrays(columns, names)
+            uid += 1
+
+    kinds = {"block": LongType(), "tokens": LongType(), "learnt": LongType(), "keys": ArrayType(kind), "training": ArrayType(BooleanType()), "sizes": BinaryType(), "hashes": BinaryType(), "times": BinaryType(), "ids": BinaryType()}
+    names = list(kinds)
+    blocks = scratch(rows.mapInArrow(cut, StructType([StructField(c, t) for c, t in kinds.items()])), "blocks")
+    total, n = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("learnt"), F.lit(0))).first()
+    bits = max(1, (total // bucket).bit_length())
+    v = 0
+
+    def asking(of: Callable[[Texts], list[tuple[np.ndarray, list[np.ndarray]]]]) -> Callable:
+        """What every block asks: of(texts) gives keys in order, with what is said of each, by kind."""
+
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    row = batch.slice(i, 1).to_pylist()[0]
+                    for k, (keys, said) in enumerate(of(Texts(row, n, v, least))):
+                        if len(keys):
+                            yield asks(row["block"], keys, said, bits, k)
+
+        return task
+
+    def with_answers(*told: tuple[DataFrame, str]) -> DataFrame:
+        table = blocks.select("block", "training", "sizes", "hashes", "times", "ids")
+        for answers_, name in told:
+            # a block without questions of a round has no answers, which is not the same as a round that is still to come
+            got = answers_.select("block", F.col("told").alias(name)).hint("merge")
+            table = table.join(got, "block", "left").withColumn(name, F.coalesce(name, F.array().cast("array<binary>")))
+        return table
+
+    # the words
+    asked = blocks.select("block", "hashes", "times").mapInArrow(asking(lambda t: [(t.hashes, [t.times])]), ASK)
+    words_ = answered(asked, counted(1), "words")
+    v = words_.agg(F.coalesce(F.sum("news"), F.lit(0))).first()[0]
+    # the bigrams
+    asked = with_answers((words_, "words")).mapInArrow(asking(lambda t: [(t.key2[t.order2], [t.times2[t.order2]])]), ASK)
+    pairs = answered(asked, counted(least), "pairs")
+
+    # the words' failure weights, and the trigrams
+    def third(t: Texts) -> list[tuple[np.ndarray, list[np.ndarray]]]:
+        sums = [np.bincount(t.a[t.own2], x[t.own2], len(t.hashes))[t.contexts].astype(np.float64) for x in (t.p2, t.low[t.b])]
+        return [(t.hashes[t.contexts], sums), (t.key3[t.order3], [t.times3[t.order3]])]
+
+    count = counted(least)
+    asked = with_answers((words_, "words"), (pairs, "pairs")).mapInArrow(asking(third), ASK)
+    threes = answered(asked, lambda kind, at, first, *said: count(kind, at, first, *said) if kind else failing(at, first, *said), "threes")
+
+    # the bigrams' failure weights
+    def fourth(t: Texts) -> list[tuple[np.ndarray, list[np.ndarray]]]:
+        return [(t.key2[t.order2], [np.bincount(t.x[t.own3], x[t.own3], len(t.key2))[t.order2].astype(np.float64) for x in (t.p3, t.p2[t.y])])]
+
+    asked = with_answers((words_, "words"), (pairs, "pairs"), (threes, "threes")).mapInArrow(asking(fourth), ASK)
+    backs = answered(asked, lambda _, at, first, *said: failing(at, first, *said), "backs")
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                t = Texts(one.drop_columns(["keys"]).to_pylist()[0], n, v, least)
+                doc = np.repeat(np.arange(len(t.sizes)), t.sizes)
+                base = np.bincount(doc, np.log10(t.low)[t.ids], len(t.sizes)).astype(float)
+                known = np.bincount(doc, t.count[t.ids] > 0, len(t.sizes)).astype(np.int64)
+                columns = [one.column("keys")[0].values, one.column("training")[0].values, pa.array(t.sizes), pa.array(known), pa.array(base), pa.array(t.automaton().scores(t.ids, t.bounds))]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "training", "n_tokens", "n_known", "base_score", "score"])
+
+    kinds = {"key": kind, "training": BooleanType(), "n_tokens": LongType(), "n_known": LongType(), "base_score": DoubleType(), "score": DoubleType()}
+    table = with_answers((words_, "words"), (pairs, "pairs"), (threes, "threes"), (backs, "backs")).join(blocks.select("block", "keys").hint("merge"), "block")
+    done = table.mapInArrow(score, StructType([StructField(c, t) for c, t in kinds.items()]))
+    return done.select(F.col("key").alias(key), (~F.col("training")).alias("held_out"), "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

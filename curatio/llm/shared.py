@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,6 +73,36 @@ def words(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _SPACE) ->
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit."""
+    x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
+    return x ^ (x >> U64(31))
+
+
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
+
+
+def bytes_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int = 256) -> np.ndarray:
+    """A 64-bit hash of each span of bytes: eight at a time, each eight mixed into what came before, so that no
+    arithmetic of positions can cancel out; spans over ``most`` bytes are hashed by BLAKE2b."""
+    size = ends - starts
+    out = mix(size.astype(U64) * U64(0x9E3779B97F4A7C15) + U64(1))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    todo = np.flatnonzero((size > 0) & (size <= most))
+    at, left, h = starts[todo], size[todo], out[todo]
+    while len(todo):
+        h = mix(h ^ (eight[at] & _MASKS[np.minimum(left, 8)]))
+        over = left <= 8
+        out[todo[over]] = h[over]
+        more = ~over
+        todo, at, left, h = todo[more], at[more] + 8, left[more] - 8, h[more]
+    for i in np.flatnonzero(size > most):
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
 _powers = np.ones(1, U64), np.ones(1, U64)
 
 
@@ -90,15 +122,10 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads every bit."""
-    x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
-    return x ^ (x >> U64(31))
-
-
 def spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of values[start:end] for each span: the same wherever the same values stand."""
+    """A 64-bit hash of values[start:end] for each span: the same wherever the same values stand.
+
+    A polynomial, so windows slide at no cost; made for runs of hashes (see ``bytes_hash`` for bytes)."""
     up, down = powers(len(values) + 1)
     total = np.zeros(len(values) + 1, U64)
     np.cumsum((values.astype(U64) + U64(1)) * up[: len(values)], out=total[1:])
@@ -127,6 +154,63 @@ def lists(values: pa.Array, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), values)
 
 
+# ------------------------------------------------------------------------------------------ exchanges
+
+
+def coded(x: np.ndarray) -> bytes:
+    """64-bit numbers by planes of bytes, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), 8).T).tobytes())
+
+
+def decoded(x: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8)
+    return np.ascontiguousarray(raw.reshape(8, len(raw) // 8).T).view(U64).ravel()
+
+
+#: What a block of the input asks a bucket of keys: its keys in order, and what it says of each.
+ASK = "bucket bigint, block bigint, keys binary, said array<binary>"
+
+
+def asks(block: int, keys: np.ndarray, said: list[np.ndarray], bits: int, kind: int = 0) -> pa.RecordBatch:
+    """A block's questions; keys in order, buckets by their leading bits; said: numbers for each key."""
+    to, cuts = np.unique(keys >> U64(64 - bits), return_index=True)
+    spans = list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)], strict=False))
+    told = pa.array([coded(np.ascontiguousarray(x[a:b])) for a, b in spans for x in said], pa.binary())
+    own = pa.array([coded(np.diff(keys[a:b], prepend=U64(0))) for a, b in spans], pa.binary())
+    columns = [pa.array(to.astype(np.int64) | (kind << 48)), pa.array(np.full(len(spans), block)), own, lists(told, np.arange(len(spans) + 1) * len(said))]
+    return pa.RecordBatch.from_arrays(columns, ["bucket", "block", "keys", "said"])
+
+
+def answered(asked: DataFrame, answer: Callable[..., tuple[np.ndarray, np.ndarray]], name: str) -> DataFrame:
+    """(block, told, news): for each block the answers to its keys, in the order of kinds and keys, and a sum.
+
+    A bucket has one question of each block, so a key that all the input has is as cheap as any other.
+    answer(kind, at, first, *said) gets, for all blocks' keys in the order of blocks, which distinct key each is and
+    whether it is the first of that key; it gives an answer for each, and a number that is summed up by block."""
+
+    def bucket(group: pa.Table) -> pa.Table:
+        group = group.sort_by("block")
+        keys = [np.cumsum(decoded(k), dtype=U64) for k in group.column("keys").to_pylist()]
+        rows = group.column("said").to_pylist()
+        said = [np.concatenate([decoded(r[i]) for r in rows]) for i in range(len(rows[0]))]
+        cuts = np.cumsum([len(k) for k in keys])[:-1]
+        _, index, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        first = np.zeros(len(at), bool)
+        first[index] = True
+        told, news = answer(group.column("bucket")[0].as_py() >> 48, at, first, *said)
+        told = pa.array([coded(np.ascontiguousarray(x)) for x in np.split(told, cuts)], pa.binary())
+        return pa.table({"bucket": group.column("bucket"), "block": group.column("block"), "told": told, "news": pa.array([int(x.sum()) for x in np.split(news, cuts)], pa.int64())})
+
+    told = asked.groupBy("bucket").applyInArrow(bucket, "bucket bigint, block bigint, told binary, news bigint")
+    told = told.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "told"))).alias("told"), F.sum("news").alias("news"))
+    return scratch(told.select("block", F.col("told.told").alias("told"), "news"), name)
+
+
+def answers(told: list[bytes] | None) -> np.ndarray:
+    """A block's answers, all in one."""
+    return np.concatenate([np.zeros(0, U64), *map(decoded, told or [])])
+
+
 # ---------------------------------------------------------------------------------------- components
 
 

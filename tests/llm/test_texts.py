@@ -169,17 +169,15 @@ def test_fingerprints_of_odd_and_empty(spark):
 # ---- language model
 
 
-def plain_model(texts, share, train):
+def plain_model(texts, least, train):
     """Backoff by dictionaries, token by token, with the same discounts."""
     end = "</s>"
     cut = [[*(t or "").lower().split(), end] for t in texts]
     c1 = Counter(w for x, tr in zip(cut, train, strict=True) if tr for w in x)
     n, v = sum(c1.values()), len(c1)
     uni = lambda w: (c1[w] + 0.1) / (n + 0.1 * (v + 1))
-    often = {w for w in c1 if c1[w] >= share * n}
     led = [[end, *x] for x, tr in zip(cut, train, strict=True) if tr]
-    least = max(2.0, share * n)
-    c2 = Counter(p for x in led for p in zip(x, x[1:], strict=False) if set(p) <= often)
+    c2 = Counter(p for x in led for p in zip(x, x[1:], strict=False))
     c2 = {p: c for p, c in c2.items() if c >= least}
     c3 = Counter(t for x in led for t in zip(x, x[1:], x[2:], strict=False) if t[:2] in c2 and t[1:] in c2)
     c3 = {t: c for t, c in c3.items() if c >= least}
@@ -209,48 +207,40 @@ def plain_model(texts, share, train):
     return n, out
 
 
-@pytest.mark.parametrize(("share", "word_share"), [(0.004, 0.0), (0.01, 0.01)])
-def test_scores_are_those_of_a_plain_model(spark, share, word_share):
+@pytest.mark.parametrize(("least", "block", "bucket"), [(2, 2 << 20, 2 << 20), (2, 300, 64), (5, 1000, 500)])
+def test_scores_are_those_of_a_plain_model(spark, least, block, bucket):
+    """Whatever is one block or many, and one bucket or many."""
     rows = [(i, t) for i, t in passages() if i not in (5,)]
     train = [i % 4 != 0 for i, _ in rows]
-    n, want = plain_model([t for _, t in rows], share, train)
-    got = {r.doc_id: r for r in lm.scored(odd(spark, rows), F.col("doc_id") % 4 != 0, share=share, word_share=word_share).collect()}
+    n, want = plain_model([t for _, t in rows], least, train)
+    got = {r.doc_id: r for r in lm.scored(odd(spark, rows).repartition(3), F.col("doc_id") % 4 != 0, least=least, block=block, bucket=bucket).collect()}
     for (i, _), (tokens, known, base, score), tr in zip(rows, want, train, strict=True):
         r = got[i]
         assert (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (tokens, known, n, not tr)
         assert (r.base_score, r.score) == (pytest.approx(base, abs=1e-6), pytest.approx(score, abs=1e-6))
 
 
-@pytest.mark.parametrize(("word_share", "hot_share"), [(5e-7, 4e-6), (0.01, 0.01), (1.0, 1.0)])
-def test_all_ngrams_that_occur_twice_are_kept_wherever_they_are_looked_up(spark, word_share, hot_share):
-    rows = [(i, t) for i, t in passages() if i not in (5,)]
-    train = [i % 4 != 0 for i, _ in rows]
-    _, want = plain_model([t for _, t in rows], 0.0, train)
-    got = {r.doc_id: r for r in lm.scored(odd(spark, rows), F.col("doc_id") % 4 != 0, word_share=word_share, hot_share=hot_share).collect()}
-    for (i, _), (_, known, base, score) in zip(rows, want, strict=True):
-        assert got[i].n_known == known
-        assert (got[i].base_score, got[i].score) == (pytest.approx(base, abs=1e-6), pytest.approx(score, abs=1e-6))
-
-
 def test_ngrams_need_no_more_occurrences_in_a_larger_corpus(spark):
     rows = [(1, "seldom seen words " * 2), (2, "seldom seen words"), *((i, "la " * 50_000) for i in range(3, 19))]
-    _, want = plain_model([t for _, t in rows], 0.0, [True] * len(rows))
+    _, want = plain_model([t for _, t in rows], 2, [True] * len(rows))
     got = {r.doc_id: r.score for r in lm.scored(odd(spark, rows), F.lit(True)).collect()}
     assert [got[i] for i, _ in rows[:2]] == [pytest.approx(w[3], abs=1e-6) for w in want[:2]]
 
 
 def test_long_texts_are_walked_in_lines_with_one_result():
-    t = " ".join(f"w{i % 7}" for i in range(3000)).encode()
-    ids, bounds = lm.tokens(np.frombuffer(t, np.uint8), np.array([0, len(t)]))
-    h, c = np.unique(ids, return_counts=True)
-    f = np.arange(len(h))
-    at = np.searchsorted(h, ids)
-    k2, c2 = np.unique(at[:-1] * len(h) + at[1:], return_counts=True)
-    told = c2 >= 2
-    two = np.searchsorted(k2[told], at[:-1] * len(h) + at[1:])
-    k3, c3 = np.unique(two[:-2] * len(h) + at[2:-1], return_counts=True)
-    a = lm.build(h, c, len(ids), len(h), f, (k2[told], c2[told]), (k3[c3 >= 2], c3[c3 >= 2]))
-    assert a.scores(at, bounds, line=16)[0] == pytest.approx(a.scores(at, bounds, line=10**6)[0])
+    r = np.random.default_rng(2)
+    ids = np.append(r.integers(1, 9, 3000), 0)
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(9), np.arange(9), indexing="ij"))
+    some = r.random(81) < 0.6
+    a, b = a[some], b[some]
+    x, y = np.nonzero(b[:, None] == a[None, :])
+    told = r.random(len(x)) < 0.5
+    x, y = x[told], y[told]
+    back1, back2 = np.full(9, np.nan), np.full(len(a), np.nan)
+    back1[a], back2[x] = -0.3, -0.2
+    machine = lm.assembled(np.log10(r.random(9)), back1, 0, (a, b, r.random(len(a)), back2), (x, y, r.random(len(x))))
+    bounds = np.array([0, len(ids)])
+    assert machine.scores(ids, bounds, line=16)[0] == pytest.approx(machine.scores(ids, bounds, line=10**6)[0])
 
 
 def test_model_of_odd_and_empty(spark):
