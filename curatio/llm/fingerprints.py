@@ -1,11 +1,12 @@
 """Document fingerprints: a Merkle tree over sections, paragraphs and short runs of words.
 
 Leaves are runs of bytes that end with a paragraph (a line) or after a word whose hash says so, about eight
-words long, so an insertion moves no later boundary.  A paragraph's hash is made of its leaves' hashes, a
-section's of its paragraphs' and the root of the sections'.  Sections end at an empty line or after a
-paragraph whose hash says so.  The fingerprint is the root's 16 hex digits, a colon, and each leaf's 8 hex
-digits with what closes after it: ``,`` a leaf, ``.`` a paragraph too, ``;`` a section too.  Equal roots
-mean equal texts; ``differing`` descends into the branches that differ and says where.
+words long, so an insertion moves no later boundary.  Every node is a BLAKE2b digest of 16 bytes: of a leaf's bytes, of
+a paragraph's leaves' digests, of a section's paragraphs', of the root's sections', each kind with a mark of its own.
+Sections end at an empty line or after a paragraph whose digest says so.  The fingerprint is the root's 32 hex digits,
+a colon, and each leaf's first 8 hex digits with what closes after it: ``,`` a leaf, ``.`` a paragraph too, ``;`` a
+section too.  Equal texts have equal roots, and equal roots mean equal texts as surely as BLAKE2b has no collisions;
+``differing`` descends into the branches that differ and says where.
 
 Null texts are empty texts; their fingerprint has a root and no leaf.  Rows that repeat a key are ordered by
 their text's hash.  A null key comes after every other.  A table of one row is its own next document, and an
@@ -15,24 +16,50 @@ empty table gives an empty one.  Other columns are not carried.  Long texts are
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from curatio.llm.shared import partitions, spans_hash, words
+from curatio.llm.shared import bytes_hash, partitions, words
 
 #: A word's hash ends a leaf in one of LEAF, a paragraph's a section in one of SECTION.
 LEAF, SECTION = 8, 8
 
 
+#: Bytes of a digest, hex digits of a root, and the marks of leaves, paragraphs, sections and roots.
+DIGEST = 16
+ROOT = 2 * DIGEST
+MARKS = b"\0", b"\1", b"\2", b"\3"
+
+
+def digest(mark: bytes, data: bytes) -> bytes:
+    return hashlib.blake2b(mark + data, digest_size=DIGEST).digest()
+
+
+def parents(mark: bytes, children: bytes, ends: np.ndarray) -> list[bytes]:
+    """The digests of nodes; children: all their children's digests in a row, ends: the child after each node's last."""
+    cuts = [0, *(ends * DIGEST).tolist()]
+    return [digest(mark, children[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def chosen(digests: list[bytes]) -> np.ndarray:
+    """Whether a digest says that its node ends a section."""
+    return np.frombuffer(b"".join(digests), "<u8")[:: DIGEST // 8] % np.uint64(SECTION) == 0
+
+
 class Tree:
-    """The trees of many texts: leaf hashes with, for each text, where its leaves begin, and the root hashes."""
+    """The trees of many texts: leaf digests with, for each text, where its leaves begin, and the roots."""
 
     def __init__(self, texts: list[bytes]) -> None:
-        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        raw = b"".join(texts)
+        data = np.frombuffer(raw, dtype=np.uint8)
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
         starts, ends, bounds = words(data, offsets)
         doc = np.searchsorted(offsets, starts, "right") - 1
@@ -44,41 +71,39 @@ class Tree:
         if len(starts):
             paragraph[:-1] |= own[1:] != own[:-1]
             blank[:-1] = own[1:] - own[:-1] > 1
-        close = paragraph | (spans_hash(data, starts, ends) % np.uint64(LEAF) == 0)
+        close = paragraph | (bytes_hash(data, starts, ends) % np.uint64(LEAF) == 0)
         at = np.flatnonzero(close)  # the words that end a leaf
         first = np.concatenate([[0], at[:-1] + 1]).astype(np.int64) if len(at) else at
-        begin = starts[first]
-        begin = np.where(np.concatenate([[True], doc[at][1:] != doc[at][:-1]]) if len(at) else np.zeros(0, bool), offsets[doc[at]], begin)
-        finish = np.concatenate([begin[1:], [len(data)]]).astype(np.int64) if len(at) else at
-        self.leaves, leaf_doc = spans_hash(data, begin, finish), doc[at]
-        bare = [i for i in range(len(texts)) if bounds[i] == bounds[i + 1] and len(texts[i])]  # blanks alone: one leaf
-        ends_paragraph, ends_blank, ends_doc = paragraph[at], blank[at], last[at]
-        if bare:
-            extra = spans_hash(data, offsets[bare], offsets[np.array(bare) + 1])
-            order = np.argsort(np.concatenate([leaf_doc, bare]), kind="stable")
-            join = lambda a, b: np.concatenate([a, b])[order]
-            self.leaves, leaf_doc = join(self.leaves, extra), join(leaf_doc, bare)
-            ends_paragraph, ends_blank, ends_doc = (join(x, np.full(len(bare), y)) for x, y in ((ends_paragraph, True), (ends_blank, False), (ends_doc, True)))
+        # a text's first leaf begins with the text, every other with its first word
+        opens = np.concatenate([[True], doc[at][1:] != doc[at][:-1]]) if len(at) else np.zeros(0, bool)
+        begin = np.where(opens, offsets[doc[at]], starts[first])
+        leaf_doc, ends_paragraph, ends_blank, ends_doc = doc[at], paragraph[at], blank[at], last[at]
+        bare = np.array([i for i in range(len(texts)) if bounds[i] == bounds[i + 1] and len(texts[i])], np.int64)  # blanks alone: one leaf
+        order = np.argsort(np.concatenate([leaf_doc, bare]), kind="stable")
+        join = lambda x, y: np.concatenate([x, np.full(len(bare), y) if np.isscalar(y) else y])[order]
+        begin, leaf_doc = join(begin, offsets[bare]), join(leaf_doc, bare)
+        ends_paragraph, ends_blank, ends_doc = join(ends_paragraph, True), join(ends_blank, False), join(ends_doc, True)
+        cuts = [*begin.tolist(), len(raw)]
+        leaves = b"".join([digest(MARKS[0], raw[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)])
         self.bounds = np.searchsorted(leaf_doc, np.arange(len(texts) + 1))
         p_end = np.flatnonzero(ends_paragraph) + 1
-        p_hash = spans_hash(self.leaves, np.concatenate([[0], p_end[:-1]]).astype(np.int64), p_end) if len(p_end) else np.zeros(0, np.uint64)
-        ends_section = ends_blank[p_end - 1] | ends_doc[p_end - 1] | (p_hash % np.uint64(SECTION) == 0)
+        paragraphs = parents(MARKS[1], leaves, p_end)
+        ends_section = ends_blank[p_end - 1] | ends_doc[p_end - 1] | chosen(paragraphs)
         s_end = np.flatnonzero(ends_section) + 1
-        s_hash = spans_hash(p_hash, np.concatenate([[0], s_end[:-1]]).astype(np.int64), s_end) if len(s_end) else np.zeros(0, np.uint64)
-        s_doc = leaf_doc[p_end[s_end - 1] - 1] if len(s_end) else np.zeros(0, np.int64)
-        s_bounds = np.searchsorted(s_doc, np.arange(len(texts) + 1))
-        self.roots = spans_hash(s_hash, s_bounds[:-1], s_bounds[1:])
-        marks = np.full(len(self.leaves), ord(","), np.uint8)
+        sections = parents(MARKS[2], b"".join(paragraphs), s_end)
+        s_bounds = np.searchsorted(leaf_doc[p_end[s_end - 1] - 1], np.arange(1, len(texts) + 1))
+        self.roots = parents(MARKS[3], b"".join(sections), s_bounds)
+        marks = np.full(len(begin), ord(","), np.uint8)
         marks[p_end - 1] = ord(".")
-        if len(s_end):
-            marks[p_end[s_end - 1] - 1] = ord(";")
-        short = (self.leaves >> np.uint64(32)).astype(">u4")
+        marks[p_end[s_end - 1] - 1] = ord(";")
+        short = np.ascontiguousarray(np.frombuffer(leaves, np.uint8).reshape(-1, DIGEST)[:, :4])
         digits = np.frombuffer(short.tobytes().hex().encode(), np.uint8).reshape(-1, 8)
         self.body = np.concatenate([digits, marks[:, None]], axis=1).tobytes().decode()
+        short = short.view(">u4").ravel()
         self.sets = [set(short[a:b].tolist()) for a, b in zip(self.bounds[:-1].tolist(), self.bounds[1:].tolist(), strict=True)]
 
     def fingerprint(self, i: int) -> str:
-        return f"{int(self.roots[i]):016x}:{self.body[9 * self.bounds[i] : 9 * self.bounds[i + 1]]}"
+        return f"{self.roots[i].hex()}:{self.body[9 * self.bounds[i] : 9 * self.bounds[i + 1]]}"
 
 
 def fingerprint(text: str | None) -> str:
@@ -92,9 +117,9 @@ def likeness_of(a: set[int], b: set[int]) -> float:
 
 def likeness(one: str, other: str) -> float:
     """Of two fingerprints, 0 to 1: 1 for equal roots, else by their distinct leaves."""
-    if one[:16] == other[:16]:
+    if one[:ROOT] == other[:ROOT]:
         return 1.0
-    cut = lambda x: {int(x[i : i + 8], 16) for i in range(17, len(x), 9)}
+    cut = lambda x: {int(x[i : i + 8], 16) for i in range(ROOT + 1, len(x), 9)}
     return likeness_of(cut(one), cut(other))
 
 
@@ -103,9 +128,9 @@ def differing(one: str, other: str) -> list[tuple[int, int]]:
 
     Sections that the other tree also holds are skipped whole, then paragraphs, as their hashes stand for all below.
     """
-    if one[:16] == other[:16]:
+    if one[:ROOT] == other[:ROOT]:
         return []
-    cut = lambda x: [[p for p in s.split(".") if p] for s in x[17:].split(";") if s]
+    cut = lambda x: [[p for p in s.split(".") if p] for s in x[ROOT + 1 :].split(";") if s]
     mine, theirs = cut(one), cut(other)
     sections, paragraphs = {tuple(s) for s in theirs}, {p for s in theirs for p in s}
     return [(i, k) for i, s in enumerate(mine) if tuple(s) not in sections for k, p in enumerate(s) if p not in paragraphs]
@@ -114,23 +139,31 @@ def differing(one: str, other: str) -> list[tuple[int, int]]:
 def with_next(docs: DataFrame, text: str, key: str, ranges: int) -> DataFrame:
     """(pid, borrowed, key, text), dealt and sorted so that every document is followed by the next in descending key order.
 
-    Keys are cut into ranges, of which the driver sees only the bounds; the greatest document of a range is lent to the
-    range above it, whose last document it follows, and the greatest of all to the lowest range.
+    Keys, of any type that has an order, are cut into ranges by a sample of 100 keys for each, of which the driver sees
+    the bounds; the greatest document of a range is lent to the range above it, whose last document it follows, and the
+    greatest of all to the lowest range.  Bounds and loans, an entry for each range, are broadcast.
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    cut = rows.agg(F.percentile_approx("key", [i / ranges for i in range(1, ranges)], ranges * 20)).first()[0] or []
-    bounds = F.array(*(F.lit(b) for b in sorted(set(cut)))) if cut else F.array().cast("array<bigint>")
-    pid = F.coalesce(F.size(F.filter(bounds, lambda b: b <= F.col("key"))), F.lit(-1))  # no key: below all
-    tops = rows.groupBy(pid.alias("pid")).agg(F.max("key").alias("top")).orderBy("pid").collect()  # a row per range
-    to = [(x["top"], tops[(i + 1) % len(tops)]["pid"]) for i, x in enumerate(tops)]
-    lent = {top: p for top, p in to if top is not None}
-    kinds = [t for t in lent]
-    lending = F.create_map(*(c for t in kinds for c in (F.lit(t), F.lit(lent[t])))) if kinds else None
-    also = F.try_element_at(lending, F.col("key")) if kinds else F.lit(None).cast("int")
-    if any(top is None for top, _ in to):
-        also = F.coalesce(also, F.when(F.col("key").isNull(), F.lit(next(p for top, p in to if top is None))))
-    place = F.array_compact(F.array(F.struct(pid.alias("pid"), F.lit(False).alias("borrowed")), F.when(also.isNotNull(), F.struct(also.alias("pid"), F.lit(True).alias("borrowed")))))
-    placed = rows.withColumn("place", F.explode(place)).select("place.*", "key", "text")
+    some = rows.where("key is not null").select("key", F.xxhash64("key").alias("h")).orderBy("h").limit(100 * ranges)
+    sample = sorted(r["key"] for r in some.collect())
+    bounds = sorted({sample[len(sample) * i // ranges] for i in range(1, ranges)}) if sample else []
+    held = docs.sparkSession.sparkContext.broadcast(bounds)
+
+    @F.pandas_udf("int")
+    def range_of(keys: pd.Series) -> pd.Series:
+        return keys.map(lambda k: bisect_right(held.value, k)).astype("int32")
+
+    pid = F.when(F.col("key").isNull(), F.lit(-1)).otherwise(range_of(F.coalesce("key", F.lit(sample[0] if sample else None).cast(docs.schema[key].dataType))))  # no key: below all
+    placed = rows.withColumn("own", pid)
+    tops = placed.groupBy("own").agg(F.max("key").alias("top")).orderBy("own").collect()  # a row per range
+    to = {x["own"]: (x["top"], tops[(i + 1) % len(tops)]["own"]) for i, x in enumerate(tops)}
+    if not to:
+        return placed.select(F.lit(0).alias("pid"), F.lit(False).alias("borrowed"), "key", "text")
+    loans = docs.sparkSession.createDataFrame([(own, top, other) for own, (top, other) in to.items()], StructType([StructField("at", IntegerType()), StructField("top", docs.schema[key].dataType), StructField("other", IntegerType())]))
+    placed = placed.join(F.broadcast(loans), F.col("own") == F.col("at"))
+    also = F.when(F.col("key").eqNullSafe(F.col("top")), F.col("other"))
+    place = F.array_compact(F.array(F.struct(F.col("own").alias("pid"), F.lit(False).alias("borrowed")), F.when(also.isNotNull(), F.struct(also.alias("pid"), F.lit(True).alias("borrowed")))))
+    placed = placed.withColumn("place", F.explode(place)).select("place.*", "key", "text")
     dealt = placed.repartition(partitions(docs.sparkSession), "pid")
     return dealt.sortWithinPartitions("pid", "borrowed", F.col("key").desc_nulls_last(), F.xxhash64("text"))
 
@@ -177,9 +210,6 @@ def fingerprints(docs: DataFrame, *, text: str = "text", key: str = "doc_id", ra
         if held and (out := work(held, None)) is not None:
             yield out
 
-    from pyspark.sql.pandas.types import to_arrow_type
-    from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
-
     kind = to_arrow_type(docs.schema[key].dataType)
     types = (("n_chars", LongType()), ("edited_sha256", StringType()), ("fingerprint", StringType()), ("edited_fingerprint", StringType()), ("near_edited", DoubleType()), ("near_next", DoubleType()))
     schema = StructType([StructField("key", docs.schema[key].dataType), *(StructField(*t) for t in types)])
