@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, LongType, StructField, StructType
 
-from curatio.llm.shared import U64, chunks, components, grams, lists, mix, scratch, signed, spans_hash, text_key, words
+from curatio.llm.shared import ASK, U64, answered, answers, asks, bytes_hash, chunks, coded, components, decoded, grams, lists, mix, scratch, signed, spans_hash, text_key, words
 
 WIDTH = 5
 _LOG = (-np.log((np.arange(1 << 16) + 0.5) / (1 << 16))).astype(np.float32)
@@ -43,7 +43,7 @@ _LOG = (-np.log((np.arange(1 << 16) + 0.5) / (1 << 16))).astype(np.float32)
 def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, shingle, count), each once, ordered by text and shingle."""
     begin, end, bounds = words(data, offsets)
-    hashes = spans_hash(data, begin, end)
+    hashes = bytes_hash(data, begin, end)
     at, found = grams(hashes, bounds, WIDTH)
     few = np.flatnonzero((np.diff(bounds) > 0) & (np.diff(bounds) < WIDTH))
     doc = np.concatenate([np.searchsorted(bounds, at, "right") - 1, few])
@@ -111,16 +111,6 @@ def similarities(texts: list[bytes], weights: Weights) -> np.ndarray:
     return common / np.maximum(whole - common, 1e-300)
 
 
-def coded(x: np.ndarray) -> bytes:
-    """64-bit numbers by planes of bytes, compressed."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), 8).T).tobytes())
-
-
-def decoded(x: bytes) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8)
-    return np.ascontiguousarray(raw.reshape(8, len(raw) // 8).T).view(U64).ravel()
-
-
 def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]).astype(np.int64)
 
@@ -144,7 +134,7 @@ def blocks_of(read: DataFrame, key_type: DataType) -> DataFrame:
 
 
 def frequencies(blocks: DataFrame, bucket: int = 8 << 20) -> DataFrame:
-    """(block, dfs): the number of rows that have each of a block's distinct shingles, in their order, in coded pieces; bucket: bytes of text."""
+    """(block, told): the number of rows that have each of a block's distinct shingles, in their order; bucket: bytes of text."""
     size = blocks.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     bits = max(1, (size // bucket).bit_length())
 
@@ -154,23 +144,14 @@ def frequencies(blocks: DataFrame, bucket: int = 8 << 20) -> DataFrame:
             for i in range(batch.num_rows):
                 doc, found, _ = shingles(*joined([u.decompress(t) for t in batch.column("text")[i].as_py()]))
                 own, at = np.unique(found, return_inverse=True)
-                c = np.bincount(at, np.array(batch.column("m")[i].values)[doc], len(own)).astype(U64)
-                to, cuts = np.unique(own >> U64(64 - bits), return_index=True)
-                cuts = np.append(cuts, len(own))
-                keys, times = ([coded(f(x[a:b])) for a, b in zip(cuts[:-1], cuts[1:], strict=True)] for f, x in ((lambda x: np.diff(x, prepend=U64(0)), own), (lambda x: x, c)))
-                yield pa.RecordBatch.from_arrays([pa.array(to.astype(np.int64)), pa.array(np.full(len(to), batch.column("block")[i].as_py())), pa.array(keys, pa.binary()), pa.array(times, pa.binary())], ["bucket", "block", "keys", "times"])
+                if len(own):
+                    times = np.bincount(at, np.array(batch.column("m")[i].values)[doc], len(own)).astype(U64)
+                    yield asks(batch.column("block")[i].as_py(), own, [times], bits)
 
-    def count(group: pa.Table) -> pa.Table:
-        keys = [np.cumsum(decoded(k), dtype=U64) for k in group.column("keys").to_pylist()]
-        times = np.concatenate([decoded(t) for t in group.column("times").to_pylist()])
-        found, at = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(at, times, len(found)).astype(U64)[at]
-        parts = np.split(total, np.cumsum([len(k) for k in keys])[:-1])
-        return pa.table({"bucket": group.column("bucket"), "block": group.column("block"), "df": pa.array([coded(p) for p in parts], pa.binary())})
+    def count(_: int, at: np.ndarray, first: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.bincount(at, times.view(np.int64)).astype(U64)[at], first
 
-    asked = blocks.select("block", "m", "text").mapInArrow(ask, "bucket bigint, block bigint, keys binary, times binary")
-    told = asked.groupBy("bucket").applyInArrow(count, "bucket bigint, block bigint, df binary")
-    return told.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "df"))).alias("dfs")).select("block", F.col("dfs.df").alias("dfs"))
+    return answered(blocks.select("block", "m", "text").mapInArrow(ask, ASK), count, "frequencies")
 
 
 def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id", similarity: float = 0.8, bands: int = 12, rows: int = 4, sieve: float = 0.55, block: int = 256) -> DataFrame:
@@ -189,7 +170,7 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
                 size = len(cid)
                 doc, found, times = shingles(*joined([u.decompress(t) for t in texts.to_pylist()]))
                 own, at = np.unique(found, return_inverse=True)
-                df = np.concatenate([np.zeros(0, U64), *map(decoded, batch.column("dfs")[i].as_py() or [])])
+                df = answers(batch.column("told")[i].as_py())
                 drawn = samples(doc, found, Weights(own, np.log1p(n / np.maximum(df, U64(1))), 0.0)(found, times), size, number)
                 flat = drawn.reshape(-1).astype(U64) + U64(1)
                 begin = np.arange(size * bands) * rows
@@ -204,7 +185,7 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
 
     kinds = {"cid": LongType(), "k1": LongType(), "k2": LongType(), "rep": docs.schema[key].dataType, "bands": ArrayType(LongType()), "drawn": ArrayType(IntegerType()), "text": BinaryType(), "df": BinaryType()}
     signed_schema = StructType([StructField(c, t) for c, t in kinds.items()])
-    classes = scratch(blocks.drop("size", "m").join(frequencies(blocks).hint("merge"), "block", "left").mapInArrow(sign, signed_schema), "classes")
+    classes = scratch(blocks.drop("size", "m").join(frequencies(blocks).drop("news").hint("merge"), "block", "left").mapInArrow(sign, signed_schema), "classes")
     members = read.select("key", "k1", "k2")
 
     def similar(texts: list[bytes], dfs: list[bytes]) -> np.ndarray:
@@ -311,7 +292,7 @@ ORACLE = r"""
 WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 x AS (SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [1] ELSE range(1, len(w) - 3) END) AS i FROM d)),
 f AS (SELECT doc_id, s, count(*) AS n FROM x GROUP BY 1, 2),
-i AS (SELECT s, ln(1 + (SELECT count(*) FROM d) / greatest(count(*), 0.01::DOUBLE * (SELECT count(*) FROM d))) AS idf FROM f GROUP BY s),
+i AS (SELECT s, ln(1 + (SELECT count(*) FROM d) / count(*)::DOUBLE) AS idf FROM f GROUP BY s),
 v AS (SELECT doc_id, s, n * idf AS w FROM f JOIN i USING (s)),
 z AS (SELECT doc_id, sum(w) AS total FROM v GROUP BY 1),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.w, b.w)) AS m FROM v a JOIN v b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),

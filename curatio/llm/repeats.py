@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from curatio.llm.shared import U64, chunks, inside, lists, scratch, signed, spans_hash, text_key, words
+from curatio.llm.shared import U64, bytes_hash, chunks, inside, lists, scratch, signed, spans_hash, text_key, words
 
 EMPTY = hashlib.sha256(b"").hexdigest()
 
@@ -80,7 +80,7 @@ def deduplicated(docs: DataFrame, *, text: str = "text", key: str = "doc_id", wi
     def seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in chunks(batches, "text"):
             begin, end, bounds = words(data, offsets)
-            hashes = spans_hash(data, begin, end)
+            hashes = bytes_hash(data, begin, end)
             starts, named, grams = anchors(hashes, bounds, window, gram)
             first, _ = runs(starts, named)
             at = named[first]
@@ -106,7 +106,7 @@ def deduplicated(docs: DataFrame, *, text: str = "text", key: str = "doc_id", wi
         press = zstandard.ZstdCompressor(level=1)
         for part, data, offsets in chunks(batches, "text"):
             begin, end, bounds = words(data, offsets)
-            hashes = spans_hash(data, begin, end)
+            hashes = bytes_hash(data, begin, end)
             starts, named, grams = anchors(hashes, bounds, window, gram)
             places = part.column("places")
             marked = np.zeros(len(hashes), bool)

@@ -15,7 +15,7 @@ from curatio.llm import language_model as lm
 from curatio.llm import pii, toxicity
 from curatio.llm.near_duplicates import Weights, near_duplicates, samples, shingles, similarities
 from curatio.llm.repeats import deduplicated
-from curatio.llm.shared import components
+from curatio.llm.shared import bytes_hash, components
 from tests.llm.helpers import odd, passages
 
 # ---- substring dedup
@@ -63,13 +63,13 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
-def plain_classes(rows, common=0.01):
+def plain_classes(rows):
     bags = []
     for _, t in rows:
         w = (t or "").split()
         bags.append(Counter([tuple(w[i : i + 5]) for i in range(len(w) - 4)] if len(w) >= 5 else [tuple(w)] if w else []))
     df = Counter(s for b in bags for s in b)
-    weight = lambda s: math.log1p(len(rows) / max(df[s], common * len(rows)))
+    weight = lambda s: math.log1p(len(rows) / df[s])
     parent = list(range(len(rows)))
 
     def find(x):
@@ -159,6 +159,56 @@ def test_branches_that_differ_are_located():
     assert len(found) == 1 and found[0][0] >= 1
 
 
+def plain_tree(text):
+    """The root of an independent, recursive tree: words, lines and sections as the module describes them."""
+    d = lambda mark, x: hashlib.blake2b(mark + x, digest_size=16).digest()
+    raw = (text or "").encode()
+    found = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+    if not found:
+        sections = [d(b"\2", d(b"\1", d(b"\0", raw)))] if raw else []
+        return d(b"\3", b"".join(sections)).hex()
+    h = bytes_hash(np.frombuffer(raw, np.uint8), np.array([a for a, _ in found]), np.array([b for _, b in found]))
+    sections, paragraphs, leaves, begin = [], [], [], 0
+    for i, (_, end) in enumerate(found):
+        after = found[i + 1][0] if i + 1 < len(found) else len(raw)
+        lines = raw[end:after].count(b"\n") if i + 1 < len(found) else 9
+        if lines or h[i] % 8 == 0:
+            leaves.append(d(b"\0", raw[begin:after]))
+            begin = after
+        if lines:
+            paragraphs.append(d(b"\1", b"".join(leaves)))
+            leaves = []
+            if lines > 1 or int.from_bytes(paragraphs[-1][:8], "little") % 8 == 0:
+                sections.append(d(b"\2", b"".join(paragraphs)))
+                paragraphs = []
+    return d(b"\3", b"".join(sections)).hex()
+
+
+def test_roots_are_those_of_a_plain_tree():
+    r = np.random.default_rng(4)
+    texts = [None, "", " \n ", "one", "a\n\n\nb ", *(t for _, t in passages())]
+    texts += ["".join(r.choice(["ab", "c", " ", " ", "\n", "\n\n", "d\t"], 200)) for _ in range(30)]
+    assert [fp.fingerprint(t)[:32] for t in texts] == [plain_tree(t) for t in texts]
+
+
+@pytest.mark.parametrize("size", [64, 1024, 2048, 4096])
+def test_texts_that_a_polynomial_cannot_tell_apart(size):
+    bits = [bin(i).count("1") % 2 for i in range(size)]
+    for gap in ("", " "):
+        a, b = gap.join("ab"[x] for x in bits), gap.join("ba"[x] for x in bits)
+        assert fp.fingerprint(a)[:32] != fp.fingerprint(b)[:32] and fp.fingerprint(a) != fp.fingerprint(b)
+    data = np.frombuffer(("".join("ab"[x] for x in bits) + "".join("ba"[x] for x in bits)).encode(), np.uint8)
+    one, two = bytes_hash(data, np.array([0, size]), np.array([size, 2 * size])).tolist()
+    assert one != two
+
+
+def test_keys_of_any_type(spark):
+    rows = [(f"k{i:03}", f"text {i} " * 5) for i in range(50)]
+    got = {r.k: r for r in fp.fingerprints(spark.createDataFrame(rows, "k string, text string"), key="k", ranges=5).collect()}
+    for i, (k, t) in enumerate(rows):
+        assert got[k].edited_sha256 == hashlib.sha256((t[: len(t) - len(t) // 3] + rows[i - 1][1][: len(t) // 3]).encode()).hexdigest()
+
+
 def test_fingerprints_of_odd_and_empty(spark):
     assert fp.fingerprints(odd(spark)).count() == odd(spark).count()
     assert fp.fingerprints(odd(spark, [])).collect() == []
