@@ -1,15 +1,17 @@
 """Packing token sequences: first-fit decreasing with a tournament tree, in randomised groups of documents.
 
-Documents are dealt out at random; each task works through its share in groups of about ``group_tokens``
-tokens, so what is in memory is one group however large the input is.  Within a group a document gives
-whole sequences of ``length`` and a tail; tails are placed by first-fit decreasing, the leftmost bin with
+Documents are dealt by a keyed hash of id and text to numbered groups of about ``group_bytes`` of text; a task sorts
+its groups by that hash and works through them one by one, so what is in memory is one group however large the input
+is.  A group that comes out larger (rows that repeat id and text share one) is packed in parts of ``part_tokens``.
+Groups, their order and their sequence ids follow from the rows alone, so a rerun, and a task that runs again for a
+lost executor, give the same sequences.  Within a group a document gives whole sequences of ``length`` and a tail; tails are placed by first-fit decreasing, the leftmost bin with
 room found by descending a tournament tree of bin capacities.  Gaps over ``gap`` tokens are then closed by
 cutting up the emptiest bins, so a group pads at most its last sequence, and that one is divided into
 powers of two, which need no padding.
 
 A null text is an empty one; it has its end id alone.  Repeated rows are packed each on their own.  An
 empty table gives no pieces.  Other columns are not carried.  A long document is a run of whole sequences.
-Sequence ids are unique across the result; a rerun over the same input gives the same ids.
+Documents that tie in hash and id are equal, and interchangeable.  Sequence ids are unique across the result.
 """
 
 from __future__ import annotations
@@ -19,10 +21,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from curatio.llm.bpe import loaded
 from curatio.llm.shared import chunks, partitions
@@ -112,7 +113,7 @@ def powers_of_two(pieces: list[tuple[int, int, int]], length: int) -> list[list[
     return out
 
 
-def packed(docs: DataFrame, tokenizer: str, *, text: str = "text", key: str = "doc_id", end_id: int = 0, length: int = 1024, gap: int = 16, group_tokens: int = 1 << 20, with_ids: bool = False) -> DataFrame:
+def packed(docs: DataFrame, tokenizer: str, *, text: str = "text", key: str = "doc_id", end_id: int = 0, length: int = 1024, gap: int = 16, group_bytes: int = 1 << 20, part_tokens: int = 1 << 20, seed: int = 20260, with_ids: bool = False) -> DataFrame:
     """One row per piece; with_ids adds the piece's ids themselves."""
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as f:  # the driver's own file; its text goes along as a broadcast
@@ -130,25 +131,28 @@ def packed(docs: DataFrame, tokenizer: str, *, text: str = "text", key: str = "d
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(definition.value)
-        first = TaskContext.get().partitionId() << 36
-        keys, ids, total = [], [], 0
+        now, keys, ids, total, made = None, [], [], 0, 0
         for part, data, offsets in chunks(batches, "text"):
-            raw = memoryview(data.tobytes())
-            keys.append(part.column("key"))
+            raw, groups = memoryview(data.tobytes()), np.array(part.column("group"))
             for i in range(part.num_rows):
+                if ids and (groups[i] != now or total >= part_tokens):
+                    out, n = rows(keys, ids, (int(now) << 32) + made)
+                    yield out
+                    keys, ids, total, made = [], [], 0, made + n
+                if groups[i] != now:
+                    now, made = groups[i], 0
+                keys.append(part.column("key").slice(i, 1))
                 ids.append(np.append(bpe.ids(str(raw[offsets[i] : offsets[i + 1]], "utf-8")), np.uint32(end_id)))
                 total += len(ids[-1])
-            if total >= group_tokens:
-                out, made = rows(keys, ids, first)
-                yield out
-                keys, ids, total, first = [], [], 0, first + made
         if ids:
-            yield rows(keys, ids, first)[0]
-
-    from pyspark.sql.types import ArrayType, IntegerType
+            yield rows(keys, ids, (int(now) << 32) + made)[0]
 
     schema = StructType([StructField("key", docs.schema[key].dataType), *(StructField(c, LongType()) for c in COLUMNS), *[StructField("ids", ArrayType(IntegerType()))] * with_ids])
-    dealt = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).repartition(partitions(spark))
+    read = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    size = read.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    order = F.xxhash64(F.lit(seed), "key", "text")
+    dealt = read.withColumn("order", order).withColumn("group", F.pmod("order", F.lit(max(1, size // group_bytes))))
+    dealt = dealt.repartition(partitions(spark), "group").sortWithinPartitions("group", "order", "key").drop("order")
     return dealt.mapInArrow(task, schema).withColumnRenamed("key", key)
 
 
