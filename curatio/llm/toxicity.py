@@ -6,13 +6,15 @@ hidden in the unlabelled text add to the negative risk is taken off again, and w
 below zero the step is turned round, which keeps the model from fitting the unlabelled text by heart.
 
 Features: the presence of each word and of its first 4, 5, 6 and 7 bytes, ASCII letters lowered, hashed to
-2**20 places; those that set positives apart from unlabelled text are kept.  The fit sees at most
-``positives`` confirmed and ``unlabelled`` other rows of the labels' training part, chosen by a hash of the
-id; the prior counts every training label.  Scores never see labels, language, source or ids.
+2**20 places.  The fit sees at most ``positives`` confirmed documents and ``unlabelled`` documents of the training part,
+with or without a label, chosen by a hash of the id; the prior counts every training label.  How often each place occurs
+in the two samples is summed up by place; the at most ``keep`` places that set positives apart go to the driver, and
+then, for each document of the samples, which of these it has.  Scores never see labels, language, source or ids.
 
 Null texts are empty; an empty text scores as the bias says.  Repeated rows each get their own row; labels
-that repeat an id count once a row in the prior and once in the fit.  Without any confirmed positive every
-score is the prior, 0.  An empty table gives an empty result.  Other columns are not carried.
+that repeat an id count once a row in the prior, and an id of several rows once in the fit, by the least text.  Ties in
+the hash go by id.  Without any confirmed positive every score is the prior, 0.  An empty table gives an empty result.
+Long texts are read whole.  ``train`` carries no columns, ``scored`` all.
 """
 
 from __future__ import annotations
@@ -23,9 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from curatio.llm.shared import U64, chunks, crc32_of_id, mix, powers, words
+from curatio.llm.shared import U64, chunks, crc32_of_id, lists, mix, powers, scratch, words
 
 PLACES = 1 << 20
 PREFIXES = (4, 5, 6, 7)
@@ -76,29 +78,13 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def select(positive: list[np.ndarray], unlabelled: list[np.ndarray], keep: int, least: int = 3) -> np.ndarray:
-    """The places that are more frequent among positives than in unlabelled text, by how many deviations; at most ``keep``."""
-    p, u = np.zeros(PLACES), np.zeros(PLACES)
-    for counts, texts in ((p, positive), (u, unlabelled)):
-        for t in texts:  # a text's places are distinct
-            counts[t] += 1
-    pp, pu = p / max(1, len(positive)), (u + 0.5) / (len(unlabelled) + 1)
-    z = (pp - pu) / np.sqrt(pu / max(1, len(positive)))
-    z[p < least] = -1
-    best = np.argsort(-z, kind="stable")[:keep]
-    return best[z[best] > 3]
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], chosen: np.ndarray, prior: float, *, steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> Model:
+    """Adam over the non-negative risk with the logistic loss, all rows in each step, deterministic.
 
-
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *, keep: int = 3000, steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> Model:
-    """Adam over the non-negative risk with the logistic loss, all rows in each step, deterministic."""
-    chosen = select(positive, unlabelled, keep)
-    index = np.full(PLACES, -1)
-    index[chosen] = np.arange(len(chosen))
+    chosen: the places that are features; the samples hold, for each text, the numbers of those that it has."""
 
     def rows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
-        columns = [index[t] for t in texts]
-        columns = [c[c >= 0] for c in columns]
-        return np.repeat(np.arange(len(texts)), [len(c) for c in columns]), np.concatenate([np.zeros(0, np.int64), *columns]), len(texts)
+        return np.repeat(np.arange(len(texts)), [len(c) for c in texts]), np.concatenate([np.zeros(0, np.int64), *texts]).astype(np.int64), len(texts)
 
     sets = rows(positive), rows(unlabelled)
     w = np.zeros(len(chosen) + 1)
@@ -118,37 +104,58 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     return Model(weights, float(w[-1]))
 
 
-def train(docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "doc_id", label: str = "toxic", positives: int = 4000, unlabelled: int = 8000) -> Model:
-    """A model from the labels given; their documents' texts are found by key."""
+def train(docs: DataFrame, labels: DataFrame, *, training: Column | None = None, text: str = "text", key: str = "doc_id", label: str = "toxic", positives: int = 4000, unlabelled: int = 8000, keep: int = 3000, least: int = 3) -> Model:
+    """A model from the labels given, whose documents' texts are found by key, and from unlabelled text.
+
+    training: the documents that unlabelled text may come from, by default all."""
     labels = labels.select(F.col(key).alias("key"), F.col(label).alias("label")).where("key is not null and label is not null")
     n, toxic = labels.agg(F.count("*"), F.count_if(F.col("label") == 1)).first()
     prior = toxic / n if n else 0.0
+    nothing = Model(np.zeros(PLACES), -500.0)
     if not toxic:
-        return Model(np.zeros(PLACES), -500.0)
-    one = labels.groupBy("key").agg(F.max("label").alias("label"))
-    p = one.where("label = 1").orderBy(F.xxhash64(F.lit(1), "key"), "key").limit(positives).select("key", F.lit(True).alias("p"))
-    u = one.orderBy(F.xxhash64(F.lit(2), "key"), "key").limit(unlabelled).select("key", F.lit(True).alias("u"))
+        return nothing
+    texts = docs.where(F.coalesce(training, F.lit(True)) if training is not None else F.lit(True)).select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).where("key is not null")
+    ranked = lambda table, k, most: table.distinct().orderBy(F.xxhash64(F.lit(k), "key"), "key").limit(most)
+    p = ranked(labels.where("label = 1").select("key"), 1, positives).withColumn("p", F.lit(True))
+    u = ranked(texts.select("key"), 2, unlabelled).withColumn("u", F.lit(True))
     wanted = p.join(u, "key", "full")  # at most positives + unlabelled rows: that is the bound of the broadcast
+    kind = docs.schema[key].dataType
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in chunks(batches, "text"):
             doc, place = distinct(*features(data, offsets))
             bounds = np.searchsorted(doc, np.arange(part.num_rows + 1))
-            cut = [place[a:b].astype(np.uint32).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column("key"), part.column("sort"), pa.array(cut, pa.binary())], ["key", "sort", "places"])
+            yield pa.RecordBatch.from_arrays([part.column("key"), part.column("sort"), lists(pa.array(place.astype(np.int32)), bounds)], ["key", "sort", "places"])
 
-    texts = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).join(F.broadcast(wanted), "key")
     sort = F.when(F.col("p"), 1).otherwise(0) + F.when(F.col("u"), 2).otherwise(0)
-    schema = StructType([StructField("key", docs.schema[key].dataType), StructField("sort", LongType()), StructField("places", BinaryType())])
-    table = texts.select("key", sort.cast("long").alias("sort"), "text").mapInArrow(task, schema).toArrow()
-    rows = {"key": table.column("key").to_pylist(), "sort": table.column("sort").to_pylist(), "places": table.column("places").to_pylist()}
-    del table
-    pa.default_memory_pool().release_unused()
-    order = sorted(range(len(rows["key"])), key=lambda i: (rows["key"][i], rows["places"][i]))
-    order = [i for k, i in enumerate(order) if not k or rows["key"][i] != rows["key"][order[k - 1]]]  # a key's rows count once
-    read = lambda bit: [np.frombuffer(rows["places"][i], np.uint32) for i in order if rows["sort"][i] & bit]
-    found = read(1), read(2)
-    return fit(*found, prior) if all(found) else Model(np.zeros(PLACES), -500.0)
+    schema = StructType([StructField("key", kind), StructField("sort", LongType()), StructField("places", ArrayType(IntegerType()))])
+    found = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).join(F.broadcast(wanted), "key").select("key", sort.cast("long").alias("sort"), "text").mapInArrow(read, schema)
+    samples = scratch(found.groupBy("key", "sort").agg(F.min("places").alias("places")), "samples")
+    has = lambda bit: (F.col("sort").bitwiseAND(F.lit(bit)) > 0).cast("int")
+    np_, nu = samples.agg(F.coalesce(F.sum(has(1)), F.lit(0)), F.coalesce(F.sum(has(2)), F.lit(0))).first()
+    if not np_ or not nu:
+        return nothing
+    # places more frequent among positives than in unlabelled text, by how many deviations
+    counts = samples.select(has(1).alias("p"), has(2).alias("u"), F.explode("places").alias("place")).groupBy("place").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    rate_u = (F.col("u") + 0.5) / (nu + 1)
+    told = counts.where(F.col("p") >= least).withColumn("z", (F.col("p") / np_ - rate_u) / F.sqrt(rate_u / np_)).where("z > 3")
+    best = sorted(r["place"] for r in told.orderBy(F.desc("z"), "place").limit(keep).collect())
+    chosen = np.array(best, dtype=np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(chosen)  # at most ``keep`` places
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = []
+            for places in batch.column("places"):
+                x = np.array(places.values, dtype=np.int64)
+                at = np.minimum(np.searchsorted(shared.value, x), max(0, len(shared.value) - 1))
+                own.append(at[shared.value[at] == x].astype(np.uint16).tobytes() if len(shared.value) and len(x) else b"")
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("sort"), pa.array(own, pa.binary())], ["key", "sort", "own"])
+
+    schema = StructType([StructField("key", kind), StructField("sort", LongType()), StructField("own", BinaryType())])
+    rows = samples.mapInArrow(narrow, schema).orderBy("key").select("sort", "own").collect()
+    sets = [[np.frombuffer(r["own"], np.uint16) for r in rows if r["sort"] & bit] for bit in (1, 2)]
+    return fit(*sets, chosen, prior)
 
 
 def scored(docs: DataFrame, model: Model, *, text: str = "text", out: str = "score") -> DataFrame:
@@ -175,6 +182,7 @@ def held_out(doc_id: Column) -> Column:
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
-    model = train(docs, labels.where(~F.coalesce(held_out(F.col("doc_id")), F.lit(False))))
+    learnt = ~F.coalesce(held_out(F.col("doc_id")), F.lit(False))
+    model = train(docs, labels.where(learnt), training=learnt)
     done = scored(docs.select("doc_id", "text"), model)
     return done.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

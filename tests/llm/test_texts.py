@@ -333,12 +333,22 @@ def test_toxicity_of_odd_and_empty(spark):
 
 def test_the_fit_sees_as_many_rows_as_it_says(spark, monkeypatch):
     seen = []
-    monkeypatch.setattr(toxicity, "fit", lambda p, u, prior: seen.append((len(p), len(u), prior)))
+    monkeypatch.setattr(toxicity, "fit", lambda p, u, chosen, prior: seen.append((len(p), len(u), prior)))
     labels = spark.range(9000).select(F.col("id").alias("doc_id"), (F.col("id") < 4500).cast("int").alias("toxic"))
     toxicity.train(labels.select("doc_id", F.lit("some words").alias("text")), labels)
     assert seen == [(4000, 8000, 0.5)]
 
 
+def test_unlabelled_text_is_that_of_all_training_documents(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda p, u, chosen, prior: seen.append((len(p), len(u), sorted(chosen.tolist()))))
+    docs = spark.createDataFrame([(i, "vile words" if i < 20 else "fair words") for i in range(100)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(10)], "doc_id long, toxic int")
+    toxicity.train(docs, labels, training=F.col("doc_id") % 4 != 2)
+    vile = toxicity.features(np.frombuffer(b"vile", np.uint8), np.array([0, 4]))[1].tolist()
+    assert seen == [(10, 75, sorted(vile))]
+
+
 # ---- PII
 
 TEXTS = [
