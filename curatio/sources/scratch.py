@@ -11,8 +11,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 _roots: dict[str, str] = {}
 #: Whether shuffle files go when the query that wrote them ends.
@@ -44,15 +45,27 @@ def scratch(df: DataFrame, name: str, small: bool = False) -> DataFrame:
     """``df`` written once to the shared folder and read back; small: a table far smaller than the input, in fewer files."""
     if small:
         df = df.coalesce(max(1, partitions(df.sparkSession) // 16))
+    path = _written(df, name, lambda writer, path: writer.parquet(path))
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame, name: str, by: str) -> DataFrame:
+    """``df`` written once and read back, bucketed by a column: joins on it move only their other side."""
+    n, table = partitions(df.sparkSession), f"{name}_{uuid.uuid4().hex[:12]}"
+    _written(df.repartition(n, by), name, lambda writer, path: writer.format("parquet").bucketBy(n, by).sortBy(by).option("path", path).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
+def _written(df: DataFrame, name: str, write: Callable[[DataFrameWriter, str], None]) -> str:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
     conf, before = df.sparkSession.conf, df.sparkSession.conf.get(_CLEANUP, "false")
     conf.set(_CLEANUP, "true")
     try:
         # nobody waits for a table's mark of success: this driver reads it only when the write has returned
-        df.write.option("compression", "zstd").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+        write(df.write.option("compression", "zstd").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"), path)
     finally:
         conf.set(_CLEANUP, before)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path
 
 
 def partitions(spark: SparkSession) -> int:
