@@ -5,12 +5,13 @@ at least ``least`` times in them (twice) is kept, at any size, and discounted; w
 the next shorter context, at the weight that keeps every context's probabilities adding up to 1.
 
 The texts are cut into blocks of about 2 MB, whose words are numbered once.  Nothing of the model is broadcast and no
-table of single n-grams is shuffled: a block asks buckets of hash space, in four rounds, for what its own texts can meet
-- how often its words occur; its bigrams, of words that occur often enough; its trigrams, of bigrams that are kept, and
-its words' failure weights; its bigrams' failure weights - and gets the answers in the order in which it asked (see
+table of single n-grams is shuffled: a block asks buckets of hash space, in five rounds, for what its own texts can meet
+- how often its words occur; its bigrams, of words that occur often enough; its words' failure weights; its trigrams, of
+bigrams that are kept; its bigrams' failure weights - and gets the answers in the order in which it asked (see
 ``shared.answered``).  An n-gram has an owner, the first block that has it, which hands its probability to the sums
 behind its context's failure weight.  From the answers a block builds the part of the automaton that its texts can
-reach, which gives them the same scores as the whole, and walks it from left to right.
+reach, which gives them the same scores as the whole, and walks it from left to right.  Blocks are bucketed by their
+number once, so only answers move to meet them.
 
 Counts come from all training rows.  A null or empty text is the end token alone.  A null id counts as a training row.
 Repeated rows count and are scored each on their own.  Without training rows every token is unknown.  An empty table
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, LongType, StructField, StructType
 
-from curatio.llm.shared import ASK, U64, answered, answers, asks, bytes_hash, chunks, coded, crc32_of_id, decoded, lists, scratch, words
+from curatio.llm.shared import ASK, U64, answered, answers, asks, bytes_hash, chunks, coded, crc32_of_id, dealt, decoded, lists, words
 
 END = U64(1)  # the end of a text, and what stands before its first word
 ADD = 0.1
@@ -135,10 +136,10 @@ def assembled(unigram: np.ndarray, back1: np.ndarray, end: int, two: tuple[np.nd
 class Texts:
     """A block's texts by numbers, and what its answers say of their words and n-grams, as far as there are answers."""
 
-    def __init__(self, row: dict, n: int, v: int, least: int) -> None:
+    def __init__(self, row: dict, n: int, v: int, least: int, trigrams: bool = True) -> None:
         self.hashes, self.times = np.cumsum(decoded(row["hashes"]), dtype=U64), decoded(row["times"]).astype(np.int64)
         self.end = int(np.searchsorted(self.hashes, END))
-        told = {k: answers(row.get(k)) for k in ("words", "pairs", "threes", "backs")}
+        told = {k: answers(row.get(k)) for k in ("words", "pairs", "back1", "threes", "back2")}
         self.count = (told["words"] >> U64(1)).astype(np.int64)
         self.low = (self.count + ADD) / (n + ADD * (v + 1))
         if "ids" not in row:
@@ -169,6 +170,8 @@ class Texts:
         self.a, self.b, self.key2, self.count2, self.own2 = self.a[kept], self.b[kept], self.key2[kept], count2[kept], (answer[kept] & U64(1)).astype(bool)
         self.order2 = np.argsort(self.key2)
         self.p2 = (self.count2 - DISCOUNT) / np.maximum(self.count[self.a], 1)
+        if not trigrams:
+            return
         # trigrams of two kept bigrams
         pair = np.full(len(self.ids), -1)
         pair[at] = place[of]
@@ -182,17 +185,16 @@ class Texts:
         self.order3 = np.argsort(self.key3)
         if row.get("threes") is None:
             return
-        self.back1 = np.full(len(self.hashes), np.nan)
-        self.back1[self.contexts] = told["threes"][: len(self.contexts)].view(np.float64)
         answer = np.zeros(len(three), U64)
-        answer[self.order3] = told["threes"][len(self.contexts) :]
+        answer[self.order3] = told["threes"]
         kept = np.flatnonzero(answer >> U64(1))
         self.x, self.y, self.own3 = self.x[kept], self.y[kept], (answer[kept] & U64(1)).astype(bool)
         self.p3 = ((answer[kept] >> U64(1)).astype(np.int64) - DISCOUNT) / self.count2[self.x]
-        if row.get("backs") is None:
+        if row.get("back2") is None:
             return
-        self.back2 = np.empty(len(self.key2))
-        self.back2[self.order2] = told["backs"].view(np.float64)
+        self.back1, self.back2 = np.full(len(self.hashes), np.nan), np.empty(len(self.key2))
+        self.back1[self.contexts] = told["back1"].view(np.float64)
+        self.back2[self.order2] = told["back2"].view(np.float64)
 
     def automaton(self) -> Automaton:
         return assembled(np.log10(self.low), self.back1, self.end, (self.a, self.b, self.p2, self.back2), (self.x, self.y, self.p3))
@@ -201,7 +203,7 @@ class Texts:
 def counted(least: int) -> Callable:
     """The answer of a bucket: twice the count of all blocks, 0 under least, and 1 more for the key's owner."""
 
-    def answer(_: int, at: np.ndarray, first: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def answer(at: np.ndarray, first: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         total = np.bincount(at, times.view(np.int64)).astype(np.int64)[at]
         kept = total >= max(1, least)
         return np.where(kept, 2 * total + first, 0).astype(U64), kept & first
@@ -239,55 +241,46 @@ def scored(docs: DataFrame, training: Column, *, text: str = "text", key: str =
 
     kinds = {"block": LongType(), "tokens": LongType(), "learnt": LongType(), "keys": ArrayType(kind), "training": ArrayType(BooleanType()), "sizes": BinaryType(), "hashes": BinaryType(), "times": BinaryType(), "ids": BinaryType()}
     names = list(kinds)
-    blocks = scratch(rows.mapInArrow(cut, StructType([StructField(c, t) for c, t in kinds.items()])), "blocks")
+    blocks = dealt(rows.mapInArrow(cut, StructType([StructField(c, t) for c, t in kinds.items()])), "blocks", "block")
     total, n = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("learnt"), F.lit(0))).first()
     bits = max(1, (total // bucket).bit_length())
     v = 0
 
-    def asking(of: Callable[[Texts], list[tuple[np.ndarray, list[np.ndarray]]]]) -> Callable:
-        """What every block asks: of(texts) gives keys in order, with what is said of each, by kind."""
+    def asking(of: Callable[[Texts], tuple[np.ndarray, list[np.ndarray]]], trigrams: bool = False) -> Callable:
+        """What every block asks: of(texts) gives keys in order, and what is said of each."""
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for i in range(batch.num_rows):
                     row = batch.slice(i, 1).to_pylist()[0]
-                    for k, (keys, said) in enumerate(of(Texts(row, n, v, least))):
-                        if len(keys):
-                            yield asks(row["block"], keys, said, bits, k)
+                    keys, said = of(Texts(row, n, v, least, trigrams))
+                    if len(keys):
+                        yield asks(row["block"], keys, said, bits)
 
         return task
 
-    def with_answers(*told: tuple[DataFrame, str]) -> DataFrame:
-        table = blocks.select("block", "training", "sizes", "hashes", "times", "ids")
-        for answers_, name in told:
+    def with_answers(*told: tuple[str, DataFrame]) -> DataFrame:
+        table = blocks.select("block", "keys", "training", "sizes", "hashes", "times", "ids")
+        for name, answers_ in told:
             # a block without questions of a round has no answers, which is not the same as a round that is still to come
             got = answers_.select("block", F.col("told").alias(name)).hint("merge")
             table = table.join(got, "block", "left").withColumn(name, F.coalesce(name, F.array().cast("array<binary>")))
         return table
 
-    # the words
-    asked = blocks.select("block", "hashes", "times").mapInArrow(asking(lambda t: [(t.hashes, [t.times])]), ASK)
-    words_ = answered(asked, counted(1), "words")
-    v = words_.agg(F.coalesce(F.sum("news"), F.lit(0))).first()[0]
-    # the bigrams
-    asked = with_answers((words_, "words")).mapInArrow(asking(lambda t: [(t.key2[t.order2], [t.times2[t.order2]])]), ASK)
-    pairs = answered(asked, counted(least), "pairs")
-
-    # the words' failure weights, and the trigrams
-    def third(t: Texts) -> list[tuple[np.ndarray, list[np.ndarray]]]:
-        sums = [np.bincount(t.a[t.own2], x[t.own2], len(t.hashes))[t.contexts].astype(np.float64) for x in (t.p2, t.low[t.b])]
-        return [(t.hashes[t.contexts], sums), (t.key3[t.order3], [t.times3[t.order3]])]
-
-    count = counted(least)
-    asked = with_answers((words_, "words"), (pairs, "pairs")).mapInArrow(asking(third), ASK)
-    threes = answered(asked, lambda kind, at, first, *said: count(kind, at, first, *said) if kind else failing(at, first, *said), "threes")
+    def round_(of: Callable, answer: Callable, name: str, *told: tuple[str, DataFrame], trigrams: bool = False) -> tuple[str, DataFrame]:
+        table = with_answers(*told).drop("keys") if told else blocks.select("block", "hashes", "times")
+        return name, answered(table.mapInArrow(asking(of, trigrams), ASK), answer, name)
 
-    # the bigrams' failure weights
-    def fourth(t: Texts) -> list[tuple[np.ndarray, list[np.ndarray]]]:
-        return [(t.key2[t.order2], [np.bincount(t.x[t.own3], x[t.own3], len(t.key2))[t.order2].astype(np.float64) for x in (t.p3, t.p2[t.y])])]
+    def sums(groups: np.ndarray, values: tuple[np.ndarray, np.ndarray], own: np.ndarray, size: int, at: np.ndarray) -> list[np.ndarray]:
+        """Of the n-grams that a block owns, by context."""
+        return [np.bincount(groups[own], x[own], size)[at].astype(np.float64) for x in values]
 
-    asked = with_answers((words_, "words"), (pairs, "pairs"), (threes, "threes")).mapInArrow(asking(fourth), ASK)
-    backs = answered(asked, lambda _, at, first, *said: failing(at, first, *said), "backs")
+    words_ = round_(lambda t: (t.hashes, [t.times]), counted(1), "words")
+    v = words_[1].agg(F.coalesce(F.sum("news"), F.lit(0))).first()[0]
+    pairs = round_(lambda t: (t.key2[t.order2], [t.times2[t.order2]]), counted(least), "pairs", words_)
+    back1 = round_(lambda t: (t.hashes[t.contexts], sums(t.a, (t.p2, t.low[t.b]), t.own2, len(t.hashes), t.contexts)), failing, "back1", words_, pairs)
+    threes = round_(lambda t: (t.key3[t.order3], [t.times3[t.order3]]), counted(least), "threes", words_, pairs, trigrams=True)
+    back2 = round_(lambda t: (t.key2[t.order2], sums(t.x, (t.p3, t.p2[t.y]), t.own3, len(t.key2), t.order2)), failing, "back2", words_, pairs, threes, trigrams=True)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -301,8 +294,7 @@ def scored(docs: DataFrame, training: Column, *, text: str = "text", key: str =
                 yield pa.RecordBatch.from_arrays(columns, ["key", "training", "n_tokens", "n_known", "base_score", "score"])
 
     kinds = {"key": kind, "training": BooleanType(), "n_tokens": LongType(), "n_known": LongType(), "base_score": DoubleType(), "score": DoubleType()}
-    table = with_answers((words_, "words"), (pairs, "pairs"), (threes, "threes"), (backs, "backs")).join(blocks.select("block", "keys").hint("merge"), "block")
-    done = table.mapInArrow(score, StructType([StructField(c, t) for c, t in kinds.items()]))
+    done = with_answers(words_, pairs, back1, threes, back2).mapInArrow(score, StructType([StructField(c, t) for c, t in kinds.items()]))
     return done.select(F.col("key").alias(key), (~F.col("training")).alias("held_out"), "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"), "base_score", "score")
 
 

@@ -148,7 +148,7 @@ def frequencies(blocks: DataFrame, bucket: int = 8 << 20) -> DataFrame:
                     times = np.bincount(at, np.array(batch.column("m")[i].values)[doc], len(own)).astype(U64)
                     yield asks(batch.column("block")[i].as_py(), own, [times], bits)
 
-    def count(_: int, at: np.ndarray, first: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def count(at: np.ndarray, first: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.bincount(at, times.view(np.int64)).astype(U64)[at], first
 
     return answered(blocks.select("block", "m", "text").mapInArrow(ask, ASK), count, "frequencies")

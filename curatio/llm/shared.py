@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curatio.sources.scratch import partitions, scratch  # noqa: F401  the operators take them from here
+from curatio.sources.scratch import dealt, partitions, scratch  # noqa: F401  the operators take them from here
 
 #: A word: what lies between blanks, as a Java and RE2 pattern.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -171,21 +171,21 @@ def decoded(x: bytes) -> np.ndarray:
 ASK = "bucket bigint, block bigint, keys binary, said array<binary>"
 
 
-def asks(block: int, keys: np.ndarray, said: list[np.ndarray], bits: int, kind: int = 0) -> pa.RecordBatch:
+def asks(block: int, keys: np.ndarray, said: list[np.ndarray], bits: int) -> pa.RecordBatch:
     """A block's questions; keys in order, buckets by their leading bits; said: numbers for each key."""
     to, cuts = np.unique(keys >> U64(64 - bits), return_index=True)
     spans = list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)], strict=False))
     told = pa.array([coded(np.ascontiguousarray(x[a:b])) for a, b in spans for x in said], pa.binary())
     own = pa.array([coded(np.diff(keys[a:b], prepend=U64(0))) for a, b in spans], pa.binary())
-    columns = [pa.array(to.astype(np.int64) | (kind << 48)), pa.array(np.full(len(spans), block)), own, lists(told, np.arange(len(spans) + 1) * len(said))]
+    columns = [pa.array(to.astype(np.int64)), pa.array(np.full(len(spans), block)), own, lists(told, np.arange(len(spans) + 1) * len(said))]
     return pa.RecordBatch.from_arrays(columns, ["bucket", "block", "keys", "said"])
 
 
 def answered(asked: DataFrame, answer: Callable[..., tuple[np.ndarray, np.ndarray]], name: str) -> DataFrame:
-    """(block, told, news): for each block the answers to its keys, in the order of kinds and keys, and a sum.
+    """(block, told, news): for each block the answers to its keys, in the order of its keys, and a sum.
 
     A bucket has one question of each block, so a key that all the input has is as cheap as any other.
-    answer(kind, at, first, *said) gets, for all blocks' keys in the order of blocks, which distinct key each is and
+    answer(at, first, *said) gets, for all blocks' keys in the order of blocks, which distinct key each is and
     whether it is the first of that key; it gives an answer for each, and a number that is summed up by block."""
 
     def bucket(group: pa.Table) -> pa.Table:
@@ -197,7 +197,7 @@ def answered(asked: DataFrame, answer: Callable[..., tuple[np.ndarray, np.ndarra
         _, index, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         first = np.zeros(len(at), bool)
         first[index] = True
-        told, news = answer(group.column("bucket")[0].as_py() >> 48, at, first, *said)
+        told, news = answer(at, first, *said)
         told = pa.array([coded(np.ascontiguousarray(x)) for x in np.split(told, cuts)], pa.binary())
         return pa.table({"bucket": group.column("bucket"), "block": group.column("block"), "told": told, "news": pa.array([int(x.sum()) for x in np.split(news, cuts)], pa.int64())})
 
