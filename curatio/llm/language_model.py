@@ -2,7 +2,7 @@
 
 Unigrams are smoothed additively and cover every word of the training texts.  Every bigram and trigram that occurs
 at least ``least`` times in them (twice) is kept, at any size, and discounted; what is not kept takes the failure arc to
-the next shorter context, at the weight that keeps every context's probabilities adding up to 1.
+the next shorter context, at the weight (in single precision) that keeps every context's probabilities adding up to 1.
 
 The texts are cut into blocks of about 2 MB, whose words are numbered once.  Nothing of the model is broadcast and no
 table of single n-grams is shuffled: a block asks buckets of hash space, in five rounds, for what its own texts can meet
@@ -11,7 +11,7 @@ bigrams that are kept; its bigrams' failure weights - and gets the answers in th
 ``shared.answered``).  An n-gram has an owner, the first block that has it, which hands its probability to the sums
 behind its context's failure weight.  From the answers a block builds the part of the automaton that its texts can
 reach, which gives them the same scores as the whole, and walks it from left to right.  Blocks are bucketed by their
-number once, so only answers move to meet them.
+number once, as are their answers, so they meet without moving.
 
 Counts come from all training rows.  A null or empty text is the end token alone.  A null id counts as a training row.
 Repeated rows count and are scored each on their own.  Without training rows every token is unknown.  An empty table
@@ -164,17 +164,20 @@ class Texts:
         answer[self.order2] = told["pairs"]
         count2 = (answer >> U64(1)).astype(np.int64)
         kept = np.flatnonzero(count2)
-        self.contexts = np.flatnonzero(self.count >= least)
         place = np.full(len(two) + 1, -1)
         place[kept] = np.arange(len(kept))
         self.a, self.b, self.key2, self.count2, self.own2 = self.a[kept], self.b[kept], self.key2[kept], count2[kept], (answer[kept] & U64(1)).astype(bool)
         self.order2 = np.argsort(self.key2)
         self.p2 = (self.count2 - DISCOUNT) / np.maximum(self.count[self.a], 1)
+        pair = np.full(len(self.ids), -1)
+        pair[at] = place[of]
+        # words whose failure weight may be wanted: before a word that makes no kept bigram with them, or of bigrams owned here
+        wanted = np.zeros(len(self.hashes), bool)
+        wanted[before[pair < 0]] = wanted[self.a[self.own2]] = True
+        self.contexts = np.flatnonzero(wanted & (self.count >= least))
         if not trigrams:
             return
         # trigrams of two kept bigrams
-        pair = np.full(len(self.ids), -1)
-        pair[at] = place[of]
         ahead = np.append(-1, pair[:-1])
         ahead[first] = -1
         at = np.flatnonzero((pair >= 0) & (ahead >= 0))
@@ -188,13 +191,21 @@ class Texts:
         answer = np.zeros(len(three), U64)
         answer[self.order3] = told["threes"]
         kept = np.flatnonzero(answer >> U64(1))
+        place = np.full(len(three) + 1, -1)
+        place[kept] = np.arange(len(kept))
+        third = np.full(len(self.ids), -1)
+        third[at] = place[of]
         self.x, self.y, self.own3 = self.x[kept], self.y[kept], (answer[kept] & U64(1)).astype(bool)
         self.p3 = ((answer[kept] >> U64(1)).astype(np.int64) - DISCOUNT) / self.count2[self.x]
+        wanted = np.zeros(len(self.key2), bool)
+        wanted[ahead[(ahead >= 0) & (third < 0)]] = wanted[self.x[self.own3]] = True
+        self.contexts2 = self.order2[wanted[self.order2]]
         if row.get("back2") is None:
             return
-        self.back1, self.back2 = np.full(len(self.hashes), np.nan), np.empty(len(self.key2))
-        self.back1[self.contexts] = told["back1"].view(np.float64)
-        self.back2[self.order2] = told["back2"].view(np.float64)
+        self.back1, self.back2 = np.full(len(self.hashes), np.nan), np.full(len(self.key2), np.nan)
+        self.back1[self.a] = self.back2[self.x] = 0.0  # contexts that no text here fails from
+        for back, at, name in ((self.back1, self.contexts, "back1"), (self.back2, self.contexts2, "back2")):
+            back[at] = told[name].astype(np.uint32).view(np.float32)
 
     def automaton(self) -> Automaton:
         return assembled(np.log10(self.low), self.back1, self.end, (self.a, self.b, self.p2, self.back2), (self.x, self.y, self.p3))
@@ -212,10 +223,10 @@ def counted(least: int) -> Callable:
 
 
 def failing(at: np.ndarray, first: np.ndarray, own: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The answer to sums over a context's kept n-grams: its failure weight, nan for no context."""
+    """The answer to sums over a context's kept n-grams: its failure weight in single precision, nan for no context."""
     own, low = (np.bincount(at, x.view(np.float64)) for x in (own, low))
     weight = np.log10(np.maximum(1 - own, 1e-12) / np.maximum(1 - low, 1e-12))
-    return np.where(own > 0, weight, np.nan)[at].view(U64), first & (own > 0)[at]
+    return np.where(own > 0, weight, np.nan).astype(np.float32).view(np.uint32)[at].astype(U64), first & (own > 0)[at]
 
 
 def scored(docs: DataFrame, training: Column, *, text: str = "text", key: str = "doc_id", least: int = 2, block: int = BLOCK, bucket: int = BUCKET) -> DataFrame:
@@ -280,7 +291,7 @@ def scored(docs: DataFrame, training: Column, *, text: str = "text", key: str =
     pairs = round_(lambda t: (t.key2[t.order2], [t.times2[t.order2]]), counted(least), "pairs", words_)
     back1 = round_(lambda t: (t.hashes[t.contexts], sums(t.a, (t.p2, t.low[t.b]), t.own2, len(t.hashes), t.contexts)), failing, "back1", words_, pairs)
     threes = round_(lambda t: (t.key3[t.order3], [t.times3[t.order3]]), counted(least), "threes", words_, pairs, trigrams=True)
-    back2 = round_(lambda t: (t.key2[t.order2], sums(t.x, (t.p3, t.p2[t.y]), t.own3, len(t.key2), t.order2)), failing, "back2", words_, pairs, threes, trigrams=True)
+    back2 = round_(lambda t: (t.key2[t.contexts2], sums(t.x, (t.p3, t.p2[t.y]), t.own3, len(t.key2), t.contexts2)), failing, "back2", words_, pairs, threes, trigrams=True)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -182,7 +182,7 @@ def asks(block: int, keys: np.ndarray, said: list[np.ndarray], bits: int) -> pa.
 
 
 def answered(asked: DataFrame, answer: Callable[..., tuple[np.ndarray, np.ndarray]], name: str) -> DataFrame:
-    """(block, told, news): for each block the answers to its keys, in the order of its keys, and a sum.
+    """(block, told, news): for each block the answers to its keys, in the order of its keys, and a sum; bucketed by block.
 
     A bucket has one question of each block, so a key that all the input has is as cheap as any other.
     answer(at, first, *said) gets, for all blocks' keys in the order of blocks, which distinct key each is and
@@ -203,7 +203,7 @@ def answered(asked: DataFrame, answer: Callable[..., tuple[np.ndarray, np.ndarra
 
     told = asked.groupBy("bucket").applyInArrow(bucket, "bucket bigint, block bigint, told binary, news bigint")
     told = told.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "told"))).alias("told"), F.sum("news").alias("news"))
-    return scratch(told.select("block", F.col("told.told").alias("told"), "news"), name)
+    return dealt(told.select("block", F.col("told.told").alias("told"), "news"), name, "block", grouped=True)
 
 
 def answers(told: list[bytes] | None) -> np.ndarray:
