@@ -1,20 +1,23 @@
 """Embedding near-duplicates by dual traversal of cover trees: every pair at or above a cosine, exactly.
 
 On unit vectors a cosine of at least c is a distance of at most t = sqrt(2 - 2c).  Equal vectors are counted
-and stand as one.  A bounded sample gives centres; each vector goes to its nearest, and a cell whose centre
-lies further than both covering radii plus t from another's is never compared with it.  Cells are dealt into
-blocks of about ``block`` vectors, and each pair of blocks that may hold a link is one group of work.
+and stand as one.  A bounded sample, as large as the cells need, gives centres, one for about ``block`` vectors (at most
+``cells``); each vector goes to its nearest, and a cell whose centre lies further than both covering radii plus t from
+another's is never compared with it.  Cells are dealt into blocks of about ``block`` vectors, and each pair of blocks
+that may hold a link is one group of work.
 
 In a group, each block gets a cover tree: nested nets whose radii halve from level to level, every node with
-its exact covering radius.  Two trees are walked together: a pair of nodes further apart than both radii plus
-t is dropped, a pair wholly within t is counted without being opened, and the rest are opened down to single
-vectors, whose cosine is then taken in double precision.  A group returns one row per linked vector: how many
-it links with, and the least vector it is tied to there.  Sums give the links and ``components`` the classes,
-so no list of pairs exists anywhere.
+its exact covering radius; a level whose net would hold most of a node's points is left out.  Two trees are walked
+together: a pair of nodes further apart than both radii plus t is dropped, a pair wholly within t is counted without
+being opened, and the rest are opened down to single vectors, whose cosine is then taken in double precision.  At the
+top the distance is first bounded from below by the first ``FIRST`` coordinates alone.  A group returns one row per
+linked vector: how many it links with, and the least vector it is tied to there.  Sums give the links and ``components``
+the classes, so no list of pairs exists anywhere.
 
 Vectors that are null, zero, or hold null or non-finite components link with nothing; so do vectors of
-different lengths with each other.  Rows that repeat a vec_id are linked as the copies they are and give one
-row.  A null id is left out.  An empty table gives an empty result.  Other columns are not carried.
+different lengths with each other.  There is one row per vector: rows that repeat a key or have none are vectors of
+their own; a component is named by its least key that is not null.  A vector without links has its own key, or null,
+as its component.  An empty table gives an empty result.  Other columns are not carried.
 """
 
 from __future__ import annotations
@@ -35,6 +38,8 @@ GROWN_ARROW = pa.schema([("block", pa.int32()), ("near", pa.list_(pa.int32())),
 #: What single-precision distances may be off by, with room to spare.
 SLACK = 1e-3
 STEP = 100_000
+#: The level of a node's children where coarser nets would hold most of its points; the coordinates looked at first; nodes in a tile.
+FINE, FIRST, TILE = 0.125, 24, 1024
 
 
 class CoverTree:
@@ -53,6 +58,9 @@ class CoverTree:
             if nodes[at][1] > 1e-4:
                 level /= 2
                 centres, which = self._net(own, level)
+                if level > FINE and len(centres) > len(own) / 2:
+                    level = FINE
+                    centres, which = self._net(own, level)
                 while len(centres) == 1 and level > 1e-4:
                     level /= 2
                     centres, which = self._net(own, level)
@@ -180,17 +188,28 @@ def dual(left: CoverTree, right: CoverTree, same: bool, exact: np.ndarray, dims:
         own = np.arange(tree.first[0], tree.last[0]) if tree.last[0] else np.zeros(1, np.int64)
         return own[np.argsort(tree.radius[own], kind="stable")]  # wide nodes share tiles
 
+    def halves(points: np.ndarray, left_side: bool) -> np.ndarray:
+        """Rows whose products are minus half the squared distances in the first coordinates."""
+        some = points[:, :FIRST]
+        less, one = -0.5 * (some * some).sum(axis=1, keepdims=True), np.ones((len(points), 1), np.float32)
+        return np.hstack([some, less, one] if left_side else [some, one, less]).astype(np.float32)
+
     todo: list[tuple[np.ndarray, np.ndarray]] = []
     tl, tr = tops(left), tops(right)
-    for i in range(0, len(tl), 1024):
-        for k in range(i if same else 0, len(tr), 1024):
-            dots = left.at[tl[i : i + 1024]] @ right.at[tr[k : k + 1024]].T
-            most = left.radius[tl[i : i + 1024]].max() + right.radius[tr[k : k + 1024]].max() + t + SLACK
-            near = np.flatnonzero((dots >= np.float32(1 - min(most, 2) ** 2 / 2 - 1e-5)).ravel())  # by the tile's widest nodes; keep() takes each pair's own
+    hl, hr = halves(left.at[tl], True), halves(right.at[tr], False)
+    for i in range(0, len(tl), TILE):
+        for k in range(i if same else 0, len(tr), TILE):
+            most = min(2.0, left.radius[tl[i : i + TILE]].max() + right.radius[tr[k : k + TILE]].max() + t + SLACK)  # by the tile's widest nodes; keep() takes each pair's own
+            dots = hl[i : i + TILE] @ hr[k : k + TILE].T
+            near = np.flatnonzero((dots >= np.float32(-(most**2) / 2 - 1e-4)).ravel())
+            if len(near) > dots.size // 16:
+                dots = left.at[tl[i : i + TILE]] @ right.at[tr[k : k + TILE]].T
+                near = np.flatnonzero((dots >= np.float32(1 - most**2 / 2 - 1e-5)).ravel())
             a, b = near // dots.shape[1], near % dots.shape[1]
             if same and i == k:
                 a, b = a[a <= b], b[a <= b]
-            keep(tl[a + i], tr[b + k], np.sqrt(np.maximum(0, 2 - 2 * dots[a, b])))
+            a, b = tl[a + i], tr[b + k]
+            keep(a, b, distances(a, b))
             while todo:
                 a, b = todo.pop()
                 # open the wider node of each pair; of a pair with itself both
@@ -238,23 +257,22 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-300)
 
 
-def linked(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding", cosine: float = 0.9, block: int = 4096, cells: int = 64, sample: int = 2048) -> DataFrame:
+def linked(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding", cosine: float = 0.9, block: int = 4096, cells: int = 4096) -> DataFrame:
     """(key, n_links, component_id, kept) for every vector."""
     spark = vectors.sparkSession
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     doubles = F.col(vector).cast("array<double>")
     usable = F.coalesce((F.size(doubles) > 0) & ~F.exists(doubles, bad) & F.exists(doubles, lambda x: x != 0), F.lit(False))
-    rows = vectors.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), doubles.alias("v"), usable.alias("usable"))
-    twin = [F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2")]
-    own = scratch(rows.select("id", "usable", *twin), "vectors")
-    # equal vectors stand as one, under their least id
-    classes = own.where("usable").groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.countDistinct("id").alias("copies"))
-    classes = scratch(classes, "classes")
-    n = classes.count()
-    held = scratch(rows.where("usable").join(classes.select(F.col("rep").alias("id"), "h1", "h2", "copies"), "id").where((F.xxhash64("v") == F.col("h1")) & (F.xxhash64(F.lit(1), "v") == F.col("h2"))).dropDuplicates(["id"]).select("id", "v", F.col("copies")), "held")
-    seen = held.select("v").orderBy(F.xxhash64("v")).limit(sample).toArrow()
-    width = held.agg(F.max(F.size("v"))).first()[0] or 1
-    centres = _centres(matrix(seen.column("v"), width)[0], max(1, min(cells, -(-n // block)))) if seen.num_rows else np.zeros((1, width))
+    twin = {"h1": F.xxhash64("v"), "h2": F.xxhash64(F.lit(1), "v")}
+    rows = vectors.select(F.col(key).alias("key"), F.when(usable, doubles).alias("v")).withColumns(twin)
+    # equal vectors stand as one, under a number of their own
+    once = rows.where("v is not null").groupBy("h1", "h2").agg(F.count("*").alias("copies"), F.min("key").alias("least"), F.first("v").alias("v"))
+    held = scratch(once.withColumn("id", F.monotonically_increasing_id()), "classes")
+    classes = held.select("id", "h1", "h2", "copies", "least")
+    n, width = held.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
+    wanted = max(1, min(cells, -(-n // block)))
+    seen = held.select("v").orderBy("h1", "h2").limit(max(2048, 16 * wanted)).toArrow()
+    centres = _centres(matrix(seen.column("v"), width)[0], wanted) if seen.num_rows else np.zeros((1, width))
     shared = spark.sparkContext.broadcast(centres)  # at most ``cells`` vectors
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,14 +283,16 @@ def linked(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding"
                 gap = np.sqrt(np.maximum(0, 2 - 2 * dots[np.arange(len(cell)), cell]))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cell.astype(np.int32)), pa.array(gap)], [*part.schema.names, "cell", "gap"])
 
-    in_cells = scratch(held.mapInArrow(place, "id bigint, v array<double>, copies bigint, cell int, gap double"), "cells")
+    in_cells = scratch(held.select("id", "v", "copies").mapInArrow(place, "id bigint, v array<double>, copies bigint, cell int, gap double"), "cells")
     stats = in_cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("r")).orderBy("cell").collect()  # a row per cell
     t = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
-    first, blocks = {}, 0
-    for s in stats:
-        first[s["cell"]] = (blocks, -(-s["n"] // block))
-        blocks += first[s["cell"]][1]
-    near = {s["cell"]: [b for o in stats if np.linalg.norm(centres[s["cell"]] - centres[o["cell"]]) <= s["r"] + o["r"] + t + SLACK for b in range(first[o["cell"]][0], sum(first[o["cell"]]))] for s in stats}
+    cuts = np.concatenate([[0], np.cumsum([-(-s["n"] // block) for s in stats])]).astype(int).tolist()
+    at, reach = centres[[s["cell"] for s in stats]], np.array([s["r"] for s in stats])
+    table = []
+    for i, s in enumerate(stats):  # which cells may hold a link with this one, and their blocks
+        close = np.flatnonzero(np.linalg.norm(at - at[i], axis=1) <= reach + s["r"] + t + SLACK).tolist()
+        table.append((s["cell"], cuts[i], cuts[i + 1] - cuts[i], [b for o in close for b in range(cuts[o], cuts[o + 1])]))
+    by_cell = F.broadcast(spark.createDataFrame(table, "cell int, first int, n int, near array<int>"))  # a row per cell
 
     def grow(group: pa.Table) -> pa.Table:
         """A block's vectors and its cover tree as one row: it is grown once and travels to each block it is compared with."""
@@ -283,13 +303,9 @@ def linked(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding"
         tree = CoverTree(points["v"]).parts()
         return pa.Table.from_pylist([{"block": group.column("block")[0].as_py(), "near": group.column("near")[0].as_py(), "points": points.tobytes(), "tree": tree}], GROWN_ARROW)
 
-    if not stats:
-        work = None
-    else:
-        by_cell = F.create_map(*(c for s in stats for c in (F.lit(s["cell"]), F.struct(F.lit(first[s["cell"]][0]).alias("first"), F.lit(first[s["cell"]][1]).alias("n"), F.array(*map(F.lit, near[s["cell"]])).alias("near")))))
-        at = in_cells.withColumn("c", by_cell[F.col("cell")]).withColumn("block", (F.col("c.first") + F.pmod(F.xxhash64("id"), F.col("c.n"))).cast("int"))
-        grown = at.select("id", "v", "copies", "block", F.col("c.near").alias("near")).groupBy("block").applyInArrow(grow, GROWN)
-        work = grown.withColumn("other", F.explode("near")).select("block", "points", "tree", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    dealt_ = in_cells.join(by_cell, "cell").withColumn("block", (F.col("first") + F.pmod(F.xxhash64("id"), F.col("n"))).cast("int"))
+    grown = dealt_.select("id", "v", "copies", "block", "near").groupBy("block").applyInArrow(grow, GROWN)
+    work = grown.withColumn("other", F.explode("near")).select("block", "points", "tree", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
 
     def join(group: pa.Table) -> pa.Table:
         rows_ = sorted(group.to_pylist(), key=lambda r: r["block"])
@@ -308,15 +324,16 @@ def linked(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding"
         np.minimum.at(least, roots, ids)
         return pa.table({"id": ids[told], "links": links.count[told], "tied": least[roots[told]]})
 
-    found = work.groupBy("lo", "hi").applyInArrow(join, "id bigint, links bigint, tied bigint") if work is not None else spark.createDataFrame([], "id bigint, links bigint, tied bigint")
-    found = scratch(found, "links")
-    counts = found.groupBy(F.col("id").alias("rep")).agg(F.sum("links").alias("links"))
-    tied = components(found.select(F.col("id").alias("a"), F.col("tied").alias("b")))
-    told = classes.join(counts, "rep", "left").join(tied.withColumnRenamed("node", "rep"), "rep", "left")
-    told = scratch(told.select("h1", "h2", (F.coalesce("links", F.lit(0).cast("long")) + F.col("copies") - 1).alias("links"), F.coalesce("component", "rep").alias("component")), "told")
-    out = own.join(told.withColumn("usable", F.lit(True)), ["h1", "h2", "usable"], "left").groupBy("id").agg(F.max("links").alias("links"), F.min("component").alias("component"))
-    component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(key), F.coalesce("links", F.lit(0).cast("long")).alias("n_links"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    found = scratch(work.groupBy("lo", "hi").applyInArrow(join, "id bigint, links bigint, tied bigint"), "links")
+    counts = found.groupBy("id").agg(F.sum("links").alias("links"))
+    tied = components(found.select(F.col("id").alias("a"), F.col("tied").alias("b"))).withColumnRenamed("node", "id")
+    told = classes.join(counts.hint("merge"), "id", "left").join(tied.hint("merge"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    told = scratch(told.select("h1", "h2", "component", "least", (F.coalesce("links", F.lit(0).cast("long")) + F.col("copies") - 1).alias("links")), "told")
+    named = told.groupBy("component").agg(F.min("least").alias("name"))
+    told = told.join(named.hint("merge"), "component").select("h1", "h2", "links", "name")
+    alone = rows.where("v is null").select("key", F.lit(0).cast("long").alias("links"), F.col("key").alias("name"))
+    out = rows.where("v is not null").select("key", "h1", "h2").join(told.hint("merge"), ["h1", "h2"]).select("key", "links", "name").unionByName(alone)
+    return out.select(F.col("key").alias(key), F.col("links").alias("n_links"), F.col("name").alias("component_id"), F.col("key").eqNullSafe(F.col("name")).alias("kept"))
 
 
 def _centres(sample: np.ndarray, n: int) -> np.ndarray:

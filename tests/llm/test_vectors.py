@@ -58,6 +58,9 @@ def test_links_and_classes(spark, block):
 def test_unusable_vectors_link_with_nothing(spark):
     nan = float("nan")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [1.0, 0.0, 0.0]), (1, [1.0, 0.0]), (7, [1.0, 0.0]), (8, [None, 1.0]), (9, []), (None, [1.0, 0.0])]
-    got = {r.vec_id: (r.n_links, r.component_id) for r in linked(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
-    assert got == {1: (2, 1), 2: (2, 1), 7: (2, 1), **{k: (0, k) for k in (3, 4, 5, 6, 8, 9)}}
+    got = linked(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    together = [(k, 4, 1, k == 1) for k in (1, 1, 2, 7, None)]
+    assert sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in got), key=str) == sorted([*together, *((k, 0, k, True) for k in (3, 4, 5, 6, 8, 9))], key=str)
     assert linked(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
+    named = linked(spark.createDataFrame([("b", [1.0, 0.0]), ("a", [1.0, 0.01]), (None, None)], "vec_id string, embedding array<double>")).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in named), key=str) == [("a", 1, "a", True), ("b", 1, "a", False), (None, 0, None, True)]
