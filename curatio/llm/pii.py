@@ -3,34 +3,39 @@
 Detection is one pattern over whole texts: e-mail addresses, phone, card and social security numbers, IPv4
 addresses, bank account numbers, access keys, long hex strings, passwords and tokens that are assigned, and
 persons named after a title.  Card numbers must have a network's prefix and length and a right check digit;
-they are sought among all groups of digits first, so that numbers beside them do not hide them.
-
-An entity is a type and a normal form, so "+1 (523) 555-1055" and "+1 523-555-1055" are one, as are a person's
-family name alone and with a given name.  Every distinct entity draws a candidate by a keyed hash: digits for
-digits, letters for letters of the same case, a card number of the same network with a right check digit, a
-given name of the title's gender in the script of the name.  A candidate that is any real entity's form, or that
-another entity has drawn, is drawn again at the next attempt, until none clashes; so distinct entities stay
-distinct across the whole corpus, and each has one surrogate in all documents.  A surrogate is then written
-in the format of each place where its entity stands.
-
-All of it is DataFrame functions.  Documents without entities are passed on without a shuffle; of the others,
-each distinct text is looked up once.  Persons in a script other than Latin, Greek or Cyrillic are not sought,
-bank account surrogates carry no valid checksum, and domains become names below example.net.
-
-Null texts stay null, texts without entities stay as they are, repeated rows get the same text, and all other
+they are sought among all groups of digits first, so that numbers beside them do not hide them.  A family name that
+stands after a title is sought in the rest of its text too, with the given name before it unless that may only begin
+a sentence.  A password needs no digit, other secrets need one.
+
+An entity is a type and a normal form, so "(523) 555-1055", "+1 523-555-1055" and "001 523 555 1055" are one, as are a
+person's family name alone and with a given name, and a given name whatever the title.  Every distinct entity draws a
+candidate by an HMAC of its type, form and attempt: digits for digits, letters for letters of the same case, the same
+country for a phone, a card number of the same network or a bank account of the same country with right check digits, a
+given name in the script of the name, of the gender that the titles of all its places agree on.  A candidate that is
+any real entity's form (of names, any real name), or that another entity has drawn, is drawn again at the next attempt,
+until none clashes; so distinct entities stay distinct across the whole corpus, and each has one surrogate in all
+documents.  A surrogate is then written in the format of each place where its entity stands.
+
+All of it is DataFrame functions.  Every text is matched once, and its matches and what stands between them are kept in
+a scratch table; of the texts with entities, each distinct one is looked up once.  Persons in a script other than Latin,
+Greek or Cyrillic and persons never named after a title are not sought, and domains become names below example.net.
+
+Null texts stay null, very long texts are matched whole, ties (entities that draw the same surrogate) go to the least
+form, texts without entities stay as they are, repeated rows get the same text, and all other
 columns are carried through, whatever their names.  An empty table gives an empty result.  The same key gives
 the same surrogates for the same set of entities.
 """
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curatio.functions.text import let
-from curatio.llm.shared import scratch, text_key
+from curatio.llm.shared import salted_join, scratch, text_key
 
 #: Titles by gender, then names by script and gender to draw from.
 TITLES = {
@@ -61,10 +66,10 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: Type and pattern; where two could begin at one place, the first wins.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)+",
-    "secret": r"(?<![\p{L}\p{N}])(?i:password|passwd|pwd|secret|token|api[_\-]?key|access[_\-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?(?=[^\s\"',;]{0,80}\d)[^\s\"',;]{8,}",
+    "secret": r"(?<![\p{L}\p{N}])(?:(?i:password|passwd|pwd)[\"']?\s{0,3}[=:]\s{0,3}[\"']?[^\s\"',;]{8,}+|(?i:secret|token|api[_\-]?key|access[_\-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?(?=[^\s\"',;\d]*+\d)[^\s\"',;]{8,}+)",
     "key": r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[po]_[A-Za-z0-9]{30,}|sk-[A-Za-z0-9]{20,})(?![A-Za-z0-9])",
-    "hex": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![A-Za-z0-9])",
-    "phone": r"(?<![\p{L}\p{N}+])(?:\+1[ .\-]?\(?\d{3}\)?[ .\-]?\d{3}[ .\-]?\d{4}|\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\d)",
+    "hex": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![A-Za-z0-9])",
+    "phone": r"(?<![\p{L}\p{N}+])(?:(?:\+|00)1[ .\-]?\(?\d{3}\)?[ .\-]?\d{3}[ .\-]?\d{4}|(?:\+|00(?=[1-9]\d{0,2}[ .\-]))\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\d)",
     "card": r"(?<![\p{L}\p{N}.\-])\d(?:[ \-]?\d){12,18}(?![\p{L}\p{N}])",
     "ip": rf"(?<![\p{{L}}\p{{N}}.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?[\p{{L}}\p{{N}}])",
     "ssn": r"(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}\-])",
@@ -80,6 +85,8 @@ _BEFORE_SECRET = r"^.*?[=:]\s{0,3}[\"']?"
 
 #: The types but cards, in two parts: cards, which no pattern tells, stand between them, as those of the text.
 _FIRST, _LAST = ("|".join(f"(?:{PATTERNS[k]})" for k in kinds) for kinds in (list(PATTERNS)[: list(PATTERNS).index("card")], list(PATTERNS)[list(PATTERNS).index("card") + 1 :]))
+#: The country codes of phone numbers, the two-digit ones and else three digits.
+_COUNTRY = r"^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 #: Around a card: it may stand beside other numbers, apart by a blank or a hyphen.
 _BESIDE = r"(?<![\p{L}\p{N}.])(?<!(?<!\d)-)", r"(?![\p{L}\p{N}])"
 
@@ -91,19 +98,28 @@ def cards_of(text: Column) -> Column:
     return F.when(text.rlike(r"\d(?:[ \-]?\d){12}"), F.array_join(F.array_distinct(valid), "|")).otherwise("")
 
 
-def pattern_of(cards: Column) -> Column:
-    """The pattern of all entities in a text that has these cards."""
+def people_of(text: Column) -> Column:
+    """The family names that stand after a title in a text, as they are written, the longest first."""
+    named = F.regexp_extract_all(text, F.lit(rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE})\.? (?:{_NAME} )?({_NAME})"), F.lit(1))
+    names = F.array_sort(F.filter(F.array_distinct(named), lambda n: F.length(n) > 2), lambda x, y: F.when(F.length(x) != F.length(y), F.length(y) - F.length(x)).when(x < y, -1).when(x > y, 1).otherwise(0))
+    return F.when(text.rlike(_HINTS[1]), F.array_join(names, "|")).otherwise("")
+
+
+def pattern_of(cards: Column, people: Column) -> Column:
+    """The pattern of all entities in a text that has these cards and family names."""
     cards = F.when(cards == "", "").otherwise(F.concat(F.lit(_BESIDE[0] + "(?:"), cards, F.lit(f"){_BESIDE[1]}|")))
-    return F.concat(F.lit(_FIRST + "|"), cards, F.lit(_LAST))
+    given = rf"(?<![\p{{L}}\p{{N}}'’\-])(?:(?<=[\p{{Ll}}\p{{N}},;:] ){_NAME} )?(?:"
+    people = F.when(people == "", "").otherwise(F.concat(F.lit("|" + given), people, F.lit(r")(?![\p{L}\p{N}])")))
+    return F.concat(F.lit(_FIRST + "|"), cards, F.lit(_LAST), people)
 
 
-#: Every entity has a digit, an at sign, a title before a capital, or is a key or hex string: three cheap looks before the full pattern.
-_HINTS = ("[0-9@]", rf"(?=[MFHSDPгГκΚ])(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}", r"(?:AKIA|ASIA)[A-Z]{16}|gh[po]_[A-Za-z]{30}|(?<![A-Za-z])sk-[A-Za-z]{20}|(?<![A-Za-z])(?:[a-f]{32}|[A-F]{32})")
+#: Every entity has a digit, an at sign, a title before a capital in its text, or is a key, hex string or password: cheap looks before the full pattern.
+_HINTS = ("[0-9@]", rf"(?=[MFHSDPгГκΚ])(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}", r"(?:AKIA|ASIA)[A-Z]{16}|gh[po]_[A-Za-z]{30}|(?<![A-Za-z])sk-[A-Za-z]{20}|(?<![A-Za-z])(?:[a-f]{32}|[A-F]{32})|(?i:password|passwd|pwd)[\"']?\s{0,3}[=:]")
 
 
-def matches(text: Column, cards: Column | None = None) -> Column:
-    """The entities of a text; cards: what cards_of says of it, if that is known."""
-    pattern = pattern_of(cards_of(text) if cards is None else cards)
+def matches(text: Column, cards: Column | None = None, people: Column | None = None) -> Column:
+    """The entities of a text; cards, people: what cards_of and people_of say of it, if that is known."""
+    pattern = pattern_of(cards_of(text) if cards is None else cards, people_of(text) if people is None else people)
     return F.when(reduce(lambda a, b: a | b, map(text.rlike, _HINTS)), F.regexp_extract_all(text, pattern, F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
@@ -111,7 +127,7 @@ def kind_of(match: Column) -> Column:
     """The type of a match; null for what only looks like one."""
     out = F.lit(None).cast("string")
     for kind, pattern in reversed(PATTERNS.items()):
-        told = match.rlike(f"^(?:{pattern})$")
+        told = match.rlike(rf"^(?:(?:{_TITLE})\.? )?{_NAME}(?: {_NAME})?$" if kind == "person" else f"^(?:{pattern})$")
         out = F.when(told & digits(match).rlike(_CARD) & luhn(digits(match)) if kind == "card" else told, F.lit(kind)).otherwise(out)
     return out
 
@@ -159,10 +175,11 @@ def entities_of(match: Column) -> Column:
 
 def _entities(match: Column, kind: Column) -> Column:
     names = names_of(match)
-    country = F.regexp_extract(match, r"^\+(\d{1,3}?)(?=[ .\-(]|\d{7,}$)", 1)
+    number = F.regexp_replace(digits(match), "^00", "")
+    number = F.when(match.rlike(r"^(?:\+|00)"), number).otherwise(F.concat(F.lit("1"), number))  # without a country: that of the only such form
     norm = (
         F.when(kind == "email", F.lower(match))
-        .when(kind == "phone", F.concat(country, F.lit("|"), F.substring(digits(match), F.length(country) + 1, F.length(match))))
+        .when(kind == "phone", number)
         .when(kind.isin("card", "ssn"), digits(match))
         .when(kind == "iban", F.regexp_replace(match, " ", ""))
         .when(kind == "secret", F.regexp_replace(match, _BEFORE_SECRET, ""))
@@ -170,16 +187,24 @@ def _entities(match: Column, kind: Column) -> Column:
     )
     pair = lambda k, n: F.struct(k.alias("kind"), n.alias("norm"))
     family = pair(F.concat(F.lit("family_"), script_of(match_name := F.element_at(names, -1))), F.lower(match_name))
-    given = pair(F.concat(F.lit("given_"), script_of(F.element_at(names, 1)), F.lit("_"), gender_of(match)), F.lower(F.element_at(names, 1)))
+    given = pair(F.concat(F.lit("given_"), script_of(F.element_at(names, 1))), F.lower(F.element_at(names, 1)))
     person = F.when(F.size(names) > 1, F.array(given, family)).otherwise(F.array(family))
     return F.when(kind.isNull(), F.expr("cast(array() as array<struct<kind:string,norm:string>>)")).when(kind == "person", person).otherwise(F.array(pair(kind, norm)))
 
 
+def hmac(key: str, message: Column) -> Column:
+    """HMAC-SHA-256 in hex."""
+    raw = key.encode() if len(key.encode()) <= 64 else hashlib.sha256(key.encode()).digest()
+    inner, outer = (bytearray(b ^ pad for b in raw.ljust(64, b"\0")) for pad in (0x36, 0x5C))
+    return F.sha2(F.concat(F.lit(outer), F.unhex(F.sha2(F.concat(F.lit(inner), F.encode(message, "UTF-8")), 256))), 256)
+
+
 def candidates(entities: DataFrame, key: str) -> DataFrame:
-    """entities (kind, norm, attempt) with ``surrogate``, the candidate of that attempt."""
+    """entities (kind, norm, gender, attempt) with ``surrogate``, the candidate of that attempt."""
 
     def drawn(n: int | Column, *on: Column) -> Column:
-        return F.pmod(F.xxhash64(F.lit(key), "kind", *on), n if isinstance(n, Column) else F.lit(n)).cast("int")
+        message = F.concat_ws("\x1f", "kind", *[x.cast("string") for x in on])
+        return F.pmod(F.conv(F.substring(hmac(key, message), 1, 12), 16, 10).cast("long"), n if isinstance(n, Column) else F.lit(n)).cast("int")
 
     def shaped(x: Column, *on: Column, alphabet: str = "") -> Column:
         """Digits for digits and letters for letters, of the same case."""
@@ -197,7 +222,8 @@ def candidates(entities: DataFrame, key: str) -> DataFrame:
     local, domain = F.substring_index(norm, "@", 1), F.substring_index(norm, "@", -1)
     longer = F.when(attempt > 1, F.array_join(F.transform(F.sequence(F.lit(2), F.greatest(attempt, F.lit(2))), lambda i: F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), drawn(26, F.lit("longer"), i, *own) + 1, F.lit(1))), "")).otherwise("")
     email = F.concat(shaped(local, *own), longer, F.lit("@"), shaped(F.substring_index(domain, ".", 1), domain), F.lit(".example.net"))
-    phone = F.concat(F.substring_index(norm, "|", 1), F.lit("|"), shaped(F.substring_index(norm, "|", -1), *own))
+    country = F.regexp_extract(norm, _COUNTRY, 1)
+    phone = F.concat(country, shaped(F.substring(norm, F.length(country) + 1, F.length(norm)), *own))
     network = F.regexp_extract(norm, _NETWORK, 1)
     body = F.concat(network, F.substring(shaped(norm, *own), F.length(network) + 1, F.length(norm) - F.length(network) - 1))
     card = F.concat(body, F.pmod(-luhn_sum(body, 1), F.lit(10)).cast("string"))
@@ -205,7 +231,8 @@ def candidates(entities: DataFrame, key: str) -> DataFrame:
     ip = F.concat_ws(".", octet(1, 223, 1), octet(2, 256, 0), octet(3, 256, 0), octet(4, 254, 1))
     fixed = F.regexp_extract(norm, r"^(AKIA|ASIA|gh[po]_|sk-|)", 1)
     access = F.concat(fixed, F.substring(shaped(norm, *own), F.length(fixed) + 1, F.length(norm)))
-    iban = F.concat(F.substring(norm, 1, 2), F.substring(shaped(norm, *own), F.lit(3), F.length(norm)))
+    account = F.substring(shaped(norm, *own), F.lit(5), F.length(norm))
+    iban = F.concat(F.substring(norm, 1, 2), F.lpad((98 - modulo_97(F.concat(account, F.substring(norm, 1, 2), F.lit("00")))).cast("string"), 2, "0"), account)
 
     hexed = F.when(norm == F.lower(norm), shaped(norm, *own, alphabet="0123456789abcdef")).otherwise(shaped(norm, *own, alphabet="0123456789ABCDEF"))
 
@@ -216,26 +243,38 @@ def candidates(entities: DataFrame, key: str) -> DataFrame:
 
     by_kind = {"email": email, "phone": phone, "card": card, "ip": ip, "key": access, "iban": iban, "hex": hexed, "ssn": shaped(norm, *own)}
     by_kind["secret"] = F.when(norm.rlike(r"^(?:[0-9a-f]+|[0-9A-F]+)$"), hexed).otherwise(shaped(norm, *own))
-    by_kind |= {f"given_{k}": from_pool(v) for k, v in GIVEN.items()} | {f"family_{k}": from_pool(v) for k, v in FAMILY.items()}
+    by_kind |= {f"family_{k}": from_pool(v) for k, v in FAMILY.items()}
+    for script in FAMILY:
+        by_kind[f"given_{script}"] = F.when(F.col("gender") == "f", from_pool(GIVEN[f"{script}_f"])).when(F.col("gender") == "m", from_pool(GIVEN[f"{script}_m"])).otherwise(from_pool(GIVEN[f"{script}_n"]))
     surrogate = reduce(lambda rest, k: F.when(F.col("kind") == k, by_kind[k]).otherwise(rest), by_kind, F.lit(None).cast("string"))
     return entities.withColumn("surrogate", surrogate)
 
 
+def modulo_97(account: Column) -> Column:
+    """What a bank account number leaves when divided by 97, its letters read as 10 to 35."""
+    value = lambda c: F.ascii(c) - F.when(c.rlike("[0-9]"), 48).otherwise(55)
+    return F.aggregate(F.filter(F.split(account, ""), lambda c: c != ""), F.lit(0), lambda r, c: F.pmod(r * F.when(c.rlike("[0-9]"), 10).otherwise(100) + value(c), F.lit(97)))
+
+
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, norm, surrogate) for distinct (kind, norm): no two share a surrogate, and none is another's norm."""
-    real = scratch(entities.select("kind", "norm").distinct(), "entities", small=True)
-    done, left = None, real.withColumn("attempt", F.lit(0))
+    """(kind, norm, surrogate) for distinct (kind, norm): no two share a surrogate, and none is another's norm, nor, of
+    names, any real name; entities: (kind, norm, gender), a row for each place."""
+    says = lambda g: F.max((F.col("gender") == g).cast("int"))
+    agreed = F.when(says("f") == says("m"), "n").when(says("f") == 1, "f").otherwise("m")
+    real = scratch(entities.groupBy("kind", "norm").agg(agreed.alias("gender")), "entities")
+    space = F.when(F.col("kind").rlike("^(given|family)_"), "name").otherwise(F.col("kind"))
+    taken = real.select(space.alias("space"), F.col("norm").alias("form")).distinct()
+    done, left, first = None, real.withColumn("attempt", F.lit(0)), True
     while True:
-        drawn = scratch(candidates(left, key), "drawn", small=True)
-        taken = real.select("kind", F.col("norm").alias("form"))
-        free = drawn.withColumn("form", F.when(F.col("kind").rlike("^(given|family)_"), F.lower("surrogate")).otherwise(F.col("surrogate")))
-        free = free.join(taken.hint("merge"), ["kind", "form"], "left_anti")
+        drawn = scratch(candidates(left, key), "drawn", small=not first)
+        form = F.when(space == "name", F.lower("surrogate")).otherwise(F.col("surrogate"))
+        free = drawn.withColumns({"space": space, "form": form}).join(taken.hint("merge"), ["space", "form"], "left_anti")
         if done is not None:
             free = free.join(done.select("kind", "surrogate").hint("merge"), ["kind", "surrogate"], "left_anti")
-        won = scratch(free.groupBy("kind", "surrogate").agg(F.min("norm").alias("norm")), "won", small=True)
+        won = scratch(free.groupBy("kind", "surrogate").agg(F.min("norm").alias("norm")), "won", small=not first)
         done = won if done is None else done.unionByName(won)
-        left = drawn.join(won.select("kind", "norm").hint("merge"), ["kind", "norm"], "left_anti").select("kind", "norm", (F.col("attempt") + 1).alias("attempt"))
-        left = scratch(left, "left", small=True)
+        left = drawn.join(won.select("kind", "norm").hint("merge"), ["kind", "norm"], "left_anti").select("kind", "norm", "gender", (F.col("attempt") + 1).alias("attempt"))
+        left, first = scratch(left, "left", small=True), False
         if not left.limit(1).count():
             return done.select("kind", "norm", "surrogate")
 
@@ -256,6 +295,7 @@ def _written(match: Column, kind: Column, found: Column) -> Column:
 
     title = F.regexp_extract(match, rf"^((?:{_TITLE})\.? )", 1)
     names = names_of(match)
+    phone = F.when(match.startswith("00"), F.concat(F.lit("00"), first)).when(match.startswith("+"), first).otherwise(F.substring(first, F.lit(2), F.length(first)))
     cased = F.transform(F.arrays_zip(names.alias("n"), found.alias("f")), lambda x: F.when(x["n"] == F.upper(x["n"]), F.upper(x["f"])).otherwise(x["f"]))
     spaced = F.aggregate(
         F.split(match, ""),
@@ -266,7 +306,8 @@ def _written(match: Column, kind: Column, found: Column) -> Column:
     out = (
         F.when(kind.isNull() | F.exists(found, lambda f: f.isNull()), match)
         .when(kind == "email", F.when(match == F.upper(match), F.upper(first)).otherwise(first))
-        .when(kind.isin("phone", "card", "ssn"), poured(F.regexp_replace(first, r"\|", "")))
+        .when(kind == "phone", poured(phone))
+        .when(kind.isin("card", "ssn"), poured(first))
         .when(kind == "secret", F.concat(F.regexp_extract(match, f"({_BEFORE_SECRET})", 1), first))
         .when(kind == "iban", spaced)
         .when(kind == "person", F.concat(title, F.array_join(cased, " ")))
@@ -280,21 +321,25 @@ def pseudonymised(docs: DataFrame, key: str, *, text: str = "text", count: str |
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = names[docs.columns.index(text)]
     k1, k2 = text_key(F.col(at))
-    rows = docs.toDF(*names).withColumns({"cards": cards_of(F.col(at)), "k1": k1, "k2": k2}).withColumn("found", matches(F.col(at), F.col("cards")))
-    some = F.coalesce(F.size("found") > 0, F.lit(False))
-    mentions = rows.where(some).select("k1", "k2", F.explode(F.array_distinct("found")).alias("m")).select("k1", "k2", F.explode(entities_of(F.col("m"))).alias("e")).select("k1", "k2", "e.kind", "e.norm")
-    mentions = scratch(mentions.distinct(), "mentions", small=True)
-    table = scratch(surrogates(mentions, key), "surrogates", small=True)
-    known = mentions.join(table.hint("merge"), ["kind", "norm"]).groupBy("k1", "k2").agg(F.map_from_entries(F.collect_list(F.struct(F.concat("kind", F.lit(" "), "norm"), "surrogate"))).alias("known"))
+    read = docs.toDF(*names).withColumns({"cards": cards_of(F.col(at)), "people": people_of(F.col(at))}).withColumn("found", matches(F.col(at), F.col("cards"), F.col("people")))
+    hit = F.size("found") > 0
+    read = read.withColumn("parts", F.when(hit, F.split(F.col(at), pattern_of(F.col("cards"), F.col("people")), -1)))
+    # the text of a hit is in its parts
+    read = scratch(read.select(*[F.when(~F.coalesce(hit, F.lit(False)), F.col(c)).alias(c) if c == at else c for c in names], "parts", F.when(hit, F.col("found")).alias("found"), F.when(hit, k1).alias("k1"), F.when(hit, k2).alias("k2")), "matched")
+    rows = read.where("found is not null")
+    mentions = rows.select("k1", "k2", F.explode(F.array_distinct("found")).alias("m")).select("k1", "k2", gender_of(F.col("m")).alias("gender"), F.explode(entities_of(F.col("m"))).alias("e"))
+    mentions = scratch(mentions.select("k1", "k2", "e.kind", "e.norm", "gender").distinct(), "mentions")
+    table = scratch(surrogates(mentions, key), "surrogates")
+    asked = salted_join(mentions.select("k1", "k2", "kind", "norm").distinct(), table, ["kind", "norm"], by=["k1", "k2"])
+    known = asked.groupBy("k1", "k2").agg(F.map_from_entries(F.collect_list(F.struct(F.concat("kind", F.lit(" "), "norm"), "surrogate"))).alias("known"))
     known = scratch(known, "known")
-    parts = F.split(F.col(at), pattern_of(F.col("cards")), -1)
-    whole = F.array_join(F.flatten(F.zip_with(parts, "new", lambda p, m: F.array(p, F.coalesce(m, F.lit(""))))), "")
+    whole = F.array_join(F.flatten(F.zip_with("parts", "new", lambda p, m: F.array(p, F.coalesce(m, F.lit(""))))), "")
     changed = F.size(F.filter(F.arrays_zip(F.col("found").alias("a"), F.col("new").alias("b")), lambda x: x["a"] != x["b"]))
-    hit = rows.where(some).join(known.hint("merge"), ["k1", "k2"], "left").withColumn("known", F.coalesce("known", F.create_map().cast("map<string,string>")))
-    hit = hit.withColumn("new", F.transform("found", lambda m: written(m, F.col("known"))))
-    hit = hit.select(*[whole.alias(c) if c == at else F.col(c) for c in names], changed.cast("long").alias("n"))
-    clean = rows.where(~some).select(*names, F.lit(0).cast("long").alias("n"))
-    out = clean.unionByName(hit)
+    hits = salted_join(rows, known, ["k1", "k2"], how="left").withColumn("known", F.coalesce("known", F.create_map().cast("map<string,string>")))
+    hits = hits.withColumn("new", F.transform("found", lambda m: written(m, F.col("known"))))
+    hits = hits.select(*[whole.alias(c) if c == at else F.col(c) for c in names], changed.cast("long").alias("n"))
+    clean = read.where("found is null").select(*names, F.lit(0).cast("long").alias("n"))
+    out = clean.unionByName(hits)
     return out.toDF(*docs.columns, count) if count else out.drop("n").toDF(*docs.columns)
 
 

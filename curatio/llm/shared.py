@@ -154,6 +154,17 @@ def lists(values: pa.Array, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), values)
 
 
+# ---------------------------------------------------------------------------------------------- joins
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], by: list[str] | None = None, how: str = "inner", salt: int = 32) -> DataFrame:
+    """left joined with right, which has each key about once: right stands ``salt`` times, and left's rows are dealt over
+    these by the columns ``by`` (or one by one), so a key with a third of all rows is spread over as many tasks."""
+    number = F.xxhash64(*by) if by else F.monotonically_increasing_id()
+    dealt_ = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    return left.withColumn("__salt", F.pmod(number, F.lit(salt)).cast("int")).join(dealt_.hint("merge"), [*on, "__salt"], how).drop("__salt")
+
+
 # ------------------------------------------------------------------------------------------ exchanges
 
 

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curatio.llm.shared import components, scratch
+from curatio.llm.shared import components, salted_join, scratch
 
 #: One row for a block: its vectors, the parts of its tree, and the blocks it is compared with.
 GROWN = "block int, near array<int>, points binary, tree array<binary>"
@@ -330,9 +330,9 @@ def linked(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding"
     told = classes.join(counts.hint("merge"), "id", "left").join(tied.hint("merge"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     told = scratch(told.select("h1", "h2", "component", "least", (F.coalesce("links", F.lit(0).cast("long")) + F.col("copies") - 1).alias("links")), "told")
     named = told.groupBy("component").agg(F.min("least").alias("name"))
-    told = told.join(named.hint("merge"), "component").select("h1", "h2", "links", "name")
+    told = salted_join(told, named, ["component"], by=["h1"]).select("h1", "h2", "links", "name")
     alone = rows.where("v is null").select("key", F.lit(0).cast("long").alias("links"), F.col("key").alias("name"))
-    out = rows.where("v is not null").select("key", "h1", "h2").join(told.hint("merge"), ["h1", "h2"]).select("key", "links", "name").unionByName(alone)
+    out = salted_join(rows.where("v is not null").select("key", "h1", "h2"), told, ["h1", "h2"]).select("key", "links", "name").unionByName(alone)
     return out.select(F.col("key").alias(key), F.col("links").alias("n_links"), F.col("name").alias("component_id"), F.col("key").eqNullSafe(F.col("name")).alias("kept"))
 
 
