@@ -15,9 +15,12 @@ from tokenizers import Tokenizer
 
 #: Fixed value: the pre-token pattern of the byte-level pre-tokenizer.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Texts with other code points than these go to the library whole: its pattern engine may class them by another Unicode version.
+#: Stretches with other code points than these go to the library: its pattern engine may class them by another Unicode version.
 _PLAIN = regex.compile(r"[\x00-\x1b\x20-\x84\x86-ͯЀ-ҁ‐-‧€™]*")
 
+#: Where a pre-token begins whatever stands around: before a blank and an ASCII letter or digit, after a visible ASCII sign.
+_SEAM = regex.compile(r"(?<=[!-~])(?= [A-Za-z0-9])")
+
 
 def byte_letters() -> dict[str, int]:
     """The printable letter that stands for each byte in a byte-level vocabulary: itself, or the next free one from 256."""
@@ -56,6 +59,23 @@ class ByteBpe:
     def plain(self, text: str) -> bool:
         return _PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
 
+    def stretches(self, text: str) -> list[tuple[bool, str]]:
+        """The text in stretches that encode on their own, each plain or for the library; cut only where a pre-token begins."""
+        if self.plain(text):
+            return [(True, text)]
+        if any(_SEAM.search(s) for s in self.special if s in text):
+            return [(False, text)]
+        out: list[list] = []
+        at = 0
+        for cut in [*(m.start() for m in _SEAM.finditer(text)), len(text)]:
+            plain = self.plain(text[at:cut])
+            if out and out[-1][0] and plain:
+                out[-1][2] = cut
+            else:
+                out.append([plain, at, cut])
+            at = cut
+        return [(p, text[a:b]) for p, a, b in out]
+
     def counts(self, texts: list[str], keep: int = 400_000) -> list[int]:
         """Tokens of each text.  Pre-tokens that are whole tokens count at once; only the others are merged, each
         once while it is among the last ``keep`` (memory only: an entry that goes is merged again when it returns)."""
@@ -64,28 +84,32 @@ class ByteBpe:
             costs.clear()
             costs.update(whole)
         out = [0] * len(texts)
-        odd = [i for i, t in enumerate(texts) if not self.plain(t)]
-        for i, x in zip(odd, self.library.encode_batch([texts[i] for i in odd], add_special_tokens=False), strict=True):
-            out[i] = len(x.ids)
-        skip, cut = set(odd), {}
+        odd, cut = [], []
         for i, t in enumerate(texts):
-            if i not in skip:
-                cut[i] = find(t)
-        rest = list(set().union(*cut.values()).difference(costs)) if cut else []
+            for plain, part in self.stretches(t):
+                if plain:
+                    cut.append((i, find(part)))
+                else:
+                    odd.append((i, part))
+        for (i, _), x in zip(odd, self.library.encode_batch([t for _, t in odd], add_special_tokens=False), strict=True):
+            out[i] += len(x.ids)
+        rest = list(set().union(*(c for _, c in cut)).difference(costs)) if cut else []
         for t, x in zip(rest, self.library.encode_batch(rest, add_special_tokens=False), strict=True):
             costs[t] = len(x.ids)
         price = costs.__getitem__
-        for i, pieces in cut.items():
-            out[i] = sum(map(price, pieces))
+        for i, pieces in cut:
+            out[i] += sum(map(price, pieces))
         return out
 
     def ids(self, text: str) -> np.ndarray:
         """The ids of a text as the library gives them."""
-        if self.plain(text):
-            if self._fast is None:
-                self._fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=self.vocabulary, special_tokens={})
-            return self._fast.encode_to_numpy(text, disallowed_special=()).astype(np.uint32)
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        if self._fast is None:
+            self._fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=self.vocabulary, special_tokens={})
+        parts = [
+            self._fast.encode_to_numpy(part, disallowed_special=()) if plain else self.library.encode(part, add_special_tokens=False).ids
+            for plain, part in self.stretches(text)
+        ]
+        return np.concatenate([np.zeros(0, np.uint32), *(np.asarray(p, dtype=np.uint32) for p in parts)])
 
 
 @lru_cache(maxsize=4)

@@ -38,6 +38,18 @@ def test_any_code_point_counts_as_the_library_counts(library):
     assert [list(bpe.ids(t)) for t in texts] == want
 
 
+def test_only_a_stretch_around_an_odd_code_point_leaves_the_shortcut(library):
+    bpe = ByteBpe(open(PATH, encoding="utf-8").read())
+    text = "some plain words here, " * 20 + "one \u3042\u4e2d odd" + " and plain words again, 1 2 3" * 20
+    cut = bpe.stretches(text)
+    assert "".join(t for _, t in cut) == text and sum(len(t) for p, t in cut if not p) < 12
+    r = random.Random(5)
+    signs = ["a", "B", "7", " ", "  ", "\n", "!", "'s", "\u3042", "\u0085", "\u180e", "\u200b", "\u0660", "é", "<|endoftext|>", "x "]
+    texts = ["".join(r.choice(signs) for _ in range(40)) for _ in range(400)]
+    want = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    assert bpe.counts(texts) == list(map(len, want)) and [list(bpe.ids(t)) for t in texts] == want
+
+
 def test_counts_of_odd_rows(spark, library):
     got = sorted((r.n_bytes, r.n_tokens, r.over_limit) for r in token_counts(odd(spark), PATH).collect())
     want = sorted((len((r.text or "").encode()), n := len(library.encode(r.text or "", add_special_tokens=False).ids), n > 1024) for r in odd(spark).collect())
@@ -85,3 +97,9 @@ def test_packed_rows_hold_the_librarys_ids(spark, library):
         joined[r.doc_id] += r.ids
     assert joined == ids
     assert packed(odd(spark, []), PATH).collect() == []
+
+
+def test_sequences_do_not_depend_on_how_the_rows_lie(spark):
+    rows = [*passages(), (None, "no key"), (None, "no key"), (7, "again"), (7, "again")]
+    one, two = (sorted(map(str, packed(odd(spark, rows).repartition(n), PATH, group_bytes=700, part_tokens=200).collect())) for n in (1, 7))
+    assert one == two and len(one) >= len(rows)
