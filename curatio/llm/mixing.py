@@ -15,8 +15,8 @@ All of it is DataFrame functions.  Offsets come from two-level prefix sums (buck
 within a bucket), so no task holds a source.  Only the table of sources, one row each, is ordered as a whole.
 
 Null texts have 0 words and are taken 0 times; a null source is one source, ordered last.  Repeated rows
-stand for themselves.  Rows with equal keys and sizes tie in the order and are then interchangeable.  An
-empty table gives an empty result.  Other columns are not carried, so clashing names do no harm.
+stand for themselves.  Rows with equal keys and sizes tie in the order and are then interchangeable.  A very long text is many
+pieces.  An empty table gives an empty result.  Other columns are not carried by ``mixed``, so clashing names do no harm.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 from curatio.llm.shared import WORD, partitions, scratch
 
+#: What stands after a word.
+BLANKS = r"[\x20\x09-\x0D]*"
 #: Rounds of the permutation.
 ROUNDS = 12
 
@@ -95,13 +97,15 @@ def slots(plan: DataFrame, block: int, shards: int, seed: int, deal: int = 1024)
     return mine.select("source", "pass", "shard", "slot", at.alias("block"), F.least(F.lit(block).cast("long"), F.col("words") - F.col("k") * block).alias("words"))
 
 
-def mixed(docs: DataFrame, *, text: str = "text", key: str = "doc_id", source: str = "source", order: str | None = None, block: int = 256, shards: int = 256, buckets: int = 1024, seed: int = 20260) -> tuple[DataFrame, DataFrame]:
+def mixed(docs: DataFrame, *, text: str = "text", key: str = "doc_id", source: str = "source", order: str | None = None, block: int = 256, shard_words: int = 1 << 20, bucket_rows: int = 4096, seed: int = 20260) -> tuple[DataFrame, DataFrame]:
     """The documents (key, source, size, first, source_size, target) and the mix: one row per piece of a document
     in a slot (order: the column that orders the documents within a source by its hash, else the key), (shard, source, pass, slot, block, first, start, words): words [start, start + words) of the
     document whose words begin at ``first`` of its source."""
     sized = scratch(docs.select(F.col(key).alias("key"), F.col(order or key).alias("order"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")), "sizes")
+    n, total = sized.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     plan = scratch(targets(sized), "targets", small=True)
-    at = scratch(placed(sized, seed, buckets), "places", small=True)
+    at = scratch(placed(sized, seed, max(64, n // bucket_rows)), "places")
+    shards = max(1, total // shard_words)
     pieces = at.where("size > 0").withColumn("block", F.explode(F.sequence(F.expr(f"first div {block}"), F.expr(f"(first + size - 1) div {block}"))))
     taken = slots(plan, block, shards, seed).hint("merge").withColumnRenamed("source", "s").withColumnRenamed("block", "b").withColumnRenamed("words", "most")
     # both sides grow with the input, which the size of a small compressed table does not show: never broadcast
@@ -121,22 +125,22 @@ def counted(documents: DataFrame, mix: DataFrame) -> DataFrame:
 
 
 def mixed_texts(docs: DataFrame, *, text: str = "text", key: str = "doc_id", source: str = "source", **how) -> DataFrame:
-    """docs as the mix takes them: a row for each document that gives words, with those as its text.
+    """docs as the mix takes them: a row for each pass that takes words of a document, with those as its text.
 
-    A pass over the whole document gives the text as it stands, a part of it the words taken, one space between
-    them; two passes stand one below the other.  All other columns are carried.
+    A pass over the whole document gives the text as it stands; a part of it gives the words taken, with what stands
+    between them.  All other columns are carried.
     """
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = {n: names[docs.columns.index(c)] for n, c in (("text", text), ("key", key), ("source", source))}
     held = scratch(docs.toDF(*names).withColumn("uid", F.monotonically_increasing_id()), "held")
     documents, mix = mixed(held, text=at["text"], key="uid", source=at["source"], order=at["key"], **how)
-    by_pass = mix.groupBy("source", "first", "pass").agg(F.sort_array(F.collect_list(F.struct("start", "words"))).alias("pieces"), F.sum("words").alias("n"))
-    takes = by_pass.groupBy(F.col("source").alias("s"), F.col("first").alias("f")).agg(F.sort_array(F.collect_list(F.struct("pass", "n", "pieces"))).alias("takes"))
-    own = documents.where("size > 0").join(takes.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("first") == F.col("f"))).select(F.col("key").alias("uid"), "size", "takes")
+    takes = mix.groupBy(F.col("source").alias("s"), F.col("first").alias("f"), "pass").agg(F.sort_array(F.collect_list(F.struct("start", "words"))).alias("pieces"), F.sum("words").alias("n"))
+    own = documents.where("size > 0").join(takes.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("first") == F.col("f"))).select(F.col("key").alias("uid"), "size", "pieces", "n")
     out = held.join(own.hint("merge"), "uid")
-    out = out.withColumn("words", F.when(F.exists("takes", lambda t: t["n"] < F.col("size")), F.regexp_extract_all(at["text"], F.lit(WORD), F.lit(0))))
-    part = lambda t: F.array_join(F.flatten(F.transform(t["pieces"], lambda p: F.slice("words", (p["start"] + 1).cast("int"), p["words"].cast("int")))), " ")
-    new = F.array_join(F.transform("takes", lambda t: F.when(t["n"] < F.col("size"), part(t)).otherwise(F.col(at["text"]))), "\n")
+    words = F.regexp_extract_all(at["text"], F.lit(WORD + BLANKS), F.lit(0))
+    part = F.array_join(F.flatten(F.transform("pieces", lambda p: F.slice("words", (p["start"] + 1).cast("int"), p["words"].cast("int")))), "")
+    out = out.withColumn("words", F.when(F.col("n") < F.col("size"), words))
+    new = F.when(F.col("n") < F.col("size"), F.regexp_replace(part, BLANKS + "$", "")).otherwise(F.col(at["text"]))
     return out.select(*[new.alias(c) if c == at["text"] else F.col(c) for c in names]).toDF(*docs.columns)
 
 

@@ -45,9 +45,9 @@ def docs(spark):
 
 
 def test_every_source_gives_its_target(spark):
-    documents, mix = mixed(docs(spark), block=16, shards=8)
+    documents, mix = mixed(docs(spark), block=16, shard_words=3700)
     rows = counted(documents, mix).collect()
-    again = counted(*mixed(docs(spark), block=16, shards=8)).collect()
+    again = counted(*mixed(docs(spark), block=16, shard_words=3700)).collect()
     assert sorted(map(str, rows)) == sorted(map(str, again))
     taken, target = Counter(), {}
     for r in rows:
@@ -55,17 +55,24 @@ def test_every_source_gives_its_target(spark):
         taken[r.source] += r.taken
         target[r.source] = r.target
     assert all(abs(taken[s] - target[s]) <= 1 for s in target)
-    assert len({r.shard for r in mix.collect()}) == 8
+    assert len({r.shard for r in mix.collect()}) > 4
 
 
 def test_mixed_texts_hold_the_words_taken(spark):
-    documents, mix = mixed(docs(spark), block=16, shards=8)
+    table = docs(spark).withColumn("text", F.regexp_replace("text", "_7 ", "_7\n\n "))
+    documents, mix = mixed(table, block=16, shard_words=3700)
     want = {r.key: r.taken for r in counted(documents, mix).collect() if r.taken}
-    got = {r.doc_id: r.text for r in mixed_texts(docs(spark), block=16, shards=8).collect()}
-    assert sum(len(t.split()) for t in got.values()) == pytest.approx(sum(want.values()), abs=2)
-    whole = {r.doc_id: r.text for r in docs(spark).collect()}
-    for i, t in got.items():
-        assert set(t.split()) <= set(whole[i].split()) and max(Counter(t.split()).values()) <= 2
+    got = defaultdict(list)
+    for r in mixed_texts(table, block=16, shard_words=3700).collect():
+        got[r.doc_id].append(r.text)
+    assert sum(len(t.split()) for ts in got.values() for t in ts) == pytest.approx(sum(want.values()), abs=2)
+    whole = {r.doc_id: r.text for r in table.collect()}
+    for i, ts in got.items():
+        assert len(ts) <= 2 and max(Counter(w for t in ts for w in t.split()).values()) <= 2
+        for t in ts:
+            assert set(t.split()) <= set(whole[i].split()) and t == t.rstrip()
+            assert all(line in whole[i] for line in t.split("\n\n ")) or t != whole[i]
+    assert any("\n\n" in t for ts in got.values() for t in ts)
 
 
 def test_odd_and_empty(spark):
