@@ -26,14 +26,21 @@ PII_KEY = "curatio-demonstration-key"
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents below the toxic score; the model is trained on the labels' training part and the documents given."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~F.coalesce(held_out(F.col("doc_id")), F.lit(False)))
-    model = train(docs, labels)
+    """Documents below the toxic score; the model is trained on the labels' training part and the documents given.
+
+    Null and empty texts are scored as texts without words; every repeated row is kept or goes like the others; null ids
+    carry no label; very long texts are scored whole; there are no ties, as no row is compared with another.  An empty
+    table gives an empty one, and further columns of docs, whatever their names, are left out."""
+    learnt = ~F.coalesce(held_out(F.col("doc_id")), F.lit(False))
+    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").where(learnt), training=learnt)
     return scored(docs.select(*COLUMNS), model, out="toxic_score").where(F.col("toxic_score") < TOXIC).drop("toxic_score")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class of near-duplicates: the one with the least doc_id, nulls last; of equal ids, one row."""
+    """One row of each class of near-duplicates: the one with the least doc_id, nulls last; of equal ids, one row.
+
+    Null and empty texts are one class; repeated rows are copies, of which one stays; very long texts are compared whole.
+    An empty table gives an empty one, and further columns of docs are left out."""
     rows = scratch(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
     classes = near_duplicates(rows, key="row").select(F.col("row").alias("of"), "class_id")
     ranked = rows.select("doc_id", "row").join(classes.hint("merge"), F.col("row") == F.col("of"))
@@ -43,18 +50,31 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, its personal data replaced by surrogates."""
+    """Every document, its personal data replaced by surrogates.
+
+    Null texts stay null, with no number of characters, and empty ones empty; repeated rows stay, and are replaced alike;
+    null ids matter nothing; very long texts are searched whole; ties between surrogates go to the least form.  An empty
+    table gives an empty one, and further columns of docs are left out."""
     return pseudonymised(docs.select(*COLUMNS), PII_KEY).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words that the mix takes of each document, as its text; documents of which it takes none are not in the mix."""
+    """A row for each pass of the mix that takes words of a document, with these as its text; a document of which it takes
+    none, as one with a null or empty text, is not in the mix.
+
+    Repeated rows are documents of their own; rows that tie in the order are interchangeable; a null source is a source, and
+    null ids stand together in its order; of very long texts any part may be taken.  An empty table gives an empty one, and
+    further columns of docs are left out."""
     return mixed_texts(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 1,024 tokens, one row per piece."""
-    return packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """Sequences of at most 1,024 tokens, one row per piece, with the piece's ids.
+
+    A null or empty text is its end id alone; repeated rows are packed each on their own; null ids stay null; a very long
+    text is a run of whole sequences; rows that tie are equal.  An empty table gives no pieces, and other columns are not
+    carried."""
+    return packed(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
 
 
 STAGES = [
