@@ -16,6 +16,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 _roots: dict[str, str] = {}
+#: The tables that this driver has written and not removed: their paths, with their names where they have one.
+_tables: dict[str, str | None] = {}
 #: Whether shuffle files go when the query that wrote them ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -46,6 +48,7 @@ def scratch(df: DataFrame, name: str, small: bool = False) -> DataFrame:
     if small:
         df = df.coalesce(max(1, partitions(df.sparkSession) // 16))
     path = _written(df, name, lambda writer, path: writer.parquet(path))
+    _tables[path] = None
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -54,9 +57,24 @@ def dealt(df: DataFrame, name: str, by: str, grouped: bool = False) -> DataFrame
     is bucketed too.  grouped: df is the result of a grouping by that column, and lies in its partitions already."""
     n, table = partitions(df.sparkSession), f"{name}_{uuid.uuid4().hex[:12]}"
     _written(df if grouped else df.repartition(n, by), name, lambda writer, path: writer.format("parquet").bucketBy(n, by).sortBy(by).option("path", path).saveAsTable(table))
+    _tables[path] = table
     return df.sparkSession.table(table)
 
 
+def written() -> list[str]:
+    """The scratch tables that there are, in the order of writing."""
+    return list(_tables)
+
+
+def clear(spark: SparkSession, before: list[str], keep: int = 1) -> None:
+    """Removes the tables written since ``before`` but the last ``keep``: for operators whose result reads no others."""
+    since = [path for path in _tables if path not in set(before)]
+    for path in since[: len(since) - keep]:
+        if table := _tables.pop(path):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        _remove(spark, path)
+
+
 def _written(df: DataFrame, name: str, write: Callable[[DataFrameWriter, str], None]) -> str:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
     conf, before = df.sparkSession.conf, df.sparkSession.conf.get(_CLEANUP, "false")
