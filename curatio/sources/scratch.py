@@ -56,7 +56,7 @@ def dealt(df: DataFrame, name: str, by: str, grouped: bool = False) -> DataFrame
     """``df`` written once and read back, bucketed by a column: joins on it move only their other side, or neither if that
     is bucketed too.  grouped: df is the result of a grouping by that column, and lies in its partitions already."""
     n, table = partitions(df.sparkSession), f"{name}_{uuid.uuid4().hex[:12]}"
-    _written(df if grouped else df.repartition(n, by), name, lambda writer, path: writer.format("parquet").bucketBy(n, by).sortBy(by).option("path", path).saveAsTable(table))
+    path = _written(df if grouped else df.repartition(n, by), name, lambda writer, path: writer.format("parquet").bucketBy(n, by).sortBy(by).option("path", path).saveAsTable(table))
     _tables[path] = table
     return df.sparkSession.table(table)
 
