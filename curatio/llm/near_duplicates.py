@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, LongType, StructField, StructType
 
-from curatio.llm.shared import ASK, U64, answered, answers, asks, bytes_hash, chunks, coded, components, decoded, grams, lists, mix, scratch, signed, spans_hash, text_key, words
+from curatio.llm.shared import ASK, U64, answered, answers, asks, bytes_hash, chunks, clear, coded, components, decoded, grams, lists, mix, salted_join, scratch, signed, spans_hash, text_key, words, written
 
 WIDTH = 5
 _LOG = (-np.log((np.arange(1 << 16) + 0.5) / (1 << 16))).astype(np.float32)
@@ -156,6 +156,7 @@ def frequencies(blocks: DataFrame, bucket: int = 8 << 20) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id", similarity: float = 0.8, bands: int = 12, rows: int = 4, sieve: float = 0.55, block: int = 256) -> DataFrame:
     """(key, class_id, kept) for every row; class_id: the least key of the class, which alone is kept."""
+    before = written()
     k1, k2 = text_key(F.col(text).cast("string"))
     read = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), k1.alias("k1"), k2.alias("k2"))
     blocks = blocks_of(read, docs.schema[key].dataType)
@@ -276,10 +277,11 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     more = scratch(there.groupBy("bucket", "lo", "hi").applyInArrow(meet, "a bigint, b bigint"), "more")
     tied = components(links.unionByName(more)).select(F.col("node").alias("cid"), "component")
     named = classes.select("cid", "k1", "k2", "rep").join(tied.hint("merge"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    named = scratch(named, "named", small=True)
+    named = scratch(named, "named")
     first = scratch(named.groupBy("component").agg(F.min("rep").alias("class_id")), "first", small=True)
-    named = scratch(named.join(first.hint("merge"), "component").select("k1", "k2", "class_id"), "told", small=True)
-    out = members.join(named.hint("merge"), ["k1", "k2"])
+    named = scratch(salted_join(named, first, ["component"], by=["k1"]).select("k1", "k2", "class_id"), "told")
+    clear(docs.sparkSession, before)
+    out = salted_join(members, named, ["k1", "k2"])
     return out.select(F.col("key").alias(key), "class_id", F.col("key").eqNullSafe(F.col("class_id")).alias("kept"))
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from curatio.llm.bpe import loaded
-from curatio.llm.shared import chunks, partitions
+from curatio.llm.shared import chunks, lists, partitions
 
 COLUMNS = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -126,7 +126,8 @@ def packed(docs: DataFrame, tokenizer: str, *, text: str = "text", key: str = "d
         crc = np.array([zlib.crc32(ids[i][a : a + m].astype("<u4").tobytes()) for i, a, m in zip(d.tolist(), s.tolist(), n.tolist(), strict=True)], dtype=np.int64)
         columns = [pa.concat_arrays(keys).take(pa.array(d)), *map(pa.array, (s, n, crc, np.array([len(x) for x in ids], dtype=np.int64)[d], seq + first, at))]
         if with_ids:
-            columns.append(pa.array([ids[i][a : a + m] for i, a, m in zip(d, s, n, strict=True)], pa.list_(pa.int32())))
+            flat = np.concatenate([ids[i][a : a + m] for i, a, m in zip(d.tolist(), s.tolist(), n.tolist(), strict=True)])
+            columns.append(lists(pa.array(flat.view(np.int32)), np.append(0, np.cumsum(n))))
         return pa.RecordBatch.from_arrays(columns, names), int(seq[-1]) + 1
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

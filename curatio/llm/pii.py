@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curatio.functions.text import let
-from curatio.llm.shared import salted_join, scratch, text_key
+from curatio.llm.shared import partitions, salted_join, scratch, text_key
 
 #: Titles by gender, then names by script and gender to draw from.
 TITLES = {
@@ -266,7 +266,8 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     taken = real.select(space.alias("space"), F.col("norm").alias("form")).distinct()
     done, left, first = None, real.withColumn("attempt", F.lit(0)), True
     while True:
-        drawn = scratch(candidates(left, key), "drawn", small=not first)
+        # the first round has all entities, in as few files as their size asks for
+        drawn = scratch(candidates(left.repartition(partitions(entities.sparkSession), "kind", "norm") if first else left, key), "drawn", small=not first)
         form = F.when(space == "name", F.lower("surrogate")).otherwise(F.col("surrogate"))
         free = drawn.withColumns({"space": space, "form": form}).join(taken.hint("merge"), ["space", "form"], "left_anti")
         if done is not None:

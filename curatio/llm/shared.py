@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curatio.sources.scratch import dealt, partitions, scratch  # noqa: F401  the operators take them from here
+from curatio.sources.scratch import clear, dealt, partitions, scratch, written  # noqa: F401  the operators take them from here
 
 #: A word: what lies between blanks, as a Java and RE2 pattern.
 WORD = r"[^\x20\x09-\x0D]+"
