@@ -178,3 +178,35 @@ def test_parsers_read_their_pages_and_decline_others(spark):
     assert (v(1)["bullet_diameter_inches"], v(1)["bc_g7"], v(1)["product_line"]) == (0.308, 0.278, "ELD-X") and len(got[1].bc_sources) == 2
     assert (v(2)["sku"], v(2)["base_type"], v(2)["tip_type"], v(2)["type_tags"]) == ("2200", "boat_tail", "hollow_point", ["match", "target"])
     assert (v(3)["caliber"], v(3)["muzzle_velocity_fps"], v(3)["bullet_weight_grains"]) == ("308 Win", 2850, 150.0)
+
+
+def test_cartridge_candidates_by_what_is_known(spark):
+    mentions = spark.createDataFrame([(1, "a", 5, None), (2, "a", None, None), (3, None, 5, "x"), (4, None, None, None)], "mention_id long, m_maker string, m_caliber long, m_sku string")
+    cartridges = spark.createDataFrame([(10, "a", 5, "x"), (11, "a", 6, None), (12, "b", 5, "y"), (13, None, None, None)], "entity_id long, e_maker string, e_caliber long, e_sku string")
+    got = sorted((r.mention_id, r.entity_id) for r in resolve.cartridge_pairs(mentions, cartridges).collect())
+    assert got == [(1, 10), (2, 10), (2, 11), (3, 10), (4, 10), (4, 11), (4, 12), (4, 13)]
+
+
+def test_the_retry_without_a_diameter_meets_only_its_weight_band_and_line(spark):
+    columns = "m_maker string, m_diameter double, m_weight double, m_product_line string, m_product_line_id long, m_name string"
+    mentions = spark.createDataFrame([(1, None, None, 150.0, "Pro Hunter", None, "pro hunter 150"), (2, None, None, 99.5, None, 7, "other")], f"mention_id long, {columns}")
+    entities = spark.createDataFrame([(10, 150.8, None, None), (11, 180.0, "pro hunter", None), (12, 200.0, "else", None), (13, 55.0, None, 7)], "entity_id long, e_weight double, e_product_line string, e_product_line_id long")
+    pairs = resolve.relaxed_candidates(mentions, entities)
+    assert sorted((r.mention_id, r.entity_id) for r in pairs.collect()) == [(1, 10), (1, 11), (2, 13)]
+    assert "NestedLoop" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(
+    ("purpose", "pursuit", "want"),
+    [
+        ("Match/Target", "", (["match", "target"], ["competition", "precision"])),
+        ("Hunting", "Big Game and Varmint", (["hunting"], ["hunting_deer", "hunting_elk"])),
+        ("Hunting", "Varmint", (["hunting", "varmint"], ["hunting_varmint"])),
+        ("Hunting, Self Defense", "", (["hunting", "tactical"], ["hunting_deer", "self_defense"])),
+        ("", "Varmint", ([], [])),
+    ],
+)
+def test_purposes(purpose, pursuit, want):
+    from curatio.sources.parsers import purposes
+
+    assert purposes(purpose, pursuit) == want
