@@ -139,12 +139,13 @@ def differing(one: str, other: str) -> list[tuple[int, int]]:
 def with_next(docs: DataFrame, text: str, key: str, ranges: int) -> DataFrame:
     """(pid, borrowed, key, text), dealt and sorted so that every document is followed by the next in descending key order.
 
-    Keys, of any type that has an order, are cut into ranges by a sample of 100 keys for each, of which the driver sees
-    the bounds; the greatest document of a range is lent to the range above it, whose last document it follows, and the
+    Keys, of any type that has an order, are cut into ranges by a sample of about 20 keys for each, chosen by a hash,
+    which goes to the driver; the greatest document of a range is lent to the range above it, whose last document it follows, and the
     greatest of all to the lowest range.  Bounds and loans, an entry for each range, are broadcast.
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    some = rows.where("key is not null").select("key", F.xxhash64("key").alias("h")).orderBy("h").limit(100 * ranges)
+    step = max(1, rows.count() // (20 * ranges))
+    some = rows.where("key is not null").select("key").where(F.pmod(F.xxhash64("key"), F.lit(step)) == 0).distinct()
     sample = sorted(r["key"] for r in some.collect())
     bounds = sorted({sample[len(sample) * i // ranges] for i in range(1, ranges)}) if sample else []
     held = docs.sparkSession.sparkContext.broadcast(bounds)
