@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curatio.functions.numbers import FPS_PER_MPS, GRAINS_PER_GRAM, MM_PER_INCH, close, lenient_float
+from curatio.operators.rank import first_n
 
 #: The valid range of each measured field, in the order in which fields are checked.
 RANGES = {
@@ -104,3 +105,17 @@ def issue_states(before: DataFrame, now: DataFrame, key: list[str]) -> DataFrame
     a, b = before.select(*key).distinct().withColumn("was", F.lit(True)), now.select(*key).distinct().withColumn("is", F.lit(True))
     state = F.when(F.col("was").isNull(), "new").when(F.col("is").isNull(), "resolved").otherwise("known")
     return a.join(b, key, "full").select(*key, state.alias("state"))
+
+
+def issue_history(found: DataFrame, key: list[str], latest: Column, run: str = "run") -> DataFrame:
+    """(key, first_seen, last_seen, times_seen, state) of issues found in runs; state: new, known or resolved in the latest run."""
+    out = found.select(*key, run).distinct().groupBy(*key).agg(F.min(run).alias("first_seen"), F.max(run).alias("last_seen"), F.count("*").alias("times_seen"))
+    state = F.when(F.col("last_seen") < latest, "resolved").when(F.col("first_seen") == latest, "new").otherwise("known")
+    return out.withColumn("state", state)
+
+
+def disagreement_samples(rows: DataFrame, pairs: dict[str, tuple[str, str]], order: list[str], n: int = 5, rel: float = 0.005, absolute: float = 0.01) -> DataFrame:
+    """(field, order, first, second): up to n rows of each field on which two sources differ, the first by ``order``."""
+    told = F.array(*(F.struct(F.lit(f).alias("field"), F.col(a).cast("double").alias("first"), F.col(b).cast("double").alias("second"), agreement(F.col(a), F.col(b), close(F.col(a), F.col(b), rel, absolute)).alias("class")) for f, (a, b) in pairs.items()))
+    apart = rows.select(*order, F.explode(told).alias("x")).where("x.class = 'disagree'").select("x.field", *order, "x.first", "x.second")
+    return first_n(apart, ["field"], order, n)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curatio.functions.text import caliber_alike, maker_alike
+
 #: Two numbers agree within the larger of the absolute and the relative tolerance.
 ABSOLUTE, RELATIVE = 0.01, 0.01
 
@@ -92,3 +94,57 @@ def same_diameter(named: Column, actual: Column) -> Column:
     for name, bullet in BORE_TO_BULLET.items():
         meant = F.when(F.abs(named - F.lit(name)) <= 1e-9, F.lit(bullet)).otherwise(meant)
     return F.abs(meant - actual) <= DIAMETER_TOLERANCE
+
+
+#: How far a work list may be from the catalogue, and a cartridge from its bullet.
+WEIGHT_GAP = 1.0
+COEFFICIENT_GAP = 0.05
+DIAMETER_GAP = 0.001
+
+
+def crosscheck(entries: DataFrame, bullets: DataFrame, cartridges: DataFrame) -> DataFrame:
+    """(url, entity, finding, expected, actual): what a work list expects of the catalogue and does not find there.
+
+    entries: url, entity_type, expected_manufacturer, expected_caliber, brief_description, notes; bullets: url, maker, weight,
+    diameter, g1, g7; cartridges: url, maker, caliber, velocity, a row for each url.  An entry that the catalogue does not have says nothing."""
+    text = lambda x: x.cast("string")
+
+    def told(finding: str, holds: Column, expected: Column, actual: Column) -> Column:
+        return F.when(F.coalesce(holds, F.lit(False)), F.struct(F.lit(finding).alias("finding"), text(expected).alias("expected"), text(actual).alias("actual")))
+
+    given = lambda c: F.coalesce(c, F.lit("")) != ""
+    maker = told("MANUFACTURER", given(F.col("expected_manufacturer")) & ~maker_alike(F.col("expected_manufacturer"), F.col("maker")), F.col("expected_manufacturer"), F.col("maker"))
+    noted = note_numbers(entries, "expected_caliber")
+    stated = _number(F.coalesce("brief_description", F.lit("")), WEIGHT)
+    weight = F.when(stated != 0, stated).otherwise(F.nullif("note_weight", F.lit(0.0)))
+    checks = [
+        maker,
+        told("WEIGHT", (F.col("weight") != 0) & (F.abs(weight - F.col("weight")) > WEIGHT_GAP), weight, F.col("weight")),
+        told("DIAMETER", (F.col("diameter") != 0) & ~same_diameter(F.col("note_diameter"), F.col("diameter")), F.col("note_diameter"), F.col("diameter")),
+    ]
+    for c in ("g1", "g7"):
+        noted_c, actual = F.col(f"note_{c}"), F.col(c)
+        checks.append(told("BC_MISSING", noted_c.isNotNull() & actual.isNull(), noted_c, actual))
+        checks.append(told("BC_MISMATCH", F.try_divide(F.abs(noted_c - actual), noted_c) > COEFFICIENT_GAP, noted_c, actual))
+    of_bullets = noted.where("entity_type = 'bullet'").join(bullets, "url").select("url", F.lit("bullet").alias("entity"), F.explode(F.array_compact(F.array(*checks))).alias("x"))
+    checks = [
+        maker,
+        told("CALIBER", given(F.col("expected_caliber")) & ~caliber_alike(F.col("expected_caliber"), F.col("caliber")), F.col("expected_caliber"), F.col("caliber")),
+        told("ZERO_VELOCITY", F.col("velocity") == 0, F.lit(None), F.col("velocity")),
+    ]
+    of_cartridges = entries.where("entity_type = 'cartridge'").join(cartridges, "url").select("url", F.lit("cartridge").alias("entity"), F.explode(F.array_compact(F.array(*checks))).alias("x"))
+    return of_bullets.unionByName(of_cartridges).select("url", "entity", "x.*")
+
+
+def linked_mismatches(cartridges: DataFrame, bullets: DataFrame) -> DataFrame:
+    """Cartridges (bullet_id, bullet_weight, bullet_diameter) that say another weight or diameter than their bullets (id, weight, diameter)."""
+    off = {"weight": F.abs(F.col("bullet_weight") - F.col("__weight")) > WEIGHT_GAP, "diameter": F.abs(F.col("bullet_diameter") - F.col("__diameter")) > DIAMETER_GAP}
+    at = cartridges.join(bullets.select(F.col("id").alias("bullet_id"), F.col("weight").alias("__weight"), F.col("diameter").alias("__diameter")), "bullet_id")
+    at = at.withColumns({f"{c}_off": F.coalesce(x, F.lit(False)) for c, x in off.items()})
+    return at.where("weight_off or diameter_off").drop("__weight", "__diameter")
+
+
+def without_coefficients(bullets: DataFrame) -> DataFrame:
+    """(maker, n, without): a maker's bullets, and those of which no published or estimated coefficient is known."""
+    none = F.coalesce("g1", "g7", "g1_est", "g7_est").isNull()
+    return bullets.groupBy("maker").agg(F.count("*").alias("n"), F.count_if(none).alias("without"))

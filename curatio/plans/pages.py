@@ -141,10 +141,10 @@ def two_pass_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 WITH c AS (SELECT l_orderkey, l_linenumber, l_quantity AS bw, CASE WHEN l_returnflag = 'N' THEN 0 ELSE l_extendedprice END AS v, CASE WHEN l_linenumber = 1 THEN 0.3 END AS g1, CASE WHEN l_suppkey % 2 = 0 THEN l_partkey END AS b FROM lineitem),
 p AS (SELECT p_partkey, p_size::DOUBLE AS w, CASE WHEN p_size % 2 = 0 THEN 0.2 END AS g FROM part)
-SELECT l_orderkey, l_linenumber FROM c LEFT JOIN p ON p_partkey = b WHERE v > 0 AND NOT coalesce(abs(bw - w) > 1.0, false) AND (g1 IS NOT NULL OR g IS NOT NULL)
+SELECT l_orderkey, l_linenumber FROM c LEFT JOIN p ON p_partkey = b WHERE v > 0 AND NOT coalesce(abs(bw - w) > 1.0, false) AND (p_partkey IS NULL OR g1 IS NOT NULL OR g IS NOT NULL)
 """)
 def export_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows fit to publish: a speed, a weight that is the linked row's, a coefficient from either."""
+    """Rows fit to publish: a speed, and where a row is linked its weight and a coefficient from either."""
     line, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
     none = F.lit(None).cast("double")
     c = line.select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("bullet_weight"), F.when(F.col("l_returnflag") == "N", 0.0).otherwise(F.col("l_extendedprice")).alias("velocity"), F.when(F.col("l_linenumber") == 1, 0.3).alias("g1"), none.alias("g7"), F.when(F.col("l_suppkey") % 2 == 0, F.col("l_partkey")).alias("bullet_id"))
