@@ -148,3 +148,19 @@ def without_coefficients(bullets: DataFrame) -> DataFrame:
     """(maker, n, without): a maker's bullets, and those of which no published or estimated coefficient is known."""
     none = F.coalesce("g1", "g7", "g1_est", "g7_est").isNull()
     return bullets.groupBy("maker").agg(F.count("*").alias("n"), F.count_if(none).alias("without"))
+
+
+#: What makes a name one to tidy.
+NAME_PATTERNS = {
+    "pack_count": r"(?i)\(\s*\d+\s*ct\s*\)",
+    "all_caps": r"^(?=.*\p{Lu})[^\p{Ll}]+$",
+    "caliber_in_name": r"(?i)(?:\b\d+(?:\.\d+)?\s*cal\b|\b\d+(?:\.\d+)?\s*mm\b)",
+    "metric_weight": r"(?i)\d+(?:[.,]\d+)?\s*g\s*/\s*\d+(?:\.\d+)?\s*gr\b",
+    "trademark": r"[®™©]|\((?:R|TM)\)",
+    "too_long": r"(?s)^.{81,}$",
+}
+
+
+def name_patterns(rows: DataFrame) -> DataFrame:
+    """(maker, n, a count for each pattern) of rows (maker, name)."""
+    return rows.groupBy("maker").agg(F.count("*").alias("n"), *(F.count_if(F.col("name").rlike(p)).alias(c) for c, p in NAME_PATTERNS.items()))

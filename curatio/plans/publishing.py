@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curatio.operators import catalogue, export, quality, reports
+from curatio.operators import catalogue, export, patching, quality, reports
+from curatio.operators.lookup import names_table
 from curatio.plans.registry import query, table
 
 
@@ -199,3 +200,66 @@ def shared_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = p.where("id % 3 = 0").select(F.concat("url", F.when(F.contains("url", F.lit("?")), "&").otherwise("?"), F.lit("variant=2")).alias("url"), (F.col("id") + 1000000).alias("id"))
     g = p.unionByName(more).groupBy(F.regexp_replace("url", "[?#].*$", "").alias("base")).agg(F.count("*").alias("n"), F.array_sort(F.collect_list("id")).alias("ids")).where("n > 1")
     return g.select("base", "n", F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("ids"))
+
+
+# ---- patches: regions as makers, customers as bullets and as cartridges
+
+
+@query("""
+WITH c AS (SELECT c_custkey AS k FROM customer), f AS (SELECT k, k % 11 = 0 AS lost, k % 11 <> 0 AND k % 3 <> 0 AND k % 4 <> 0 AS fresh FROM c),
+g AS (SELECT *, fresh AND (k % 7 <> 0 OR row_number() OVER (PARTITION BY fresh, k % 7 = 0 ORDER BY k) = 1) AS first FROM f),
+n AS (SELECT *, first AND row_number() OVER (PARTITION BY first, k % 50 ORDER BY k) = 1 AS made FROM g)
+SELECT 'create_bullet' AS action, k AS position, CASE WHEN lost THEN 'ERROR' WHEN made THEN 'CREATE' ELSE 'SKIP' END AS outcome FROM n UNION ALL
+SELECT 'create_manufacturer', r_regionkey, CASE WHEN r_regionkey % 2 = 0 THEN 'SKIP' ELSE 'CREATE' END FROM region UNION ALL
+SELECT 'update_bullet', k, CASE WHEN k % 11 = 0 OR k % 9 = 0 THEN 'ERROR' WHEN k % 2 = 0 THEN 'UPDATE' ELSE 'SKIP' END FROM c UNION ALL
+SELECT 'update_cartridge', k, CASE WHEN k % 11 = 0 OR k % 9 = 0 THEN 'ERROR' WHEN k % 4 = 0 THEN 'UPDATE' ELSE 'SKIP' END FROM c UNION ALL
+SELECT 'delete_bullet', k, CASE WHEN k % 8 = 0 OR k % 11 = 0 AND k % 2 <> 0 THEN 'SKIP' WHEN EXISTS (FROM orders WHERE o_custkey = k) THEN 'ERROR' ELSE 'DELETE' END FROM c UNION ALL
+SELECT 'add_bc_source', k, CASE WHEN k % 13 = 0 THEN 'ERROR' WHEN k % 2 = 0 THEN 'CREATE' ELSE 'SKIP' END FROM c
+""")
+def patch_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each operation of a patch comes to, action by action, by that action's own rule."""
+    c, key = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    text, owner = key.cast("string"), key % 5
+    makers = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"), F.array(F.concat(F.lit("maker "), F.col("r_regionkey").cast("string"))).alias("alt_names"), F.lit(None).cast("long").alias("maker_id"))
+    names = names_table(makers, None, "manufacturer")
+    bullets = c.select(key.alias("id"), owner.alias("manufacturer_id"), F.col("c_name").alias("name"), F.when(key % 2 == 0, F.concat(F.lit("S-"), text)).alias("sku"), F.lit(1.0).alias("bc"))
+    said = F.when(key % 11 == 0, "nobody").otherwise(F.concat(F.lit("Maker "), owner.cast("string"))).alias("manufacturer")
+    ops = lambda *more: patching.with_ids(c.select(key.alias("position"), said, *more), names, "manufacturer", "manufacturer_id")
+    name = F.when(key % 4 == 0, F.concat(F.lit("other "), text)).when(key % 3 == 0, F.upper("c_name")).otherwise(F.concat(F.lit("new "), (key % 50).cast("string")))
+    code = F.when(key % 4 == 0, F.concat(F.lit("s-"), text)).when((key % 7 == 0) & (key % 3 != 0), F.when(key % 2 == 0, "NEW").otherwise("new"))
+    known = F.when(key % 9 == 0, "gone").otherwise(F.upper("c_name")).alias("name")
+    outcomes = {
+        "create_bullet": patching.created(ops(name.alias("name"), code.alias("sku")), bullets, code="sku"),
+        "create_manufacturer": patching.created(makers.select(F.col("id").alias("position"), F.concat(F.lower("name"), F.when(F.col("id") % 2 == 0, "").otherwise(" arms")).alias("name")), makers, owner=None),
+        "update_bullet": patching.updated(ops(known, F.when(key % 2 == 0, 2.0).when(key % 3 == 0, 1.0).alias("bc")), bullets, ["bc"]),
+        "update_cartridge": patching.relinked(ops(known, F.when(key % 2 == 0, "said").alias("bullet"), F.when(key % 4 == 0, -1 - key).when(key % 2 == 0, key).alias("bullet_id")), bullets.withColumn("bullet_id", F.col("id"))),
+        "delete_bullet": patching.deleted(ops(F.when(key % 8 == 0, -1 - key).when(key % 2 == 0, key).alias("id"), F.lower("c_name").alias("name")), bullets, table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"))),
+        "add_bc_source": patching.added(c.select(key.alias("position"), F.when(key % 13 != 0, key).alias("id"), F.when(key % 2 == 0, 0.5).otherwise(1.0).alias("bc")), bullets, ["id", "bc"]),
+    }
+    out = None
+    for action, of in outcomes.items():
+        one = of.select(F.lit(action).alias("action"), "position", "outcome")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("""
+WITH n AS (SELECT p_brand, CASE p_partkey % 7 WHEN 0 THEN upper(p_name) || ' (50CT)' WHEN 1 THEN '30 Cal ' || p_name WHEN 2 THEN '12,0 g / 185 gr ' || p_name WHEN 3 THEN p_name || '®' WHEN 4 THEN repeat('x', 81) WHEN 5 THEN p_name || ' (20 ct)' ELSE p_name END AS kind, p_partkey % 7 AS k FROM part)
+SELECT p_brand AS maker, count(*) AS n, count(*) FILTER (WHERE k IN (0, 5)) AS pack_count, count(*) FILTER (WHERE k = 0) AS all_caps, count(*) FILTER (WHERE k = 1) AS caliber_in_name, count(*) FILTER (WHERE k = 2) AS metric_weight, count(*) FILTER (WHERE k = 3) AS trademark, count(*) FILTER (WHERE k = 4) AS too_long FROM n GROUP BY 1
+""")
+def name_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names to be tidied, by maker and by what is wrong with them."""
+    k, name = F.col("p_partkey") % 7, F.col("p_name")
+    said = F.when(k == 0, F.concat(F.upper(name), F.lit(" (50CT)"))).when(k == 1, F.concat(F.lit("30 Cal "), name)).when(k == 2, F.concat(F.lit("12,0 g / 185 gr "), name)).when(k == 3, F.concat(name, F.lit("®"))).when(k == 4, F.repeat(F.lit("x"), F.lit(81))).when(k == 5, F.concat(name, F.lit(" (20 ct)"))).otherwise(name)
+    return reports.name_patterns(table(spark, sf_dir, "part").select(F.col("p_brand").alias("maker"), said.alias("name")))
+
+
+@query("""
+WITH r AS (SELECT l_orderkey, l_linenumber, l_quantity AS a, CASE WHEN l_linenumber % 2 = 0 THEN l_quantity * 1.004 ELSE l_quantity * 1.02 END AS b FROM lineitem), d AS (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS n FROM r WHERE abs(a - b) > greatest(0.01, 0.005 * greatest(abs(a), abs(b))))
+SELECT 'quantity' AS field, l_orderkey, l_linenumber, a AS first, b AS second FROM d WHERE n <= 5
+""")
+def disagreement_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five rows on which two sources of a field differ."""
+    q = F.col("l_quantity")
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", q.alias("a"), F.when(F.col("l_linenumber") % 2 == 0, q * 1.004).otherwise(q * 1.02).alias("b"))
+    return quality.disagreement_samples(rows, {"quantity": ("a", "b")}, ["l_orderkey", "l_linenumber"])
