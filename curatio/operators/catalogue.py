@@ -45,7 +45,7 @@ def unseen_sources(new: DataFrame, known: DataFrame, key: list[str], value: str)
 def rejected_calibers(spark: SparkSession, path: str) -> DataFrame:
     """(name): the calibres that a JSON file lists as not wanted, in lower case."""
     listed = spark.read.schema("calibers array<string>").option("multiLine", True).json(path)
-    return listed.select(F.lower(F.trim(F.explode("calibers"))).alias("name")).distinct()
+    return listed.select(F.explode("calibers").alias("name")).select(F.lower(F.trim("name")).alias("name")).distinct()
 
 
 def with_excluded(rows: DataFrame, names: DataFrame, key: str) -> DataFrame:
