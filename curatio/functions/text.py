@@ -131,18 +131,28 @@ def _contained(query: Column, target: Column) -> Column:
     return let(let(query, count), share)
 
 
+def said_words(name: Column) -> Column:
+    """The words of a short type name: of the whole, and of what stands before its first parenthesis, if there is one."""
+    words = lambda x: expand_abbreviations(meaningful_tokens(x))
+    at = F.instr(name, "(")
+    head = F.trim(F.substring(name, F.lit(1), at - 1))
+    return F.struct(words(name).alias("whole"), F.when(at > 1, words(head)).alias("head"))
+
+
+def known_words(name: Column) -> Column:
+    return expand_abbreviations(meaningful_tokens(name))
+
+
+def containment_of(said: Column, known: Column) -> Column:
+    """The score of words that said_words and known_words gave: for joins, whose names have their words found before."""
+    whole = _contained(said["whole"], known)
+    return F.when(said["head"].isNotNull(), F.greatest(whole, _contained(said["head"], known))).otherwise(whole)
+
+
 def containment_score(extracted: Column, known: Column) -> Column:
     """How well a short type name is contained in a full product name: 0 to 1, the better of the whole name and what
     stands before its first parenthesis."""
-    words = lambda name: expand_abbreviations(meaningful_tokens(name))
-    at = F.instr(extracted, "(")
-    head = F.trim(F.substring(extracted, F.lit(1), at - 1))
-
-    def score(target: Column) -> Column:
-        whole = _contained(words(extracted), target)
-        return F.when(at > 1, F.greatest(whole, _contained(words(head), target))).otherwise(whole)
-
-    return let(words(known), score)
+    return let(F.struct(said_words(extracted).alias("s"), known_words(known).alias("k")), lambda w: containment_of(w["s"], w["k"]))
 
 
 def slugify(name: Column) -> Column:
