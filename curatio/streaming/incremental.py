@@ -18,9 +18,9 @@ from curatio.sources.scratch import shared_folder
 
 
 def file_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table's files in a folder as a stream, with the schema of what is there."""
+    """A table's files in a folder as a stream, with the schema of what is there; a table may be one file or a folder of parts."""
     schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet").parquet(folder)
+    return spark.readStream.schema(schema).parquet(f"{folder}/{name}*.parquet")
 
 
 def drained(stream: DataFrame, sink: Callable[[DataFrame, int], None], mode: str = "append") -> None:
