@@ -102,7 +102,7 @@ def resolved(mentions: DataFrame, at: Catalogue, bullets: DataFrame, cartridges:
     as_bullet = own.where("entity_type = 'bullet'").join(lines, "mention_id", "left").withColumn("m_diameter", F.col("bullet_diameter")).withColumn("m_product_line_id", F.col("product_line_id"))
     as_cartridge = scratch(own.where("entity_type = 'cartridge'").withColumn("m_product_line_id", none), "cartridges")
     columns = ["mention_id", "entity_id", "confidence", "method"]
-    loads = resolve.match(as_cartridge, cartridges, config, sku_scope=[("m_caliber", "e_caliber")], score=score, rounded=rounded, pairs=resolve.cartridge_pairs(*resolve.with_words(as_cartridge, cartridges)))
+    loads = resolve.match(as_cartridge, cartridges, config, sku_scope=[("m_caliber", "e_caliber")], score=score, rounded=rounded, blocks=resolve.by_maker_and_caliber())
     found = resolve.match(as_bullet, bullets, config, score=score, rounded=rounded).select(*columns).unionByName(loads.select(*columns))
     found = found.unionByName(resolve.match_rifles(own.where("entity_type = 'rifle'"), rifles, config, name_score, rounded).select(*columns))
     # a bullet carried is known by its name and weight alone: no stock code, and no line but what its name says
