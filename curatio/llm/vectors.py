@@ -4,7 +4,8 @@ On unit vectors a cosine of at least c is a distance of at most t = sqrt(2 - 2c)
 and stand as one.  A bounded sample, as large as the cells need, gives centres, one for about ``block`` vectors (at most
 ``cells``); each vector goes to its nearest, and a cell whose centre lies further than both covering radii plus t from
 another's is never compared with it.  Cells are dealt into blocks of about ``block`` vectors, and each pair of blocks
-that may hold a link is one group of work.
+that may hold a link is one piece of work.  The blocks, each with its tree, are written once; every two parts of that table
+meet by being read again (a Cartesian product of files), so no block is copied for each block that it is compared with.
 
 In a group, each block gets a cover tree: nested nets whose radii halve from level to level, every node with
 its exact covering radius; a level whose net would hold most of a node's points is left out.  Two trees are walked
@@ -30,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curatio.llm.shared import components, salted_join, scratch
+from curatio.llm.shared import clear, components, salted_join, scratch, written
 
 #: One row for a block: its vectors, the parts of its tree, and the blocks it is compared with.
 GROWN = "block int, near array<int>, points binary, tree array<binary>"
@@ -75,7 +76,7 @@ class CoverTree:
         self.centre, self.radius, self.begin, self.end, self.first, self.last = (np.array(x) for x in zip(*nodes, strict=True))
         self.at = self.points[self.centre]
 
-    ARRAYS = (("order", "<i8"), ("centre", "<i8"), ("radius", "<f8"), ("begin", "<i8"), ("end", "<i8"), ("first", "<i8"), ("last", "<i8"))
+    ARRAYS = (("order", "<i4"), ("centre", "<i4"), ("radius", "<f8"), ("begin", "<i4"), ("end", "<i4"), ("first", "<i4"), ("last", "<i4"))
 
     def parts(self) -> list[bytes]:
         return [np.ascontiguousarray(getattr(self, name), kind).tobytes() for name, kind in self.ARRAYS]
@@ -86,7 +87,7 @@ class CoverTree:
         tree = cls.__new__(cls)
         tree.points = points.astype(np.float32)
         for (name, kind), raw in zip(cls.ARRAYS, parts, strict=True):
-            setattr(tree, name, np.frombuffer(raw, kind))
+            setattr(tree, name, np.frombuffer(raw, kind).astype(np.float64 if name == "radius" else np.int64))
         tree.at = tree.points[tree.centre]
         return tree
 
@@ -238,8 +239,14 @@ def dual(left: CoverTree, right: CoverTree, same: bool, exact: np.ndarray, dims:
                 keep(xs, ys, distances(xs, ys))
 
 
-def POINTS(width: int) -> np.dtype:  # noqa: N802
-    return np.dtype([("id", "<i8"), ("copies", "<i8"), ("size", "<i8"), ("v", "<f8", (width,))])
+def POINTS(width: int, kind: str) -> np.dtype:  # noqa: N802
+    return np.dtype([("id", "<i8"), ("copies", "<i8"), ("size", "<i4"), ("v", kind, (width,))])
+
+
+def every_two(blocks: DataFrame) -> DataFrame:
+    """Each block beside each that it may have links with, itself included, once: parts of the table are read, nothing is shuffled."""
+    others = blocks.select(F.col("block").alias("other"), F.col("points").alias("points_2"), F.col("tree").alias("tree_2"))
+    return blocks.join(others.hint("shuffle_replicate_nl"), (F.col("block") <= F.col("other")) & F.array_contains("near", F.col("other")))
 
 
 def matrix(column: pa.Array, width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -264,11 +271,14 @@ def linked(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding"
     doubles = F.col(vector).cast("array<double>")
     usable = F.coalesce((F.size(doubles) > 0) & ~F.exists(doubles, bad) & F.exists(doubles, lambda x: x != 0), F.lit(False))
     twin = {"h1": F.xxhash64("v"), "h2": F.xxhash64(F.lit(1), "v")}
-    rows = vectors.select(F.col(key).alias("key"), F.when(usable, doubles).alias("v")).withColumns(twin)
+    single = vectors.schema[vector].dataType.simpleString() == "array<float>"
+    kind = "float" if single else "double"  # tables of vectors stay as small as the input
+    rows = vectors.select(F.col(key).alias("key"), F.when(usable, doubles.cast(f"array<{kind}>")).alias("v")).withColumns(twin)
     # equal vectors stand as one, under a number of their own
     once = rows.where("v is not null").groupBy("h1", "h2").agg(F.count("*").alias("copies"), F.min("key").alias("least"), F.first("v").alias("v"))
-    held = scratch(once.withColumn("id", F.monotonically_increasing_id()), "classes")
-    classes = held.select("id", "h1", "h2", "copies", "least")
+    held = scratch(once.withColumn("id", F.monotonically_increasing_id()), "vectors")
+    done = written()[-1]
+    classes = scratch(held.select("id", "h1", "h2", "copies", "least"), "classes")
     n, width = held.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
     wanted = max(1, min(cells, -(-n // block)))
     seen = held.select("v").orderBy("h1", "h2").limit(max(2048, 16 * wanted)).toArrow()
@@ -283,7 +293,9 @@ def linked(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding"
                 gap = np.sqrt(np.maximum(0, 2 - 2 * dots[np.arange(len(cell)), cell]))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cell.astype(np.int32)), pa.array(gap)], [*part.schema.names, "cell", "gap"])
 
-    in_cells = scratch(held.select("id", "v", "copies").mapInArrow(place, "id bigint, v array<double>, copies bigint, cell int, gap double"), "cells")
+    in_cells = scratch(held.select("id", "v", "copies").mapInArrow(place, f"id bigint, v array<{kind}>, copies bigint, cell int, gap double"), "cells")
+    clear(spark, [x for x in written() if x != done], keep=0)
+    done = written()[-1]
     stats = in_cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("r")).orderBy("cell").collect()  # a row per cell
     t = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
     cuts = np.concatenate([[0], np.cumsum([-(-s["n"] // block) for s in stats])]).astype(int).tolist()
@@ -294,37 +306,51 @@ def linked(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding"
         table.append((s["cell"], cuts[i], cuts[i + 1] - cuts[i], [b for o in close for b in range(cuts[o], cuts[o + 1])]))
     by_cell = F.broadcast(spark.createDataFrame(table, "cell int, first int, n int, near array<int>"))  # a row per cell
 
+    stored = "<f4" if single else "<f8"
+
     def grow(group: pa.Table) -> pa.Table:
-        """A block's vectors and its cover tree as one row: it is grown once and travels to each block it is compared with."""
+        """A block's vectors and its cover tree as one row: it is grown once."""
         group = group.take(pc.sort_indices(group, [("id", "ascending")]))
         raw, dims = matrix(group.column("v"), width)
-        points = np.zeros(len(raw), POINTS(width))
-        points["id"], points["copies"], points["size"], points["v"] = np.array(group.column("id")), np.array(group.column("copies")), dims, unit(raw)
-        tree = CoverTree(points["v"]).parts()
+        points = np.zeros(len(raw), POINTS(width, stored))
+        points["id"], points["copies"], points["size"], points["v"] = np.array(group.column("id")), np.array(group.column("copies")), dims, raw
+        tree = CoverTree(unit(raw)).parts()
         return pa.Table.from_pylist([{"block": group.column("block")[0].as_py(), "near": group.column("near")[0].as_py(), "points": points.tobytes(), "tree": tree}], GROWN_ARROW)
 
     dealt_ = in_cells.join(by_cell, "cell").withColumn("block", (F.col("first") + F.pmod(F.xxhash64("id"), F.col("n"))).cast("int"))
     grown = dealt_.select("id", "v", "copies", "block", "near").groupBy("block").applyInArrow(grow, GROWN)
-    work = grown.withColumn("other", F.explode("near")).select("block", "points", "tree", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    blocks = scratch(grown, "blocks")
+    clear(spark, [x for x in written() if x != done], keep=0)
+    done = written()[-1]
 
-    def join(group: pa.Table) -> pa.Table:
-        rows_ = sorted(group.to_pylist(), key=lambda r: r["block"])
-        read = [np.frombuffer(r["points"], POINTS(width)) for r in rows_]
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            for i in range(part.num_rows):
+                yield compared(part.slice(i, 1).to_pylist()[0])
+
+    def compared(row: dict) -> pa.RecordBatch:
+        alone = row["block"] == row["other"]
+        read = [np.frombuffer(row[p], POINTS(width, stored)) for p in ("points", "points_2")[: 1 if alone else 2]]
+        units = [unit(x["v"].astype(np.float64)) for x in read]
         every = np.concatenate(read)
-        ids, exact, dims = every["id"], np.ascontiguousarray(every["v"]), every["size"]
-        trees = [CoverTree.of(x["v"], r["tree"]) for x, r in zip(read, rows_, strict=True)]
+        ids, exact, dims = every["id"], np.concatenate(units), every["size"].astype(np.int64)
+        trees = [CoverTree.of(x, row[t]) for x, t in zip(units, ("tree", "tree_2"), strict=False)]
         links = Links(every["copies"])
-        if len(trees) == 2:
-            dual(*trees, False, exact, dims, len(read[0]), cosine, links)
-        elif rows_[0]["lo"] == rows_[0]["hi"]:
-            dual(trees[0], trees[0], True, exact, dims, 0, cosine, links)
+        dual(trees[0], trees[-1], alone, exact, dims, 0 if alone else len(read[0]), cosine, links)
         told = np.flatnonzero(links.count)
         least = np.full(len(ids), np.iinfo(np.int64).max)
         roots = links.find(np.arange(len(ids)))
         np.minimum.at(least, roots, ids)
-        return pa.table({"id": ids[told], "links": links.count[told], "tied": least[roots[told]]})
-
-    found = scratch(work.groupBy("lo", "hi").applyInArrow(join, "id bigint, links bigint, tied bigint"), "links")
+        return pa.RecordBatch.from_pydict({"id": ids[told], "links": links.count[told], "tied": least[roots[told]]})
+
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, "4")  # a row holds two blocks
+    try:
+        found = scratch(every_two(blocks).drop("near").mapInArrow(join, "id bigint, links bigint, tied bigint"), "links")
+    finally:
+        spark.conf.set(batch, before)
+    clear(spark, [x for x in written() if x != done], keep=0)
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     tied = components(found.select(F.col("id").alias("a"), F.col("tied").alias("b"))).withColumnRenamed("node", "id")
     told = classes.join(counts.hint("merge"), "id", "left").join(tied.hint("merge"), "id", "left").withColumn("component", F.coalesce("component", "id"))
