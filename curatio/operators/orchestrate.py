@@ -47,14 +47,18 @@ def reference(mentions: DataFrame, column: str, names: DataFrame, dimension: Dat
     return found.select(F.col("mention_id").alias(column), "entity_id")
 
 
-def product_lines(mentions: DataFrame, names: DataFrame) -> DataFrame:
+def product_lines(mentions: DataFrame, names: DataFrame, short: DataFrame | None = None) -> DataFrame:
     """(mention_id, product_line_id): the first hit of the line as given, its short form, and the name; of the maker's own
-    lines where the maker is known.  mentions: mention_id, m_maker, m_name, m_product_line."""
-    said = F.array("m_product_line", normalize_product_line(F.coalesce("m_product_line", "m_name")), "m_name")
-    asked = mentions.select("mention_id", "m_maker", F.posexplode(said).alias("place", "name")).where("name != ''")
-    keyed = asked.select(F.struct("mention_id", "place").alias("mention_id"), "m_maker", "name")
-    hits = lookup(keyed, names, maker="m_maker").where("entity_id is not null")
-    return hits.groupBy(F.col("mention_id.mention_id").alias("mention_id")).agg(F.min_by("entity_id", "mention_id.place").alias("product_line_id"))
+    lines where the maker is known.  mentions: mention_id, m_maker, m_name, m_product_line; short: the short forms of lines
+    (__text, __line), where they are known already.  Each different name of a maker is looked up once."""
+    text = F.coalesce("m_product_line", "m_name")
+    rows = mentions.select("mention_id", "m_maker", "m_name", "m_product_line")
+    rows = rows.withColumn("__line", normalize_product_line(text)) if short is None else rows.join(short.hint("merge"), text == F.col("__text"), "left")
+    asked = rows.select("mention_id", "m_maker", F.posexplode(F.array("m_product_line", "__line", "m_name")).alias("place", "name")).where("name != ''")
+    keyed = asked.select("m_maker", "name").distinct().select(F.struct("m_maker", "name").alias("mention_id"), "m_maker", "name")
+    hits = lookup(keyed, names, maker="m_maker").where("entity_id is not null").select(F.col("mention_id.m_maker").alias("__maker"), F.col("mention_id.name").alias("__name"), "entity_id")
+    hits = asked.join(hits.hint("merge"), (F.col("name") == F.col("__name")) & F.col("m_maker").eqNullSafe(F.col("__maker")))
+    return hits.groupBy("mention_id").agg(F.min_by("entity_id", "place").alias("product_line_id"))
 
 
 def _missing(known: Column, said: Column, label: str, absent: str) -> Column:
@@ -97,21 +101,25 @@ def resolved(mentions: DataFrame, at: Catalogue, bullets: DataFrame, cartridges:
     """
     whole = scratch(references(mentions, at, config, score=name_score, rounded=rounded), "references")
     own = whole.withColumn("m_maker", F.col("manufacturer_id")).withColumn("m_caliber", F.col("caliber_id")).withColumn("m_chamber", F.col("chamber_id"))
-    lines = scratch(product_lines(own.where("entity_type = 'bullet'"), at.product_lines), "lines")
+    # a bullet carried is known by its name and weight alone: no stock code, and no line but what its name says
+    carries = (F.col("entity_type") == "cartridge") & (F.col("bullet_name") != "") & F.col("caliber_id").isNotNull()
+    text = F.lit(None).cast("string")
+    stub = own.where(carries).withColumn("m_name", F.col("bullet_name")).withColumn("m_diameter", F.col("caliber_diameter")).withColumn("m_sku", text).withColumn("m_product_line", text)
+    common = resolve.shared([own, stub], [bullets, cartridges, rifles], [score, name_score])  # every match and every pass reads these
+    names = scratch(at.product_lines, "line_names")
+    lines = scratch(product_lines(own.where("entity_type = 'bullet'"), names, common.lines), "lines")
     none = F.lit(None).cast("bigint")
     as_bullet = own.where("entity_type = 'bullet'").join(lines, "mention_id", "left").withColumn("m_diameter", F.col("bullet_diameter")).withColumn("m_product_line_id", F.col("product_line_id"))
     as_cartridge = scratch(own.where("entity_type = 'cartridge'").withColumn("m_product_line_id", none), "cartridges")
     columns = ["mention_id", "entity_id", "confidence", "method"]
-    loads = resolve.match(as_cartridge, cartridges, config, sku_scope=[("m_caliber", "e_caliber")], score=score, rounded=rounded, blocks=resolve.by_maker_and_caliber())
-    found = resolve.match(as_bullet, bullets, config, score=score, rounded=rounded).select(*columns).unionByName(loads.select(*columns))
-    found = found.unionByName(resolve.match_rifles(own.where("entity_type = 'rifle'"), rifles, config, name_score, rounded).select(*columns))
-    # a bullet carried is known by its name and weight alone: no stock code, and no line but what its name says
-    carried = as_cartridge.where((F.col("bullet_name") != "") & F.col("caliber_id").isNotNull()).drop("m_product_line_id")
-    stub = carried.withColumn("m_name", F.col("bullet_name")).withColumn("m_diameter", F.col("caliber_diameter")).withColumn("m_sku", F.lit(None).cast("string")).withColumn("m_product_line", F.lit(None).cast("string"))
-    makers_line = product_lines(stub, at.product_lines).withColumnRenamed("product_line_id", "m_product_line_id")
-    any_line = product_lines(stub.withColumn("m_maker", F.lit(None).cast("bigint")), at.product_lines).withColumnRenamed("product_line_id", "m_any_line_id")
+    loads = resolve.match(as_cartridge, cartridges, config, sku_scope=[("m_caliber", "e_caliber")], score=score, rounded=rounded, blocks=resolve.by_maker_and_caliber(), at=common)
+    found = resolve.match(as_bullet, bullets, config, score=score, rounded=rounded, at=common).select(*columns).unionByName(loads.select(*columns))
+    found = found.unionByName(resolve.match_rifles(own.where("entity_type = 'rifle'"), rifles, config, name_score, rounded, at=common).select(*columns))
+    found = scratch(found, "found_entities")
+    makers_line = product_lines(stub, names, common.lines).withColumnRenamed("product_line_id", "m_product_line_id")
+    any_line = product_lines(stub.withColumn("m_maker", none), names, common.lines).withColumnRenamed("product_line_id", "m_any_line_id")
     stub = stub.join(makers_line, "mention_id", "left").join(any_line, "mention_id", "left")
-    links = resolve.link_bullets(stub, bullets, config, score=score, rounded=rounded)
+    links = resolve.link_bullets(stub, bullets, config, score=score, rounded=rounded, at=common)
     links = links.select("mention_id", "bullet_id", F.col("confidence").alias("bullet_match_confidence"), F.col("method").alias("bullet_match_method"), "outcome")
     out = whole.join(found, "mention_id", "left").join(lines, "mention_id", "left").join(links, "mention_id", "left")
     why = F.when(F.col("outcome") == "weight_mismatch", " (weight mismatch)").when(F.col("outcome") == "low_confidence", " (low confidence)").otherwise("")

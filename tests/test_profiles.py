@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curatio.functions.text import containment_score
-from curatio.operators import resolve
+from curatio.operators import orchestrate, resolve
 from curatio.operators.rank import best_with_alternatives
 from curatio.sources import scratch
 
@@ -92,3 +92,12 @@ def test_passes_share_words_and_lines(spark, monkeypatch):
     mentions, entities = (t.withColumns({f"{side}_g1": F.lit(0.5), f"{side}_g7": F.lit(None).cast("double")}) for t, side in zip(tables(spark, 5, 20), "me", strict=True))
     resolve.link_bullets(mentions, entities, CONFIG, score=containment_score, rounded=ROUND2)
     assert sorted(calls) == ["known_words", "normalize_product_line", "said_words"]
+
+
+def test_a_name_is_looked_up_once(spark, monkeypatch):
+    """Sixty mentions of one maker's line: the line, its short form and the name, not three for every mention."""
+    asked = []
+    monkeypatch.setattr(orchestrate, "lookup", lambda mentions, names, lookup=orchestrate.lookup, **how: asked.append(mentions.count()) or lookup(mentions, names, **how))
+    mentions = spark.createDataFrame([(i, 1, "red bolt", "pro hunter") for i in range(60)], "mention_id long, m_maker long, m_name string, m_product_line string")
+    names = spark.createDataFrame([("pro hunter", 7, 1, "exact_name", 1.0, 1, 0)], "norm string, entity_id long, maker_id long, method string, confidence double, tier int, ord int")
+    assert {tuple(r) for r in orchestrate.product_lines(mentions, names).collect()} == {(i, 7) for i in range(60)} and max(asked) <= 3
